@@ -19,13 +19,16 @@ CORE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
-                  app: str = "etafeat", extra: dict | None = None) -> SparkSession:
+                  app: str = "etafeat", extra: dict | None = None,
+                  driver_memory: str = "16g") -> SparkSession:
     builder = SparkSession.builder.master(master).appName(app)
     conf = dict(CORE_CONF)
+    conf["spark.driver.memory"] = driver_memory
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
