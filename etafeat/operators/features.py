@@ -93,9 +93,14 @@ class Scales:
     traffic: int | None = 2
 
 
-def entity_profile(df: DataFrame, key: str, aggs: dict[str, Column], digits: int | None = 2) -> DataFrame:
-    """Grouped profile of ``key``, rounded half-even, joined back (left) onto every row."""
-    prof = df.groupBy(key).agg(*[e.alias(n) for n, e in aggs.items()])
+def entity_profile(df: DataFrame, key: str, aggs: dict[str, Column], digits: int | None = 2,
+                   source: DataFrame | None = None) -> DataFrame:
+    """Grouped profile of ``key``, rounded half-even, joined back (left) onto every row.
+
+    ``source`` is the frame to aggregate (default ``df``): pass the base fact
+    when ``df`` is an enriched copy, so the enriched plan is referenced once.
+    """
+    prof = (source if source is not None else df).groupBy(key).agg(*[e.alias(n) for n, e in aggs.items()])
     if digits is not None:
         prof = prof.select(key, *[
             (round_half_even(n, digits) if isinstance(prof.schema[n].dataType, NumericType)
@@ -159,7 +164,7 @@ def interaction_features(df: DataFrame, high_value: float = S.high_value) -> Dat
     })
 
 
-def lag_features(df: DataFrame, ts: str, target: str, sc: Scales) -> DataFrame:
+def lag_features(df: DataFrame, ts: str, target: str, sc: Scales) -> DataFrame:  # noqa: D401
     """Restaurant orders in the last hour; route mean target (3h) and traffic (2h); empty -> 0."""
     df = trailing_windows(df, "restaurant_id", ts, [Trailing("rest_orders_last_1h", "1h")], bucket="1d")
     return trailing_windows(df, "route_key", ts, [
@@ -231,9 +236,9 @@ def split_point(df: DataFrame, ts: str, q: float = S.split_quantile, exact: bool
 
 
 def time_split(df: DataFrame, ts: str, q: float = S.split_quantile, exact: bool = True,
-               label: str = "split") -> DataFrame:
-    """Label rows ``train`` (time < q-quantile) or ``val`` (>=)."""
-    cut = split_point(df, ts, q, exact)
+               label: str = "split", source: DataFrame | None = None) -> DataFrame:
+    """Label rows ``train`` (time < q-quantile) or ``val`` (>=); the cut comes from ``source``."""
+    cut = split_point(source if source is not None else df, ts, q, exact)
     return (df.crossJoin(F.broadcast(cut))
               .withColumn(label, F.when(epoch_micros(ts) < F.col("__cut"), "train").otherwise("val"))
               .drop("__cut"))
@@ -250,19 +255,21 @@ def feature_matrix(orders: DataFrame, restaurants: DataFrame, users: DataFrame,
     df = join_dimension(orders, restaurants, "restaurant_id", "left", suffix="_restaurant")
     df = join_dimension(df, users, "user_id", "left", suffix="_user")
     df = temporal_features(df, ts)
-    df = entity_profile(df, "user_id", user_profile_aggs(target, scales))
-    df = entity_profile(df, "restaurant_id", restaurant_profile_aggs(target, ts, scales))
+    # Aggregates read the base fact; the enriched frame flows through each step once.
+    df = entity_profile(df, "user_id", user_profile_aggs(target, scales), source=orders)
+    df = entity_profile(df, "restaurant_id", restaurant_profile_aggs(target, ts, scales), source=orders)
     if check_keys:
         check_route_keys(orders)
     df = route_parts(df)
-    df = entity_profile(df, "route_key", route_profile_aggs(target, order_id, scales))
+    df = entity_profile(df, "route_key", route_profile_aggs(target, order_id, scales), source=orders)
     df = interaction_features(df)
     df = lag_features(df, ts, target, scales)
     df = target_encode(df, "restaurant_id", target, ts, order_id, "restaurant_id_encoded",
-                       scale=scales.target)
-    df = target_encode(df, "user_id", target, ts, order_id, "user_id_encoded", scale=scales.target)
+                       scale=scales.target, history=orders)
+    df = target_encode(df, "user_id", target, ts, order_id, "user_id_encoded", scale=scales.target,
+                       history=orders)
     feats = feature_columns(df)
     if validate:
         validate_features(df, feats, target)
-    df = time_split(df, ts)
+    df = time_split(df, ts, source=orders)
     return df.select(order_id, *[c for c in feats if c != "split"], target, "split")

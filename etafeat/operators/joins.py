@@ -21,9 +21,15 @@ def estimated_bytes(df: DataFrame) -> int | None:
         return None
 
 
-def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
-    """Broadcast ``df`` only when its estimated size is known and below ``limit``."""
-    size = estimated_bytes(df)
+def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_LIMIT,
+                       size_of: DataFrame | None = None) -> DataFrame:
+    """Broadcast ``df`` only when its estimated size is known and below ``limit``.
+
+    ``size_of`` measures another plan instead: the dimension's base table when
+    ``df`` is that table joined with a tiny lookup (the optimizer bounds a join
+    by the product of its inputs, which is far too loose for that case).
+    """
+    size = estimated_bytes(size_of if size_of is not None else df)
     return F.broadcast(df) if size is not None and size <= limit else df
 
 

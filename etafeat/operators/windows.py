@@ -93,14 +93,17 @@ def trailing_windows(df: DataFrame, key: str | Sequence[str], ts: str,
         raise ValueError("bucket must be at least as long as the longest window")
     values = sorted({s.value for s in specs if s.value})
 
-    own = (df.withColumn("__t", epoch_micros(ts))
-             .withColumn("__b", F.floor(F.col("__t") / F.lit(b_us)))
-             .withColumn("__own", F.lit(True)))
-    # Context rows: the tail of each bucket, re-labelled into the next bucket.
-    ctx = (own.filter(F.col("__t") >= (F.col("__b") + 1) * F.lit(b_us) - F.lit(longest))
-              .select(*keys, *values, "__t", (F.col("__b") + 1).alias("__b"),
-                      F.lit(False).alias("__own")))
-    both = own.unionByName(ctx, allowMissingColumns=True)
+    t = F.col("__t")
+    x = df.withColumn("__t", epoch_micros(ts)).withColumn("__b0", F.floor(t / F.lit(b_us)))
+    # Rows in the last ``longest`` of their bucket are also emitted into the next
+    # bucket as context rows (one pass, no self-union); context rows keep only
+    # what the frames need.
+    tail = t >= (F.col("__b0") + 1) * F.lit(b_us) - F.lit(longest)
+    x = x.withColumn("__shift", F.explode(F.when(tail, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
+    own = F.col("__shift") == 0
+    keep = set(keys) | set(values)
+    both = x.select(*[F.col(c) if c in keep else F.when(own, F.col(c)).alias(c) for c in df.columns],
+                    "__t", (F.col("__b0") + F.col("__shift")).alias("__b"), own.alias("__own"))
 
     base = Window.partitionBy(*keys, "__b").orderBy("__t")
     cols = {}
@@ -143,12 +146,16 @@ def global_scalar(df: DataFrame, expr: Column, name: str) -> DataFrame:
 
 def target_encode(df: DataFrame, key: str | Sequence[str], target: str, ts: str,
                   order_id: str, out: str, ties: str = "rows", prior: float | str = "global",
-                  scale: int | None = None, bucket: timedelta | str | int = "1d") -> DataFrame:
+                  scale: int | None = None, bucket: timedelta | str | int = "1d",
+                  history: DataFrame | None = None) -> DataFrame:
     """Leakage-aware target encoding: mean target of the same key's earlier rows.
 
     ``ties="rows"``: earlier in ``(ts, order_id)`` order (a unique order).
     ``ties="strict"``: only strictly earlier timestamps (no same-time leakage).
     Empty history gets ``prior``: ``"global"`` (mean target of all rows) or a number.
+    ``history`` is the frame the per-bucket totals come from (default ``df``);
+    pass the base fact when ``df`` is an enriched copy of it, so the enriched
+    plan is referenced once.
     """
     keys = _keys(key)
     b_us = _micros(bucket)
@@ -158,7 +165,9 @@ def target_encode(df: DataFrame, key: str | Sequence[str], target: str, ts: str,
     vsum = (lambda c: c.cast(f"decimal(38,{scale})")) if scale is not None else (lambda c: c.cast("double"))
 
     # Level 1: totals per (key, bucket) -> prefix of all earlier buckets.
-    per_bucket = base.groupBy(*keys, "__b").agg(F.sum(vsum(v)).alias("__bs"), F.count(v).alias("__bc"))
+    hist = (history if history is not None else df).select(*keys, ts, target)
+    hist = hist.withColumn("__b", F.floor(epoch_micros(ts) / F.lit(b_us)))
+    per_bucket = hist.groupBy(*keys, "__b").agg(F.sum(vsum(v)).alias("__bs"), F.count(v).alias("__bc"))
     wb = Window.partitionBy(*keys).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     prefix = per_bucket.select(*keys, "__b",
                                F.coalesce(F.sum("__bs").over(wb), F.lit(0).cast(per_bucket.schema["__bs"].dataType)).alias("__ps"),
@@ -176,8 +185,8 @@ def target_encode(df: DataFrame, key: str | Sequence[str], target: str, ts: str,
     local = base.withColumns({"__ls": F.sum(vsum(v)).over(wi), "__lc": F.count(v).over(wi)})
 
     joined = local.join(prefix, [*keys, "__b"], "left")
-    total_s = F.coalesce(F.col("__ls"), F.lit(0)) + F.col("__ps")
-    total_c = F.coalesce(F.col("__lc"), F.lit(0)) + F.col("__pc")
+    total_s = F.coalesce(F.col("__ls"), F.lit(0)) + F.coalesce(F.col("__ps"), F.lit(0))
+    total_c = F.coalesce(F.col("__lc"), F.lit(0)) + F.coalesce(F.col("__pc"), F.lit(0))
     mean = F.when(total_c > 0, total_s.cast("double") / total_c)
 
     if prior == "global":

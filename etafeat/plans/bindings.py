@@ -71,21 +71,25 @@ def users(spark: SparkSession, sf: str) -> DataFrame:
 def delivery_orders(spark: SparkSession, sf: str, seed: int = SEED) -> DataFrame:
     lines = (table(spark, sf, "lineitem")
              .groupBy("l_orderkey")
-             .agg(F.min_by("l_suppkey", F.struct("l_linenumber", "l_suppkey")).alias("restaurant_id"),
+             # first line = lowest (line number, supplier); a bigint order keeps a hash aggregate
+             .agg(F.min_by("l_suppkey", F.col("l_linenumber").cast("bigint") * F.lit(1 << 32)
+                           + F.col("l_suppkey")).alias("restaurant_id"),
                   F.count(F.lit(1)).cast("int").alias("num_items"),
                   F.max("l_quantity").alias("max_qty")))
     o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
     pl = places(spark, sf)
-    sup = (table(spark, sf, "supplier").select("s_suppkey", "s_nationkey")
+    sup_base = table(spark, sf, "supplier").select("s_suppkey", "s_nationkey")
+    cust_base = table(spark, sf, "customer").select("c_custkey", "c_nationkey")
+    sup = (sup_base
            .join(F.broadcast(pl), F.col("s_nationkey") == F.col("n_nationkey"))
            .select("s_suppkey", F.col("n_nationkey").alias("s_nation"), F.col("city"),
                    F.col("area").alias("origin_area")))
-    cust = (table(spark, sf, "customer").select("c_custkey", "c_nationkey")
+    cust = (cust_base
             .join(F.broadcast(pl), F.col("c_nationkey") == F.col("n_nationkey"))
             .select("c_custkey", F.col("n_nationkey").alias("c_nation"), F.col("area").alias("dest_area")))
     f = (o.join(lines, o.o_orderkey == lines.l_orderkey)
-          .join(broadcast_if_small(sup), F.col("restaurant_id") == F.col("s_suppkey"))
-          .join(broadcast_if_small(cust), F.col("o_custkey") == F.col("c_custkey")))
+          .join(broadcast_if_small(sup, size_of=sup_base), F.col("restaurant_id") == F.col("s_suppkey"))
+          .join(broadcast_if_small(cust, size_of=cust_base), F.col("o_custkey") == F.col("c_custkey")))
     f = f.select(
         F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("user_id"), "restaurant_id",
         F.concat(F.col("city"), F.lit("_"), F.col("origin_area"), F.lit("_to_"), F.col("dest_area"))

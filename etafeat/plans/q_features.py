@@ -9,7 +9,7 @@ from etafeat.operators import features as fx
 from etafeat.operators.joins import join_dimension
 from etafeat.plans import bindings as b
 from etafeat.plans.registry import query
-from etafeat.session import table
+from etafeat.session import materialize, table
 
 ORDERS_CTE = b.with_ctes(b.SQL_PLACES, b.SQL_ORDERS)
 DIMS_CTE = b.with_ctes(b.SQL_RESTAURANTS, b.SQL_USERS, b.SQL_ORDERS)
@@ -254,7 +254,8 @@ FROM f
 
 
 def build_feature_matrix(spark, sf, validate: bool = False):
-    fm = fx.feature_matrix(_orders(spark, sf), b.restaurants(spark, sf), b.users(spark, sf),
+    orders = materialize(_orders(spark, sf), "delivery_orders")
+    fm = fx.feature_matrix(orders, b.restaurants(spark, sf), b.users(spark, sf),
                            validate=validate, check_keys=validate)
     return _trig_rounded(fm)
 
