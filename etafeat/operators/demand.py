@@ -17,11 +17,18 @@ S = config.DEFAULT
 
 def demand_profile(hours: DataFrame, ts: str = "timestamp", peak_weight: float = S.peak_weight,
                    weekend_multiplier: float = S.weekend_multiplier) -> DataFrame:
-    """Order weight per hour (2.5 at peak hours, x1.4 at weekends) and its probability."""
+    """Order weight per hour (2.5 at peak hours, x1.4 at weekends) and its probability.
+
+    Weights are rounded to 6 decimals and totalled as an exact DECIMAL, so the
+    probabilities do not depend on summation order.
+    """
     t = F.col(ts)
     w = (F.when(hour_in(t, config.ORDER_PEAK_HOURS), F.lit(peak_weight)).otherwise(F.lit(1.0))
          * F.when(is_weekend(t), F.lit(weekend_multiplier)).otherwise(F.lit(1.0)))
-    return share_of_group(hours.withColumn("weight", w), "weight", None, "probability")
+    weighted = hours.withColumn("weight", round_half_even(w, 6))
+    total = weighted.agg(F.sum(F.col("weight").cast("decimal(38,6)")).cast("double").alias("__total"))
+    return (weighted.crossJoin(F.broadcast(total))
+            .withColumn("probability", F.col("weight") / F.col("__total")).drop("__total"))
 
 
 def price_basket(price: Column | str, items: Column | str, ts: Column | str,

@@ -46,7 +46,11 @@ def route_network(restaurants: DataFrame, users: DataFrame, max_km: float = 15.0
     dests = (users.select(F.col(u_city).alias("city"), F.col(u_area).alias("area")).distinct()
              .join(idx, ["city", "area"]).select("city", F.col("area").alias("dest_area"),
                                                  F.col("area_idx").alias("d_idx")))
-    pairs = origins.join(dests, "city")
+    # Band join: each origin lists the few indexes within reach (|Δ| * 2 <= max_km)
+    # and meets destinations by equality, so no city emits all of its area pairs.
+    reach = int(max_km // 2)
+    origins = origins.withColumn("d_idx", F.explode(F.sequence(F.col("o_idx") - reach, F.col("o_idx") + reach)))
+    pairs = origins.join(dests, ["city", "d_idx"])
     if not allow_same_area:
         pairs = pairs.filter(F.col("origin_area") != F.col("dest_area"))
     pairs = (pairs.withColumn("grid_km", (F.abs(F.col("o_idx") - F.col("d_idx")) * 2).cast("double"))
