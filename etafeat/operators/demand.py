@@ -61,43 +61,105 @@ def delivery_time(base: Column | str, noise: Column | str | float = 0.0,
     return F.greatest(F.lit(float(floor_minutes)), round_half_even(col_(base) + col_(n), 1))
 
 
+def _fav_list(c: Column | str) -> Column:
+    """Favourite cuisines as trimmed pieces of the comma list; empty or NULL text -> []."""
+    x = col_(c)
+    return F.when(F.coalesce(x, F.lit("")) == "", F.array().cast("array<string>")).otherwise(
+        F.transform(F.split(x, ","), lambda t: F.trim(t)))
+
+
+def affinity_base(num_ratings: Column | str, rating: Column | str) -> Column:
+    """max(num_ratings, 10)^0.6 * (coalesce(rating, 3.5) / 5)^1.2."""
+    return (F.pow(F.greatest(col_(num_ratings).cast("double"), F.lit(10.0)), F.lit(0.6))
+            * F.pow(F.coalesce(col_(rating), F.lit(3.5)) / F.lit(5.0), F.lit(1.2)))
+
+
+def cuisine_matches(restaurants: DataFrame, favs: DataFrame) -> DataFrame:
+    """(restaurant_id, fav) where the fav text occurs in the restaurant's cuisines.
+
+    A fav has no comma, so it can only occur inside one comma-separated piece.
+    Every substring of each distinct piece is listed once (a vocabulary-sized
+    table) and met with the distinct favs by equality: no pairs of rows are
+    compared and nothing grows with the number of users.
+    """
+    pieces = (restaurants.select("restaurant_id", F.explode(F.split(F.coalesce("cuisines", F.lit("")), ","))
+                                 .alias("piece")).distinct())
+    vocab = pieces.select("piece").distinct()
+    n = F.length("piece")
+    subs = (vocab.select("piece", F.explode(F.sequence(F.lit(1), F.greatest(n, F.lit(1)))).alias("i"))
+                 .select("piece", "i", F.explode(F.sequence(F.col("i"), F.greatest(F.length("piece"), F.col("i"))))
+                         .alias("j"))
+                 .select("piece", F.substring("piece", F.col("i"), F.col("j") - F.col("i") + 1).alias("fav"))
+                 .distinct())
+    hits = subs.join(favs.select("fav").distinct(), "fav").select("piece", "fav")
+    return pieces.join(hits, "piece").select("restaurant_id", "fav").distinct()
+
+
 def restaurant_affinity(users: DataFrame, restaurants: DataFrame, routes: DataFrame, k: int = 3,
                         same_area_bonus: float = 1.1, cuisine_bonus: float = 1.4) -> DataFrame:
-    """Top-``k`` restaurants per user by affinity, with the user's choice probability.
+    """Top-``k`` restaurants per user by affinity score.
+
+    score = base * 1.4 if any favourite occurs in the restaurant's cuisines
+                  * 1.1 if the restaurant is in the user's area,
+    base = max(num_ratings, 10)^0.6 * (coalesce(rating, 3.5)/5)^1.2, over the
+    restaurants of the user's city that have a route to the user's area.
 
-    Score = max(num_ratings, 10)^0.6 * (coalesce(rating, 3.5)/5)^1.2
-            * 1.4 if any favourite cuisine is in the restaurant's cuisines
-            * 1.1 if the restaurant is in the user's area.
-    Only restaurants with a route to the user's area count. To avoid the
-    users x restaurants fan-out, scores are computed once per distinct
-    (city, home_area, fav_cuisines) profile, ranked, and then joined to users.
+    Exact without users x restaurants: a restaurant in a user's top k is in the
+    top k by ``base`` of its own bonus class, and every class is covered by one
+    of four bounded lists per (city, user area[, fav]): all candidates, same
+    area, matching a fav, matching a fav in the same area. Each user gathers at
+    most k * (2 + 2 * favs) candidates, scores them exactly and keeps k.
 
-    users: user_id, city, home_area, fav_cuisines (display string)
+    users: user_id, city, home_area, fav_cuisines (comma list)
     restaurants: restaurant_id, city, area, num_ratings, avg_rating, cuisines
-    routes: route_key
+    routes: city, origin_area, dest_area
     """
-    profiles = users.select("city", "home_area", "fav_cuisines").distinct()
-    cand = (profiles.join(restaurants.select("restaurant_id", "city", "area", "num_ratings",
-                                             "avg_rating", "cuisines"), "city")
-            .withColumn("route_key", F.concat_ws("_", "city", "area", F.lit("to"), "home_area")))
-    cand = cand.join(broadcast_if_small(routes.select("route_key").distinct()), "route_key", "left_semi")
-    favs = F.filter(F.transform(F.split(F.coalesce(F.col("fav_cuisines"), F.lit("")), ","),
-                                lambda x: F.trim(x)), lambda x: x != "")
-    match = F.exists(favs, lambda c: F.coalesce(F.col("cuisines"), F.lit("")).contains(c))
-    score = (F.pow(F.greatest(F.col("num_ratings").cast("double"), F.lit(10.0)), 0.6)
-             * F.pow(F.coalesce(F.col("avg_rating"), F.lit(3.5)) / F.lit(5.0), 1.2)
-             * F.when(match, F.lit(cuisine_bonus)).otherwise(F.lit(1.0))
-             * F.when(F.col("area") == F.col("home_area"), F.lit(same_area_bonus)).otherwise(F.lit(1.0)))
-    scored = cand.withColumn("score", score)
-    grp = ["city", "home_area", "fav_cuisines"]
-    # Group total by aggregate + join (a window would put a whole city in one task).
-    totals = scored.groupBy(*grp).agg(F.sum("score").alias("__total"))
-    scored = (scored.join(totals, grp)
-              .withColumn("probability", F.col("score") / F.col("__total")).drop("__total"))
-    top = rank_limit(scored, grp, [F.col("score").desc(), F.col("restaurant_id")], k, "rank")
-    return (users.select("user_id", "city", "home_area", "fav_cuisines")
-            .join(top, grp, "inner")
-            .select("user_id", "restaurant_id", "route_key", "rank", "score", "probability"))
+    rest = restaurants.select("restaurant_id", "city", "area", "num_ratings", "avg_rating", "cuisines")
+    cand = (rest.join(routes.select("city", F.col("origin_area").alias("area"), "dest_area").distinct(),
+                      ["city", "area"])
+                .withColumn("base", affinity_base("num_ratings", "avg_rating"))
+                .select("city", "dest_area", "restaurant_id", "base", (F.col("area") == F.col("dest_area"))
+                        .alias("same")))
+    u = users.select("user_id", "city", F.col("home_area").alias("dest_area"),
+                     _fav_list("fav_cuisines").alias("favs"))
+    uf = u.select("user_id", "city", "dest_area", F.explode("favs").alias("fav")).filter(F.col("fav") != "")
+    matches = cuisine_matches(restaurants, uf)
+    cand_f = cand.join(matches, "restaurant_id")
+
+    # Each list is ranked by its class's exact final score, so ties match the final ranking.
+    one = F.lit(1.0)
+    cls = lambda m, a: (F.col("base") * (F.lit(cuisine_bonus) if m else one)
+                        * (F.lit(same_area_bonus) if a else one)).alias("cls")
+    lists = {
+        "all": rank_limit(cand.withColumn("cls", cls(False, False)), ["city", "dest_area"],
+                          [F.col("cls").desc(), "restaurant_id"], k),
+        "same": rank_limit(cand.filter("same").withColumn("cls", cls(False, True)), ["city", "dest_area"],
+                           [F.col("cls").desc(), "restaurant_id"], k),
+        "fav": rank_limit(cand_f.withColumn("cls", cls(True, False)), ["city", "dest_area", "fav"],
+                          [F.col("cls").desc(), "restaurant_id"], k),
+        "fav_same": rank_limit(cand_f.filter("same").withColumn("cls", cls(True, True)),
+                               ["city", "dest_area", "fav"], [F.col("cls").desc(), "restaurant_id"], k),
+    }
+    keys = ["city", "dest_area"]
+    picked = None
+    for name, lst in lists.items():
+        on = keys + (["fav"] if name.startswith("fav") else [])
+        left = uf if name.startswith("fav") else u
+        part = left.join(broadcast_if_small(lst.select(*on, "restaurant_id")), on).select("user_id", "restaurant_id")
+        picked = part if picked is None else picked.unionByName(part)
+    pairs = picked.distinct()
+
+    scored = (pairs.join(u, "user_id")
+                   .join(rest.withColumnRenamed("city", "__rcity"), "restaurant_id")
+                   .withColumn("base", affinity_base("num_ratings", "avg_rating")))
+    match = F.exists("favs", lambda f: F.coalesce(F.col("cuisines"), F.lit("")).contains(f))
+    score = (F.col("base") * F.when(match, F.lit(cuisine_bonus)).otherwise(F.lit(1.0))
+             * F.when(F.col("area") == F.col("dest_area"), F.lit(same_area_bonus)).otherwise(F.lit(1.0)))
+    top = rank_limit(scored.withColumn("score", score), "user_id", [F.col("score").desc(), F.col("restaurant_id")],
+                     k, "rank")
+    return top.select("user_id", "restaurant_id",
+                      F.concat_ws("_", "city", "area", F.lit("to"), "dest_area").alias("route_key"),
+                      F.col("rank").cast("int").alias("rank"), "score")
 
 
 def enrich_requests(requests: DataFrame, conditions: DataFrame, route: str = "route_key",

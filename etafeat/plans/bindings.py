@@ -3,7 +3,7 @@
 * restaurant = ``supplier``: city = region name, area = nation name, menu price
   = account balance repaired like a menu price (non-positive -> city median,
   capped 50..3000).
-* user = ``customer``: city = region, home area = nation, budget segment =
+* user = ``customer``: city = region, home area = nation (as written), budget segment =
   market segment.
 * delivery order = ``orders`` with at least one line: restaurant = supplier of
   the first line (lowest line number, then supplier key); items = line count;
@@ -31,11 +31,11 @@ PRICE_MIN, PRICE_MAX = config.DEFAULT.price_min, config.DEFAULT.price_max
 
 
 def places(spark: SparkSession, sf: str) -> DataFrame:
-    """nation key -> (city = lower region name, area = lower nation name). 25 rows."""
+    """nation key -> (city = lower region name, area = nation name as written). 25 rows."""
     n = table(spark, sf, "nation")
     r = table(spark, sf, "region")
     return (n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey)
-             .select("n_nationkey", F.lower("r_name").alias("city"), F.lower("n_name").alias("area")))
+             .select("n_nationkey", F.lower("r_name").alias("city"), F.col("n_name").alias("area")))
 
 
 def price_repair(df: DataFrame, price: str, group: str, out: str = "avg_menu_price",
@@ -131,7 +131,7 @@ def sql_clip(x: str, lo: float, hi: float) -> str:
 
 
 SQL_PLACES = """places AS (
-  SELECT n.n_nationkey, lower(r.r_name) AS city, lower(n.n_name) AS area
+  SELECT n.n_nationkey, lower(r.r_name) AS city, n.n_name AS area
   FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey
 )"""
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from etafeat.plans import q_clean, q_features, q_routes, q_sampling, q_windows  # noqa: F401
+from etafeat.plans import q_clean, q_demand, q_features, q_routes, q_sampling, q_windows  # noqa: F401
 from etafeat.plans.registry import REGISTRY, Query
 
 

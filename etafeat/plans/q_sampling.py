@@ -105,7 +105,7 @@ def weighted_sample(spark, sf):
         "p_brand", "p_partkey", F.col("__rank").cast("int").alias("__rank"))
 
 
-@query("favourite_cuisines", SQL_AREA_PROFILE + f""",
+SQL_FAVS = SQL_AREA_PROFILE + f""",
 {b.SQL_PLACES},
 users AS (SELECT c.c_custkey AS user_id, places.city, places.area AS home_area
           FROM customer c JOIN places ON c.c_nationkey = places.n_nationkey),
@@ -116,11 +116,20 @@ ranked AS (SELECT user_id, cuisine, ROW_NUMBER() OVER (PARTITION BY user_id
                       CAST(user_id AS VARCHAR) || '|' || cuisine) AS rnk
            FROM cand),
 favs AS (SELECT user_id, string_agg({sql_title('cuisine', 'f')}, ', ' ORDER BY rnk) AS fav
-         FROM ranked WHERE rnk <= 5 GROUP BY user_id)
-SELECT users.user_id, coalesce(favs.fav, '') AS fav_cuisines
-FROM users LEFT JOIN favs ON users.user_id = favs.user_id
+         FROM ranked WHERE rnk <= 5 GROUP BY user_id),
+user_favs AS (SELECT users.user_id, users.city, users.home_area, coalesce(favs.fav, '') AS fav_cuisines
+              FROM users LEFT JOIN favs ON users.user_id = favs.user_id)
+"""
+
+
+@query("favourite_cuisines", SQL_FAVS + """
+SELECT user_id, fav_cuisines FROM user_favs
 """, "U7 per user: up to 5 local cuisines without replacement, display string")
 def favourite_cuisines(spark, sf):
-    prof = sm.area_profile(clean_restaurants(spark, sf))
+    return users_with_favs(spark, sf).select("user_id", "fav_cuisines")
+
+
+def users_with_favs(spark, sf, restaurants=None):
+    prof = sm.area_profile(restaurants if restaurants is not None else clean_restaurants(spark, sf))
     users = b.users(spark, sf).select("user_id", "city", "home_area")
-    return sm.favourite_cuisines(users, prof).select("user_id", "fav_cuisines")
+    return sm.favourite_cuisines(users, prof)
