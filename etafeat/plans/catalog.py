@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from etafeat.plans import q_clean, q_demand, q_features, q_routes, q_sampling, q_windows  # noqa: F401
+from etafeat.plans import (q_clean, q_demand, q_features, q_quality, q_routes, q_sampling,  # noqa: F401
+                           q_windows)
 from etafeat.plans.registry import REGISTRY, Query
 
 

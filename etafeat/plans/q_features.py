@@ -30,7 +30,7 @@ def _dmean(x: str, s: int) -> str:
 
 
 def _dstd(x: str, s: int) -> str:
-    d = f"CAST({x} AS DECIMAL(18,{s}))"
+    d = f"CAST({x} AS DECIMAL(38,{s}))"
     s1 = f"CAST(SUM({d}) AS DOUBLE)"
     return (f"CASE WHEN COUNT({x}) > 1 THEN sqrt(greatest((CAST(SUM({d} * {d}) AS DOUBLE) - {s1} * {s1}"
             f" / COUNT({x})) / (COUNT({x}) - 1), 0.0)) END")
