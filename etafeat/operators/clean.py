@@ -111,6 +111,9 @@ def clean_restaurants(raw: DataFrame, anchors: Mapping[str, tuple[float, float]]
         "area": F.trim(F.col("area").cast("string")),
         "name": F.trim(F.col("name").cast("string")),
         "avg_menu_price": positive_or_null(to_double("price")),
+        "avg_rating": to_double("avg_rating"),
+        "num_ratings": F.col("num_ratings").try_cast("bigint"),
+        "base_delivery_time_min": to_double("base_delivery_time_min"),
     }).drop("price")
     med = group_median(df, "city", "avg_menu_price")
     df = (df.join(broadcast_if_small(med), "city", "left")

@@ -1 +1 @@
-"""sources."""
+"""Sources and sinks: CSV at the edges, Parquet between stages, JSON metrics."""
