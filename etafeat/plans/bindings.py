@@ -96,7 +96,11 @@ def delivery_orders(spark: SparkSession, sf: str, seed: int = SEED) -> DataFrame
          .alias("route_key"),
         "city", F.col("o_orderdate").alias("order_created_at"), "o_totalprice", "num_items", "max_qty",
         (F.abs(F.col("s_nation") - F.col("c_nation")) * 2).cast("double").alias("grid_km"))
-    f = route_geometry(f, seed)
+    # Geometry is an attribute of the route, not of the order: draw it once per
+    # distinct route and join it back. Routes are pairs of nations (at most
+    # 25 x 25 keys whatever the data volume), so the dimension is broadcast.
+    routes = route_geometry(f.select("route_key", "grid_km").distinct(), seed)
+    f = f.drop("grid_km").join(F.broadcast(routes), "route_key")
     oid = F.col("order_id")
     f = expected_weather(f, ts="order_created_at", draw=unit_hash(oid, seed, "rain"))
     f = expected_traffic(f, ts="order_created_at", digits=2)

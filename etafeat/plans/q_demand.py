@@ -11,7 +11,7 @@ from etafeat.plans import bindings as b
 from etafeat.plans.q_clean import clean_restaurants
 from etafeat.plans.q_sampling import SQL_FAVS, users_with_favs
 from etafeat.plans.registry import query
-from etafeat.session import table
+from etafeat.session import materialize, table
 
 _SCORE = """pow(greatest(CAST(r.num_ratings AS DOUBLE), 10.0), 0.6) * pow(coalesce(r.avg_rating, 3.5) / 5.0, 1.2)
     * CASE WHEN len(list_filter(CASE WHEN coalesce(u.fav_cuisines, '') = '' THEN []
@@ -44,8 +44,9 @@ FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY score DESC, res
 WHERE rk <= 3
 """, "U14, J4, J9, W6, M4: top-3 restaurants per user by affinity, exact without all pairs")
 def affinity_topk(spark, sf):
-    rest = clean_restaurants(spark, sf)
-    users = users_with_favs(spark, sf, rest)
+    # stage boundaries: cleaned restaurants and users are read by several branches
+    rest = materialize(clean_restaurants(spark, sf), "restaurants_clean")
+    users = materialize(users_with_favs(spark, sf, rest), "users")
     routes = rt.route_network(rest.select("city", "area"), users.select("city", "home_area"))
     top = dm.restaurant_affinity(users, rest, routes, k=3)
     return top.withColumn("score", round_half_even("score", 6))
