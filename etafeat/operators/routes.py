@@ -159,32 +159,42 @@ def quarantine_chunks(df: DataFrame, key: str = "route_key", ts: str = "timestam
                       start: str | None = None, chunk_hours: int = 24,
                       checks: Column | None = None) -> tuple[DataFrame, DataFrame]:
     """Split rows into (good, quarantined): a whole (route, chunk) is quarantined
-    when any of its rows has a NULL or a traffic level outside 0..1.
+    when any of its rows has a NULL or a traffic level outside 0..1 (W7).
 
-    Chunks are ``chunk_hours`` long counted from ``start`` (the calendar start)
-    or from the route's first hour. The bad flag is a grouped ``max`` joined
-    back, so a large route never lands in one window partition.
+    Chunks are ``chunk_hours`` long, counted from ``start`` (the calendar
+    start) or from the route's first hour. The flag is a window over
+    (route, chunk), a partition of at most ``chunk_hours`` rows, so the table
+    is read once and no partition can grow with the data.
     """
-    t_first = (F.lit(start).cast("timestamp_ntz") if start else None)
-    if t_first is None:
+    if start is not None:
+        t0 = F.lit(start).cast("timestamp_ntz")
+        base = df
+    else:
         firsts = df.groupBy(key).agg(F.min(ts).alias("__t0"))
-        df = df.join(broadcast_if_small(firsts), key)
+        base = df.join(broadcast_if_small(firsts), key)
         t0 = F.col("__t0")
-    else:
-        t0 = t_first
     chunk = F.floor(F.timestamp_diff("HOUR", t0, F.col(ts)) / F.lit(chunk_hours))
     bad_row = checks if checks is not None else (
-        F.greatest(*[F.col(c).isNull() for c in df.columns if not c.startswith("__")])
+        F.greatest(*[F.col(c).isNull() for c in df.columns])
         | ~F.col("traffic_level").between(0.0, 1.0))
-    flagged = df.withColumn("__chunk", chunk).withColumn("__bad", bad_row.cast("int"))
-    bad_chunks = flagged.groupBy(key, "__chunk").agg(F.max("__bad").alias("__chunk_bad"))
-    marked = flagged.join(bad_chunks, [key, "__chunk"])
-    drop = ["__chunk", "__bad", "__chunk_bad"] + (["__t0"] if start is None else [])
+    w = Window.partitionBy(key, "__chunk")
+    marked = (base.withColumn("__chunk", chunk)
+                  .withColumn("__chunk_bad", F.max(bad_row.cast("int")).over(w)))
+    drop = ["__chunk", "__chunk_bad"] + (["__t0"] if start is None else [])
     good = marked.filter(F.col("__chunk_bad") == 0).drop(*drop)
     quarantined = marked.filter(F.col("__chunk_bad") == 1).drop(*drop)
     return good, quarantined
 
 
+def conditions(route_hours_df: DataFrame) -> DataFrame:
+    """Weather, traffic and base ETA for every (route, hour) in one projection."""
+    base = route_hours_df.withColumn("base_eta_minutes", base_eta("distance_km", "highway_pct",
+                                                                  "arterial_pct", "residential_pct"))
+    return expected_traffic(expected_weather(base)).select(
+        "route_key", "timestamp", "temperature", "rain", "rain_exposure_factor", "traffic_level",
+        "distance_km", "highway_pct", "base_eta_minutes")
+
+
 def conditions_table(route_hours_df: DataFrame, seed: int = config.DEFAULT.seed) -> DataFrame:
     """Weather and traffic for every (route, hour), joined on both keys."""
     base = route_hours_df.withColumn("base_eta_minutes", base_eta("distance_km", "highway_pct",

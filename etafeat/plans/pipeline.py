@@ -85,8 +85,8 @@ def routes_stage(spark: SparkSession, restaurants: DataFrame, users: DataFrame,
     net = rt.route_network(restaurants, users, settings.max_route_km, settings.routes_per_city)
     geo = rt.route_geometry(net, settings.seed)
     hours = rt.calendar(spark, settings.end_time, settings.days)
-    cond = rt.conditions_table(rt.route_hours(geo, hours), settings.seed)
-    start = hours.agg(F.min("timestamp")).collect()[0][0]
+    cond = rt.conditions(rt.route_hours(geo, hours))
+    start = hours.agg(F.min("timestamp")).collect()[0][0]  # one row
     return rt.quarantine_chunks(cond, start=str(start))
 
 
@@ -144,6 +144,33 @@ def run_features(orders: DataFrame, restaurants: DataFrame, users: DataFrame, ou
     return doc
 
 
+def run_pipeline(spark: SparkSession, raw_csv: str, requests: DataFrame | None, out_dir: str, n_users: int,
+                 settings: config.Settings = S,
+                 anchors: Mapping[str, tuple[float, float]] = config.CITY_ANCHORS) -> dict:
+    """All five stages. Each stage's output is written as Parquet and read back
+    by the next, so a later stage never re-plans (or re-runs) an earlier one.
+
+    ``requests`` (user_id, restaurant_id, route_key, ts, num_items) drive stage
+    4; without them the run stops after the route conditions.
+    """
+    def stage(df: DataFrame, name: str) -> DataFrame:
+        path = os.path.join(out_dir, f"{name}.parquet")
+        io.write_parquet(df, path)
+        return spark.read.parquet(path)
+
+    docs = {"restaurants": run_clean(spark, raw_csv, out_dir, settings, anchors)}
+    rest = spark.read.parquet(os.path.join(out_dir, "restaurants_clean.parquet"))
+    users = stage(users_stage(spark, rest, n_users, settings), "users")
+    good, bad = routes_stage(spark, rest, users, settings)
+    routes = stage(good, "routes_eta")
+    docs["routes_quarantined"] = io.write_observed(bad, os.path.join(out_dir, "routes_quarantine.parquet"))
+    if requests is None:
+        return docs
+    orders = stage(orders_stage(requests, rest, routes, settings), "orders")
+    docs["features"] = run_features(orders, rest, users, out_dir, os.path.join(out_dir, "features.json"))
+    return docs
+
+
 def run_clean(spark: SparkSession, raw_csv: str, out_dir: str, settings: config.Settings = S,
               anchors: Mapping[str, tuple[float, float]] = config.CITY_ANCHORS) -> dict:
     """Stage 1 end to end: CSV in; Parquet + CSV + metrics out."""
