@@ -10,7 +10,7 @@ from etafeat import config
 from etafeat.functions.columns import (clip, col_, floor_hour, hour_in, is_weekend,
                                        round_half_even)
 from etafeat.operators.joins import broadcast_if_small
-from etafeat.operators.windows import cap_per_hour, rank_limit, share_of_group
+from etafeat.operators.windows import cap_per_hour, exact_sum, rank_limit
 
 S = config.DEFAULT
 
@@ -26,7 +26,7 @@ def demand_profile(hours: DataFrame, ts: str = "timestamp", peak_weight: float =
     w = (F.when(hour_in(t, config.ORDER_PEAK_HOURS), F.lit(peak_weight)).otherwise(F.lit(1.0))
          * F.when(is_weekend(t), F.lit(weekend_multiplier)).otherwise(F.lit(1.0)))
     weighted = hours.withColumn("weight", round_half_even(w, 6))
-    total = weighted.agg(F.sum(F.col("weight").cast("decimal(38,6)")).cast("double").alias("__total"))
+    total = weighted.agg(exact_sum("weight", 6).alias("__total"))
     return (weighted.crossJoin(F.broadcast(total))
             .withColumn("probability", F.col("weight") / F.col("__total")).drop("__total"))
 

@@ -19,7 +19,7 @@ from etafeat import config
 from etafeat.functions.columns import (cyclical, epoch_micros, hour_in, parse_route,
                                        round_half_even)
 from etafeat.operators.joins import broadcast_if_small, join_dimension
-from etafeat.operators.windows import Trailing, target_encode, trailing_windows
+from etafeat.operators.windows import Trailing, exact_sum, target_encode, trailing_windows
 
 S = config.DEFAULT
 
@@ -27,11 +27,11 @@ S = config.DEFAULT
 # ------------------------------------------------------------ exact aggregates
 
 def dmean(x: Column | str, scale: int | None) -> Column:
-    """Mean; with ``scale`` the sum is an exact DECIMAL."""
+    """Mean; with ``scale`` the sum is exact (scaled integers or DECIMAL)."""
     c = F.col(x) if isinstance(x, str) else x
     if scale is None:
         return F.avg(c)
-    return F.sum(c.cast(f"decimal(38,{scale})")).cast("double") / F.count(c)
+    return exact_sum(c, scale) / F.count(c)
 
 
 def dstd(x: Column | str, scale: int | None) -> Column:
@@ -45,7 +45,7 @@ def dstd(x: Column | str, scale: int | None) -> Column:
         return F.stddev_samp(c)
     d = c.cast(f"decimal(18,{scale})")
     n = F.count(c)
-    s1 = F.sum(d).cast("double")
+    s1 = exact_sum(c, scale)
     s2 = F.sum(d * d).cast("double")
     var = (s2 - s1 * s1 / n) / (n - F.lit(1))
     return F.when(n > 1, F.sqrt(F.greatest(var, F.lit(0.0))))

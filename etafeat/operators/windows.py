@@ -47,23 +47,44 @@ def _keys(key: str | Sequence[str]) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
 
 
-def exact_sum(c: Column | str, scale: int | None) -> Column:
-    """Sum whose value does not depend on row order when ``scale`` is given.
+# Scales up to this use 64-bit scaled integers (|x| * 10^scale summed over up to
+# ~10^12 rows stays below 2^63 for |x| < 10^4); larger scales use DECIMAL(38).
+LONG_SCALE_MAX = 3
+
+
+def scaled(c: Column | str, scale: int | None) -> Column:
+    """Exact integer-like form of a value with at most ``scale`` decimals.
 
-    Values with at most ``scale`` decimals are summed as DECIMAL(38, scale),
-    which is exact and associative, then turned into a double.
+    ``rint(x * 10^scale)`` as BIGINT (fast, exact for such values) when the
+    scale is small, otherwise DECIMAL(38, scale); ``None`` keeps the double.
     """
     x = F.col(c) if isinstance(c, str) else c
     if scale is None:
-        return F.sum(x.cast("double"))
-    return F.sum(x.cast(f"decimal(38,{scale})"))
+        return x.cast("double")
+    if scale <= LONG_SCALE_MAX:
+        return F.rint(x * F.lit(float(10 ** scale))).cast("bigint")
+    return x.cast(f"decimal(38,{scale})")
+
+
+def unscaled(total: Column, scale: int | None) -> Column:
+    """Sum of ``scaled`` values back to a double (exact division, correctly rounded)."""
+    if scale is None:
+        return total.cast("double")
+    if scale <= LONG_SCALE_MAX:
+        return total.cast("double") / F.lit(float(10 ** scale))
+    return total.cast("double")
+
+
+def exact_sum(c: Column | str, scale: int | None) -> Column:
+    """Sum that does not depend on row order when ``scale`` is given, as a double."""
+    return unscaled(F.sum(scaled(c, scale)), scale)
 
 
 def exact_mean(c: Column | str, scale: int | None) -> Column:
     x = F.col(c) if isinstance(c, str) else c
     if scale is None:
         return F.avg(x)
-    return exact_sum(x, scale).cast("double") / F.count(x)
+    return exact_sum(x, scale) / F.count(x)
 
 
 @dataclass(frozen=True)
@@ -113,12 +134,12 @@ def trailing_windows(df: DataFrame, key: str | Sequence[str], ts: str,
             e = F.count(F.lit(1)).over(w) if s.value is None else F.count(s.value).over(w)
             e = e.cast("bigint")
         elif s.agg == "sum":
-            e = exact_sum(s.value, s.scale).over(w).cast("double")
+            e = unscaled(F.sum(scaled(s.value, s.scale)).over(w), s.scale)
         elif s.agg == "mean":
             if s.scale is None:
                 e = F.avg(s.value).over(w)
             else:
-                e = exact_sum(s.value, s.scale).over(w).cast("double") / F.count(s.value).over(w)
+                e = unscaled(F.sum(scaled(s.value, s.scale)).over(w), s.scale) / F.count(s.value).over(w)
         elif s.agg in ("min", "max"):
             e = getattr(F, s.agg)(s.value).over(w)
         else:
@@ -162,7 +183,7 @@ def target_encode(df: DataFrame, key: str | Sequence[str], target: str, ts: str,
     t = epoch_micros(ts)
     base = df.withColumn("__t", t).withColumn("__b", F.floor(F.col("__t") / F.lit(b_us)))
     v = F.col(target)
-    vsum = (lambda c: c.cast(f"decimal(38,{scale})")) if scale is not None else (lambda c: c.cast("double"))
+    vsum = lambda c: scaled(c, scale)
 
     # Level 1: totals per (key, bucket) -> prefix of all earlier buckets.
     hist = (history if history is not None else df).select(*keys, ts, target)
@@ -187,10 +208,10 @@ def target_encode(df: DataFrame, key: str | Sequence[str], target: str, ts: str,
     joined = local.join(prefix, [*keys, "__b"], "left")
     total_s = F.coalesce(F.col("__ls"), F.lit(0)) + F.coalesce(F.col("__ps"), F.lit(0))
     total_c = F.coalesce(F.col("__lc"), F.lit(0)) + F.coalesce(F.col("__pc"), F.lit(0))
-    mean = F.when(total_c > 0, total_s.cast("double") / total_c)
+    mean = F.when(total_c > 0, unscaled(total_s, scale) / total_c)
 
     if prior == "global":
-        g = per_bucket.agg((F.sum("__bs").cast("double") / F.sum("__bc")).alias("__prior"))
+        g = per_bucket.agg((unscaled(F.sum("__bs"), scale) / F.sum("__bc")).alias("__prior"))
         joined = joined.crossJoin(F.broadcast(g))
         fill = F.col("__prior")
     else:

@@ -11,6 +11,7 @@ from etafeat.functions.columns import (display_tokens, hash_mod, positive_or_nul
 from etafeat.operators import clean as cl
 from etafeat.operators import quality as qa
 from etafeat.operators.joins import missing_keys
+from etafeat.operators.windows import scaled, unscaled
 from etafeat.plans import bindings as b
 from etafeat.plans.registry import query
 from etafeat.session import table
@@ -31,8 +32,8 @@ def raw_restaurants(spark: SparkSession, sf: str) -> DataFrame:
     sp = (table(spark, sf, "lineitem")
           .groupBy("l_suppkey", "l_partkey")
           .agg(F.count(F.lit(1)).alias("n"),
-               F.sum(F.col("l_discount").cast("decimal(38,2)")).alias("sd"),
-               F.sum(F.col("l_quantity").cast("decimal(38,2)")).alias("sq")))
+               F.sum(scaled("l_discount", 2)).alias("sd"),
+               F.sum(scaled("l_quantity", 2)).alias("sq")))
     part = table(spark, sf, "part").select("p_partkey", "p_type")
     per = (sp.join(part, sp.l_partkey == part.p_partkey)
              .groupBy("l_suppkey")
@@ -50,11 +51,11 @@ def raw_restaurants(spark: SparkSession, sf: str) -> DataFrame:
         F.col("r_name").alias("City"),
         F.col("s_name").alias("Restaurant"),
         F.col("s_acctbal").cast("string").alias("Price"),
-        round_half_even(F.lit(5.0) - F.lit(40.0) * F.col("sd").cast("double") / F.col("total"), 1).alias("Avg ratings"),
+        round_half_even(F.lit(5.0) - F.lit(40.0) * unscaled(F.col("sd"), 2) / F.col("total"), 1).alias("Avg ratings"),
         F.col("total").cast("bigint").alias("Total ratings"),
         F.col("food_type").alias("Food type"),
         F.concat(F.col("s_name"), F.lit(", "), F.col("n_name")).alias("Address"),
-        (F.col("sq").cast("double") / F.col("total")).alias("Delivery time"),
+        (unscaled(F.col("sq"), 2) / F.col("total")).alias("Delivery time"),
     )
 
 
