@@ -11,7 +11,7 @@ from etafeat import config
 from etafeat.functions.columns import (canonical, clip, display_tokens, hash_mod, positive_or_null,
                                        price_band, round_half_even, to_double, token_array, unit_hash)
 from etafeat.operators.joins import broadcast_if_small
-from etafeat.operators.quality import normalize_columns, require_columns, require_unique
+from etafeat.operators.quality import normalize_columns, require_columns
 
 S = config.DEFAULT
 
@@ -91,6 +91,24 @@ def dedupe_first(df: DataFrame, key: str | Sequence[str], order: Sequence[str])
     return best.select(*keys, *[F.col(f"__row.{c}").alias(c) for c in rest])
 
 
+def _gates(df: DataFrame, anchors: Mapping[str, tuple[float, float]], aliases: Mapping[str, str],
+           unique: bool, cities: bool) -> None:
+    """Both input gates in one pass: duplicate ids, and cities without an anchor
+    among rows that survive the delivery-time filter. Only counts and the
+    (bounded) set of city names reach the driver."""
+    ok_row = to_double("base_delivery_time_min") > 0
+    r = df.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("restaurant_id").alias("ids"),
+               F.collect_set(F.when(ok_row, canonical("city", aliases))).alias("cities")).collect()[0]
+    if unique and r.n != r.ids:
+        ex = (df.groupBy("restaurant_id").count().filter("count > 1").orderBy(F.col("count").desc())
+              .limit(5).collect())
+        raise ValueError(f"found {r.n - r.ids} duplicate restaurant_id rows (rows {r.n}, unique {r.ids}); "
+                         f"examples: {[tuple(x) for x in ex]}")
+    unknown = sorted(set(r.cities) - set(anchors))
+    if cities and unknown:
+        raise ValueError(f"unknown cities not in anchors: {unknown}")
+
+
 def clean_restaurants(raw: DataFrame, anchors: Mapping[str, tuple[float, float]] = config.CITY_ANCHORS,
                       aliases: Mapping[str, str] = config.CITY_ALIASES, settings: config.Settings = S,
                       on_duplicate: str = "raise", geo: bool = True) -> DataFrame:
@@ -103,8 +121,7 @@ def clean_restaurants(raw: DataFrame, anchors: Mapping[str, tuple[float, float]]
     """
     require_columns(raw, config.RAW_RESTAURANT_COLUMNS)
     df = normalize_columns(raw).withColumnsRenamed(config.RESTAURANT_RENAMES)
-    if on_duplicate == "raise":
-        require_unique(df, "restaurant_id")
+    _gates(df, anchors, aliases, unique=on_duplicate == "raise", cities=geo)
     df = df.withColumns({
         "city_raw": F.col("city").cast("string"),
         "city": canonical("city", aliases),
@@ -127,7 +144,8 @@ def clean_restaurants(raw: DataFrame, anchors: Mapping[str, tuple[float, float]]
     }).withColumn("cuisines", F.col("cuisines_str")).drop("cuisines_raw")
     df = df.filter(F.col("base_delivery_time_min").cast("double") > 0)
     if geo:
-        df = geo_jitter(df, ["city", "area", "name"], anchors, span=settings.geo_jitter)
+        df = geo_jitter(df, ["city", "area", "name"], anchors, span=settings.geo_jitter,
+                        default_anchor=(0.0, 0.0))  # unknown cities were rejected by _gates
     df = df.withColumn("delivery_fee", delivery_fee("restaurant_id", settings.seed))
     if on_duplicate == "keep_first":
         df = dedupe_first(df, "restaurant_id", ["name", "area"])

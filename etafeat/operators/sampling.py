@@ -128,20 +128,19 @@ def weighted_sample(df: DataFrame, group: str | Sequence[str], k: int, key: str,
 def favourite_cuisines(users: DataFrame, profile: DataFrame, k: int = config.DEFAULT.max_fav_cuisines,
                        seed: int = config.DEFAULT.seed, city: str = "city", area: str = "home_area") -> DataFrame:
     """Up to ``k`` distinct local cuisines per user, drawn without replacement,
-    as a title-cased display string (empty when the area has none).
+    as a title-cased display string (empty when the area has none) (U7).
 
-    Users are joined to their area's cuisine list (bounded by the vocabulary),
-    the list is exploded and ``k`` are kept per user by keyed draws.
+    Each user row gets its area's cuisine list (broadcast when small); every
+    cuisine gets the key ``-ln(u(user|cuisine))`` and the ``k`` smallest are
+    kept, all inside the row with array functions: no explode, no shuffle,
+    no per-user window, whatever the number of users.
     """
-    prof = profile.select(F.col("city").alias(city), F.col("area").alias(area), "cuisines")
-    cand = (users.select("user_id", city, area)
-            .join(broadcast_if_small(prof), [city, area], "left")
-            .select("user_id", F.explode_outer("cuisines").alias("cuisine")))
-    keyed = cand.withColumn("__key", F.concat_ws("|", F.col("user_id").cast("string"), F.col("cuisine")))
-    picked = weighted_sample(keyed.filter(F.col("cuisine").isNotNull()), "user_id", k, "__key", seed=seed,
-                             salt="fav")
-    favs = picked.groupBy("user_id").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("__rank", "cuisine"))),
-                                 lambda s: title_case(s["cuisine"])), ", ").alias("fav_cuisines"))
-    return users.join(favs, "user_id", "left").withColumn(
-        "fav_cuisines", F.coalesce(F.col("fav_cuisines"), F.lit("")))
+    prof = profile.select(F.col("city").alias(city), F.col("area").alias(area), F.col("cuisines").alias("__local"))
+    u = users.join(broadcast_if_small(prof), [city, area], "left")
+    uid = F.col("user_id").cast("string")
+    keyed = F.transform(F.coalesce(F.col("__local"), F.array().cast("array<string>")),
+                        lambda c: F.struct((-F.ln(unit_hash(F.concat_ws("|", uid, c), seed, "fav"))).alias("k"),
+                                           c.alias("cuisine")))
+    picked = F.slice(F.array_sort(keyed), 1, k)
+    fav = F.array_join(F.transform(picked, lambda s: title_case(s["cuisine"])), ", ")
+    return u.withColumn("fav_cuisines", F.coalesce(fav, F.lit(""))).drop("__local")
