@@ -265,9 +265,33 @@ def feature_matrix(spark, sf):
     return build_feature_matrix(spark, sf)
 
 
-@query("feature_validation", None, "U26, A18, A19, P9: one-pass quality table of the matrix")
+FEATURE_NAMES = (
+    "basket_value num_items distance_km rain temperature traffic_level base_eta_minutes name city area "
+    "avg_menu_price price_band city_user home_area budget_segment hour day_of_week month is_weekend "
+    "is_rush_hour hour_sin hour_cos day_sin day_cos user_avg_delivery_time user_std_delivery_time "
+    "user_order_count user_avg_basket user_completion_rate user_avg_distance rest_avg_delivery_time "
+    "rest_std_delivery_time rest_completion_rate rest_order_volume rest_avg_basket dest_area origin_area "
+    "route_avg_traffic route_std_traffic route_historical_delivery_time route_distance route_base_eta "
+    "rush_traffic_interaction distance_rain_interaction restaurant_complexity traffic_squared is_high_value "
+    "rest_orders_last_1h route_avg_delivery_last_3h traffic_ma_2h restaurant_id_encoded user_id_encoded").split()
+TEXT_FEATURES = {"name", "city", "area", "price_band", "city_user", "home_area", "budget_segment", "dest_area",
+                 "origin_area"}
+
+
+def _quality_sql() -> str:
+    parts = []
+    for c in FEATURE_NAMES:
+        inf = ("0" if c in TEXT_FEATURES else
+               f"SUM(CASE WHEN abs(CAST({c} AS DOUBLE)) = CAST('inf' AS DOUBLE) THEN 1 ELSE 0 END)")
+        parts.append(
+            f"SELECT '{c}' AS feature, CAST(SUM(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS n_null, "
+            f"CAST({inf} AS BIGINT) AS n_inf, MIN({_T}) AS target_min, CAST(COUNT(*) AS BIGINT) AS n_rows, "
+            f"SUM(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) / COUNT(*) AS null_share FROM fm")
+    return f"WITH fm AS ({FEATURE_SQL})\n" + "\nUNION ALL\n".join(parts)
+
+
+@query("feature_validation", _quality_sql(), "U26, A18, A19, P9: one-pass quality table of the matrix")
 def feature_validation(spark, sf):
     fm = build_feature_matrix(spark, sf)
     feats = [c for c in fm.columns if c not in ("order_id", _T, "split")]
     return fx.feature_quality(fm, feats, _T)
-
