@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
@@ -224,21 +224,76 @@ def validate_features(df: DataFrame, features: Sequence[str], target: str,
 
 # ---------------------------------------------------------------------- split
 
-def split_point(df: DataFrame, ts: str, q: float = S.split_quantile, exact: bool = True) -> DataFrame:
+def exact_quantile(df: DataFrame, x: Column, q: float, accuracy: int = 1_000_000) -> float | None:
+    """Exact ``q`` quantile of a numeric column with linear interpolation, in two passes.
+
+    1. ``count`` and ``percentile_approx`` at ``q ± 2/accuracy`` (one row to the
+       driver): the approximate answers bracket the two ranks the interpolation
+       needs, because their rank error is at most ``n / accuracy``.
+    2. Only the band between the brackets (about ``4n / accuracy`` rows) is
+       ranked exactly, as (value, count) pairs.
+
+    No task ever holds more than the band, unlike an exact ``percentile``,
+    whose final merge keeps every distinct value in one task.
+    """
+    eps = 2.0 / accuracy
+    v = x.cast("double")
+    n = df.agg(F.count(v)).collect()[0][0]
+    if not n:
+        return None
+    pos = (n - 1) * q
+    k_lo, k_hi = int(pos // 1), int(-(-pos // 1))          # 0-based ranks to interpolate
+    p_lo = min(1.0, max(0.0, (k_lo - 1) / n - eps))
+    p_hi = min(1.0, max(0.0, (k_hi + 2) / n + eps))
+    lo, hi = df.agg(F.percentile_approx(v, F.array(F.lit(p_lo), F.lit(p_hi)), accuracy)).collect()[0][0]
+    for bounds in ((lo, hi), (None, None)):                  # unbounded band only if a bracket missed
+        vals = _ranked_values(df, v, bounds, (k_lo, k_hi))
+        if k_lo in vals and k_hi in vals:
+            break
+    a, b = vals[k_lo], vals[k_hi]
+    return a if k_hi == k_lo else (k_hi - pos) * a + (pos - k_lo) * b
+
+
+def _ranked_values(df: DataFrame, v: Column, bounds: tuple, ranks: tuple[int, int]) -> dict[int, float]:
+    """Values at the given 0-based ranks, ranking only rows within ``bounds``."""
+    lo, hi = bounds
+    below = df.filter(v < lo).count() if lo is not None else 0
+    band = df.select(v.alias("v")).filter(F.col("v").isNotNull())
+    if lo is not None:
+        band = band.filter((F.col("v") >= lo) & (F.col("v") <= hi))
+    band = band.groupBy("v").agg(F.count(F.lit(1)).alias("c"))
+    w = Window.orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = band.withColumn("__end", F.sum("c").over(w) + F.lit(below))  # rows <= v
+    k_lo, k_hi = ranks
+    out = {}
+    for r in ranked.filter((F.col("__end") > k_lo) & (F.col("__end") - F.col("c") <= k_hi)).collect():
+        for k in ranks:  # at most two distinct values qualify
+            if r["__end"] - r["c"] <= k < r["__end"]:
+                out[k] = r["v"]
+    return out
+
+
+def split_point(df: DataFrame, ts: str, q: float = S.split_quantile, method: str = "exact") -> DataFrame:
     """One-row frame with ``__cut``: the ``q`` quantile of ``ts`` in micros (linear interpolation).
 
-    ``exact`` uses the exact percentile (memory grows with distinct times);
-    otherwise ``percentile_approx`` (bounded memory, rank error 1/10000).
+    ``exact``: two-pass exact quantile (bounded memory per task, see
+    ``exact_quantile``); ``percentile``: Spark's exact percentile in one
+    aggregate (memory grows with distinct times); ``approx``:
+    ``percentile_approx`` (rank error 1/10000).
     """
     m = epoch_micros(ts)
-    agg = F.percentile(m, F.lit(q)) if exact else F.percentile_approx(m, F.lit(q), 10000).cast("double")
+    if method == "exact":
+        cut = exact_quantile(df, m, q)
+        return df.sparkSession.range(1).select(F.lit(cut).cast("double").alias("__cut"))
+    agg = F.percentile(m, F.lit(q)) if method == "percentile" else \
+        F.percentile_approx(m, F.lit(q), 10000).cast("double")
     return df.agg(agg.alias("__cut"))
 
 
-def time_split(df: DataFrame, ts: str, q: float = S.split_quantile, exact: bool = True,
+def time_split(df: DataFrame, ts: str, q: float = S.split_quantile, method: str = "exact",
                label: str = "split", source: DataFrame | None = None) -> DataFrame:
     """Label rows ``train`` (time < q-quantile) or ``val`` (>=); the cut comes from ``source``."""
-    cut = split_point(source if source is not None else df, ts, q, exact)
+    cut = split_point(source if source is not None else df, ts, q, method)
     return (df.crossJoin(F.broadcast(cut))
               .withColumn(label, F.when(epoch_micros(ts) < F.col("__cut"), "train").otherwise("val"))
               .drop("__cut"))
