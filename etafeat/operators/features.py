@@ -224,28 +224,35 @@ def validate_features(df: DataFrame, features: Sequence[str], target: str,
 
 # ---------------------------------------------------------------------- split
 
-def exact_quantile(df: DataFrame, x: Column, q: float, accuracy: int = 1_000_000) -> float | None:
-    """Exact ``q`` quantile of a numeric column with linear interpolation, in two passes.
-
-    1. ``count`` and ``percentile_approx`` at ``q ± 2/accuracy`` (one row to the
-       driver): the approximate answers bracket the two ranks the interpolation
-       needs, because their rank error is at most ``n / accuracy``.
-    2. Only the band between the brackets (about ``4n / accuracy`` rows) is
-       ranked exactly, as (value, count) pairs.
-
-    No task ever holds more than the band, unlike an exact ``percentile``,
-    whose final merge keeps every distinct value in one task.
+def exact_quantile(df: DataFrame, x: Column, q: float, accuracy: int = 1_000_000,
+                   small: int = 1_000_000) -> float | None:
+    """Exact ``q`` quantile of a numeric column with linear interpolation.
+
+    Pass 1 returns one row: the count and ``percentile_approx`` at ``q ± δ``,
+    where δ is wide enough to bracket the two ranks the interpolation needs
+    (approximate ranks are off by at most ``n / accuracy``). Up to ``small``
+    values, Spark's exact ``percentile`` finishes (its memory is bounded by
+    that count). Beyond it, one grouped pass over values ``<= hi`` returns the
+    count below the bracket and the band as (value, count) pairs (about
+    ``2δn`` rows), and only the band is ranked. No task ever holds all distinct
+    values, unlike a single exact ``percentile``.
     """
-    eps = 2.0 / accuracy
     v = x.cast("double")
-    n = df.agg(F.count(v)).collect()[0][0]
+    delta = max(1e-4, 8.0 / accuracy)
+    head = df.agg(F.count(v).alias("n"), F.percentile_approx(
+        v, F.array(F.lit(max(0.0, q - delta)), F.lit(min(1.0, q + delta))), accuracy).alias("b")).collect()[0]
+    n = head.n
     if not n:
         return None
+    if n <= small:
+        return df.agg(F.percentile(v, F.lit(q))).collect()[0][0]
     pos = (n - 1) * q
     k_lo, k_hi = int(pos // 1), int(-(-pos // 1))          # 0-based ranks to interpolate
-    p_lo = min(1.0, max(0.0, (k_lo - 1) / n - eps))
-    p_hi = min(1.0, max(0.0, (k_hi + 2) / n + eps))
-    lo, hi = df.agg(F.percentile_approx(v, F.array(F.lit(p_lo), F.lit(p_hi)), accuracy)).collect()[0][0]
+    lo, hi = head.b
+    if q - delta <= 0:
+        lo = None
+    if q + delta >= 1:
+        hi = None
     for bounds in ((lo, hi), (None, None)):                  # unbounded band only if a bracket missed
         vals = _ranked_values(df, v, bounds, (k_lo, k_hi))
         if k_lo in vals and k_hi in vals:
@@ -257,11 +264,13 @@ def exact_quantile(df: DataFrame, x: Column, q: float, accuracy: int = 1_000_000
 def _ranked_values(df: DataFrame, v: Column, bounds: tuple, ranks: tuple[int, int]) -> dict[int, float]:
     """Values at the given 0-based ranks, ranking only rows within ``bounds``."""
     lo, hi = bounds
-    below = df.filter(v < lo).count() if lo is not None else 0
-    band = df.select(v.alias("v")).filter(F.col("v").isNotNull())
-    if lo is not None:
-        band = band.filter((F.col("v") >= lo) & (F.col("v") <= hi))
-    band = band.groupBy("v").agg(F.count(F.lit(1)).alias("c"))
+    x = df.select(v.alias("v")).filter(F.col("v").isNotNull())
+    if hi is not None:
+        x = x.filter(F.col("v") <= hi)
+    key = F.col("v") if lo is None else F.when(F.col("v") >= lo, F.col("v"))   # NULL key = below the band
+    groups = x.groupBy(key.alias("v")).agg(F.count(F.lit(1)).alias("c"))
+    below = groups.filter(F.col("v").isNull()).agg(F.sum("c")).collect()[0][0] or 0 if lo is not None else 0
+    band = groups.filter(F.col("v").isNotNull())
     w = Window.orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
     ranked = band.withColumn("__end", F.sum("c").over(w) + F.lit(below))  # rows <= v
     k_lo, k_hi = ranks
