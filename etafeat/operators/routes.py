@@ -95,7 +95,8 @@ def calendar(spark: SparkSession, end: str | datetime = config.DEFAULT.end_time,
     end_dt = end if isinstance(end, datetime) else datetime.fromisoformat(str(end))
     start_dt = end_dt - timedelta(days=days - 1)
     return spark.range(1).select(F.explode(F.sequence(
-        F.lit(start_dt).cast("timestamp_ntz"), F.lit(end_dt).cast("timestamp_ntz"),
+        # wall-clock text -> timestamp_ntz: independent of the session and system time zones
+        F.lit(start_dt.isoformat(sep=" ")).cast("timestamp_ntz"), F.lit(end_dt.isoformat(sep=" ")).cast("timestamp_ntz"),
         F.expr("INTERVAL 1 HOUR"))).alias("timestamp"))
 
 
