@@ -327,11 +327,18 @@ def feature_matrix(orders: DataFrame, restaurants: DataFrame, users: DataFrame,
     df = route_parts(df)
     df = entity_profile(df, "route_key", route_profile_aggs(target, order_id, scales), source=orders)
     df = interaction_features(df)
-    df = lag_features(df, ts, target, scales)
-    df = target_encode(df, "restaurant_id", target, ts, order_id, "restaurant_id_encoded",
-                       scale=scales.target, history=orders)
-    df = target_encode(df, "user_id", target, ts, order_id, "user_id_encoded", scale=scales.target,
-                       history=orders)
+    # Time-ordered features need their own shuffles (by key and time bucket);
+    # they run on a 7-column projection of the fact and come back in one join,
+    # instead of shuffling the wide enriched row four times.
+    narrow = orders.select(order_id, "restaurant_id", "user_id", "route_key", ts, target, "traffic_level")
+    narrow = lag_features(narrow, ts, target, scales)
+    narrow = target_encode(narrow, "restaurant_id", target, ts, order_id, "restaurant_id_encoded",
+                           scale=scales.target, history=orders)
+    narrow = target_encode(narrow, "user_id", target, ts, order_id, "user_id_encoded", scale=scales.target,
+                           history=orders)
+    timed = narrow.select(order_id, "rest_orders_last_1h", "route_avg_delivery_last_3h", "traffic_ma_2h",
+                          "restaurant_id_encoded", "user_id_encoded")
+    df = df.join(timed, order_id)
     feats = feature_columns(df)
     if validate:
         validate_features(df, feats, target)
