@@ -134,7 +134,7 @@ SELECT CAST(COUNT(*) AS BIGINT) AS n_rows,
        COUNT(*) / ((SELECT COUNT(*) FROM network) * (SELECT COUNT(*) FROM hours)) AS ratio
 FROM rh""", "A26: route-hour rows against routes x hours")
 def completeness(spark, sf):
-    cond = rt.conditions_table(route_hours_df(spark, sf))
+    cond = rt.conditions(route_hours_df(spark, sf).drop("base_eta_minutes"))
     spine = network(spark, sf).crossJoin(F.broadcast(rt.calendar(spark, END, DAYS)))
     return qa.completeness(cond, spine)
 
