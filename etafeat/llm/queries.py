@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from etafeat.llm import line_dedup
+from etafeat.llm import line_dedup, simhash
 
 QUERIES = {
+    "op4_simhash_near_dedup": simhash.op4_simhash_near_dedup,
     "op8_line_dedup": line_dedup.op8_line_dedup,
 }
 SQL = {
