@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from etafeat.llm import line_dedup, simhash
+from etafeat.llm import line_dedup, simhash, source_mixing
 
 QUERIES = {
     "op4_simhash_near_dedup": simhash.op4_simhash_near_dedup,
+    "op7_source_mixing": source_mixing.op7_source_mixing,
     "op8_line_dedup": line_dedup.op8_line_dedup,
 }
 SQL = {
+    "op7_source_mixing": source_mixing.SQL,
     "op8_line_dedup": line_dedup.SQL,
 }
