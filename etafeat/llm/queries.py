@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from etafeat.llm import decontamination, line_dedup, simhash, source_mixing
+from etafeat.llm import decontamination, line_dedup, quality, simhash, source_mixing
 
 QUERIES = {
+    "op3_quality_classifier": quality.op3_quality_classifier,
     "op4_simhash_near_dedup": simhash.op4_simhash_near_dedup,
     "op5_benchmark_decontamination": decontamination.op5_benchmark_decontamination,
     "op7_source_mixing": source_mixing.op7_source_mixing,
