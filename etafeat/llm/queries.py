@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from etafeat.llm import decontamination, line_dedup, quality, simhash, source_mixing, url_filter
+from etafeat.llm import decontamination, embedding_dedup, line_dedup, quality, simhash, source_mixing, url_filter
 
 QUERIES = {
+    "op1_embedding_near_dedup": embedding_dedup.op1_embedding_near_dedup,
     "op2_url_filter": url_filter.op2_url_filter,
     "op3_quality_classifier": quality.op3_quality_classifier,
     "op4_simhash_near_dedup": simhash.op4_simhash_near_dedup,
@@ -13,6 +14,7 @@ QUERIES = {
     "op8_line_dedup": line_dedup.op8_line_dedup,
 }
 SQL = {
+    "op1_embedding_near_dedup": embedding_dedup.SQL,
     "op2_url_filter": url_filter.SQL,
     "op7_source_mixing": source_mixing.SQL,
     "op8_line_dedup": line_dedup.SQL,
