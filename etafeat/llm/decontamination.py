@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -34,6 +35,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from etafeat.llm import ngrams
 from etafeat.llm.common import materialize, table
 
 WINDOW, NEED, SHORTEST = 8, 6, 4
@@ -53,6 +55,9 @@ MULTIPLIER = np.uint64(0xD6E8FEB86659FD93)
 
 def classify(word: bytes) -> tuple[int, int, int]:
     """Kind, template code and value of one word of a text."""
+    if word.isalpha() and word.islower():  # ASCII
+        value = xxhash.xxh64_intdigest(word)
+        return (UNIT if word in UNITS else LITERAL), value, value
     if m := NUMBER.fullmatch(word.rstrip(b".,;:!?)*#$&\"'")):
         unit = m[2].lower()
         return NUM, CODE[NUM] ^ (xxhash.xxh64_intdigest(unit) if unit else 0), xxhash.xxh64_intdigest(m[1].rstrip(b".,:/"))
@@ -70,38 +75,45 @@ class Classified(dict):
     """word -> row of the three columns below, filled on demand."""
 
     def __init__(self):
-        self.kind, self.code, self.value = [], [], []
+        self._columns(1 << 12)
+
+    def _columns(self, room: int) -> None:
+        for name, kind in (("kind", np.int8), ("code", np.uint64), ("value", np.uint64)):
+            new, old = np.zeros(room, kind), getattr(self, name, ())
+            new[:len(old)] = old
+            setattr(self, name, new)
 
     def __missing__(self, word: bytes) -> int:
-        k, c, v = classify(word)
-        self.kind.append(k), self.code.append(c), self.value.append(v)
-        self[word] = len(self.kind) - 1
-        return self[word]
+        n = len(self)
+        if n == len(self.kind):
+            self._columns(2 * n)
+        self.kind[n], self.code[n], self.value[n] = classify(word)
+        self[word] = n
+        return n
 
 
-def template(text: bytes, memo: Classified) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Kinds, codes and values of the template words of ``text``."""
+def templates(texts: list[bytes], memo: Classified) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Text number, kind, code and value of the template words of ``texts``, in order."""
     if len(memo) > MEMO:
-        memo.clear(), memo.kind.clear(), memo.code.clear(), memo.value.clear()
-    words = text.split()
-    at = np.fromiter(map(memo.__getitem__, words), np.int64, len(words))
-    seen, inverse = np.unique(at, return_inverse=True)
-    pick = seen.tolist()
-    kind = np.array([memo.kind[i] for i in pick], np.int8)[inverse]
-    code = np.array([memo.code[i] for i in pick], np.uint64)[inverse]
-    value = np.array([memo.value[i] for i in pick], np.uint64)[inverse]
+        memo.clear()
+    words = [t.split() for t in texts]
+    size = [len(w) for w in words]
+    at = np.fromiter(map(memo.__getitem__, chain.from_iterable(words)), np.int64, sum(size))
+    doc = np.repeat(np.arange(len(texts)), size)
+    kind = memo.kind[at]
     own = kind != NONE
-    kind, code, value = kind[own], code[own], value[own]
+    at, doc, kind = at[own], doc[own], kind[own]
+    code, value = memo.code[at], memo.value[at]
     unit = kind == UNIT  # a unit only right after a number
     after = np.zeros(len(kind), bool)
-    after[1:] = kind[:-1] == NUM
+    after[1:] = (kind[:-1] == NUM) & (doc[1:] == doc[:-1])
     code[unit & after] = CODE[UNIT]
     kind[unit & ~after] = LITERAL
-    return kind, code, value
+    return doc, kind, code, value
 
 
-def windows(kind: np.ndarray, code: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Start positions and hashes of the usable windows of ``size`` words."""
+def windows(doc: np.ndarray, kind: np.ndarray, code: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and hashes of the usable windows of ``size`` words, none across texts."""
     n = len(kind) - size + 1
     if n < 1:
         return np.empty(0, np.int64), np.empty(0, np.uint64)
@@ -109,7 +121,7 @@ def windows(kind: np.ndarray, code: np.ndarray, size: int) -> tuple[np.ndarray,
     for i in range(size):
         h = (h ^ (h >> np.uint64(29))) * MULTIPLIER + code[i:i + n]
     literal = np.concatenate(([0], np.cumsum(kind == LITERAL)))
-    use = 2 * (literal[size:] - literal[:n]) >= size
+    use = (2 * (literal[size:] - literal[:n]) >= size) & (doc[size - 1:] == doc[:n])
     return np.flatnonzero(use), (h ^ (h >> np.uint64(32)))[use]
 
 
@@ -121,14 +133,6 @@ def probes(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 ROWS = "id long, row long, size int, pos int, hash long, slots array<struct<at int, kind byte, value long>>"
 
 
-def _rows(ident, row, at, h, size, kind, value) -> Iterator[tuple]:
-    signed = h.view(np.int64).tolist()
-    for p, x in zip(at.tolist(), signed):
-        slots = [{"at": i, "kind": k, "value": v} for i, (k, v) in enumerate(
-            zip(kind[p:p + size].tolist(), value[p:p + size].view(np.int64).tolist())) if k != LITERAL]
-        yield ident, row, size, p, x, slots
-
-
 SCHEMA = pa.schema([("id", pa.int64()), ("row", pa.int64()), ("size", pa.int32()), ("pos", pa.int32()), ("hash", pa.int64()),
                     ("slots", pa.list_(pa.struct([("at", pa.int32()), ("kind", pa.int8()), ("value", pa.int64())])))])
 
@@ -137,23 +141,30 @@ def hashed_windows(texts: DataFrame, sizes: list[int] | None = None, passing: Br
     """ROWS of the windows of ``texts(id, row, text)``: without a filter one size a text
     (the benchmark), else those of the given sizes that pass it."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo, out = Classified(), []
+        memo = Classified()
         packed = np.frombuffer(passing.value, np.uint8) if passing else None
         for b in batches:
-            for ident, row, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
-                kind, code, value = template(text.as_py() or b"", memo)
+            ids, hashes = b.column(0).to_pylist(), b.column(1).to_pylist()
+            texts = [t or b"" for t in b.column(2).to_pylist()]
+            # a benchmark item is its own chunk: its length decides the size of its windows
+            for i, j in ngrams.chunks(texts) if passing else ((k, k + 1) for k in range(len(texts))):
+                doc, kind, code, value = templates(texts[i:j], memo)
+                first = np.searchsorted(doc, np.arange(j - i))
                 own = [min(WINDOW, len(kind))] if len(kind) >= SHORTEST else []
-                for size in own if passing is None else sizes:
-                    at, h = windows(kind, code, size)
-                    if packed is not None and len(h):
+                for size in sizes if passing else own:
+                    at, h = windows(doc, kind, code, size)
+                    if passing and len(h):
                         one, two = probes(h)
                         ok = (packed[one >> 3] >> (one & 7) & 1 & (packed[two >> 3] >> (two & 7))).astype(bool)
                         at, h = at[ok], h[ok]
-                    out.extend(_rows(ident, row, at, h, size, kind, value))
-                if len(out) >= 4096:
-                    yield pa.RecordBatch.from_pylist([dict(zip(SCHEMA.names, r)) for r in out], SCHEMA)
                     out = []
-        yield pa.RecordBatch.from_pylist([dict(zip(SCHEMA.names, r)) for r in out], SCHEMA)
+                    for p, x in zip(at.tolist(), h.view(np.int64).tolist()):
+                        slots = [{"at": k, "kind": int(kind[p + k]), "value": int(value[p + k].view(np.int64))}
+                                 for k in range(size) if kind[p + k] != LITERAL]
+                        d = int(doc[p])
+                        out.append((ids[i + d], hashes[i + d], size, p - int(first[d]), x, slots))
+                    for k in range(0, len(out), 4096):
+                        yield pa.RecordBatch.from_pylist([dict(zip(SCHEMA.names, r)) for r in out[k:k + 4096]], SCHEMA)
 
     return texts.select("id", "row", F.col("text").cast("binary")).mapInArrow(run, ROWS)
 
