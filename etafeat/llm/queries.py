@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from etafeat.llm import decontamination, embedding_dedup, html_text, line_dedup, quality, simhash, source_mixing, url_filter
+from etafeat.llm import chat_format, decontamination, embedding_dedup, html_text, line_dedup, quality, simhash, source_mixing, url_filter
 
 QUERIES = {
     "op1_embedding_near_dedup": embedding_dedup.op1_embedding_near_dedup,
@@ -13,6 +13,7 @@ QUERIES = {
     "op7_source_mixing": source_mixing.op7_source_mixing,
     "op8_line_dedup": line_dedup.op8_line_dedup,
     "op9_html_extraction": html_text.op9_html_extraction,
+    "op10_chat_formatting": chat_format.op10_chat_formatting,
 }
 SQL = {
     "op1_embedding_near_dedup": embedding_dedup.SQL,
