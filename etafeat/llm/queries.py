@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from etafeat.llm import chat_format, decontamination, embedding_dedup, html_text, line_dedup, quality, simhash, source_mixing, url_filter
+from etafeat.llm import chat_format, decontamination, embedding_dedup, html_text, language_model, line_dedup, quality, simhash, source_mixing, url_filter
 
 QUERIES = {
     "op1_embedding_near_dedup": embedding_dedup.op1_embedding_near_dedup,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_quality_classifier": quality.op3_quality_classifier,
     "op4_simhash_near_dedup": simhash.op4_simhash_near_dedup,
     "op5_benchmark_decontamination": decontamination.op5_benchmark_decontamination,
+    "op6_lm_scoring": language_model.op6_lm_scoring,
     "op7_source_mixing": source_mixing.op7_source_mixing,
     "op8_line_dedup": line_dedup.op8_line_dedup,
     "op9_html_extraction": html_text.op9_html_extraction,
