@@ -87,9 +87,9 @@ def features(texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
     return [*out, (doc[1:][inside], pair[inside])]
 
 
-def sketch(text: bytes, salts: int = 2, least: int = 9) -> list[int]:
-    """The smallest hash of the words of ``least`` bytes or more, for each salt; near
-    copies of a long enough text agree in most of them."""
-    words = [w for w in text.lower().split() if len(w) >= least] or [text]
-    h = np.array([xxhash.xxh64_intdigest(w) for w in words], np.uint64)
+def sketch(text: bytes, salts: int = 2, size: int = 3) -> list[int]:
+    """The smallest hash of the ``size``-word shingles, for each salt; near copies agree in most of them."""
+    words = text.lower().split()
+    joined = [b" ".join(words[i:i + size]) for i in range(max(1, len(words) - size + 1))]
+    h = np.array([xxhash.xxh64_intdigest(s) for s in joined], np.uint64)
     return [int(mixed(h + np.uint64(i << 60)).min()) for i in range(salts)]

@@ -11,7 +11,7 @@ from a hash of the row, ``k`` the number of documents at or above ``CUT``. All
 rows compete; the k-th key is found by histogram descent, without sorting.
 
 The models are fitted on at most about ``LABELLED`` labelled rows, chosen by
-hash of the id. Near copies among them (equal minimum hash of the long words)
+hash of the id. Near copies among them (equal minimum hash of their word triples)
 count once, and a feature enters the models only if its document frequencies
 differ by a likelihood-ratio test over all features.
 
