@@ -8,9 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from etafeat import config
-from etafeat.functions.columns import (canonical, clip, display_tokens, hash_mod, positive_or_null,
+from etafeat.functions.columns import (composite_key, canonical, clip, display_tokens, hash_mod, positive_or_null,
                                        price_band, round_half_even, to_double, token_array, unit_hash)
-from etafeat.operators.joins import broadcast_if_small
 from etafeat.operators.quality import normalize_columns, require_columns
 
 S = config.DEFAULT
@@ -48,7 +47,7 @@ def geo_jitter(df: DataFrame, key_cols: Sequence[str], anchors: Mapping[str, tup
     if default_anchor is not None:
         a_lat = F.coalesce(a_lat, F.lit(float(default_anchor[0])))
         a_lon = F.coalesce(a_lon, F.lit(float(default_anchor[1])))
-    key = F.lower(F.concat_ws("_", *[F.col(c).cast("string") for c in key_cols]))
+    key = composite_key(*[F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in key_cols])  # a NULL part stays a part
     m = hash_mod(key, 10 ** 6)
     lo = m % 1000
     hi = lo if correlated else F.floor(m / 1000) % 1000
@@ -133,7 +132,7 @@ def clean_restaurants(raw: DataFrame, anchors: Mapping[str, tuple[float, float]]
         "base_delivery_time_min": to_double("base_delivery_time_min"),
     }).drop("price")
     med = group_median(df, "city", "avg_menu_price")
-    df = (df.join(broadcast_if_small(med), "city", "left")
+    df = (df.join(med, "city", "left")
             .withColumn("avg_menu_price", clip(F.coalesce(F.col("avg_menu_price"), F.col("__median")),
                                                settings.price_min, settings.price_max))
             .drop("__median"))

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from etafeat import config
 from etafeat.functions.columns import (clip, col_, floor_hour, hour_in, is_weekend,
                                        round_half_even)
-from etafeat.operators.joins import broadcast_if_small
 from etafeat.operators.windows import cap_per_hour, exact_sum, rank_limit
 
 S = config.DEFAULT
@@ -145,7 +144,7 @@ def restaurant_affinity(users: DataFrame, restaurants: DataFrame, routes: DataFr
     for name, lst in lists.items():
         on = keys + (["fav"] if name.startswith("fav") else [])
         left = uf if name.startswith("fav") else u
-        part = left.join(broadcast_if_small(lst.select(*on, "restaurant_id")), on).select("user_id", "restaurant_id")
+        part = left.join(lst.select(*on, "restaurant_id"), on).select("user_id", "restaurant_id")
         picked = part if picked is None else picked.unionByName(part)
     pairs = picked.distinct()
 
@@ -168,7 +167,7 @@ def enrich_requests(requests: DataFrame, conditions: DataFrame, route: str = "ro
     hour = floor_hour(ts)
     cond = conditions.withColumnRenamed("timestamp", "__hour")
     return (requests.withColumn("__hour", hour)
-            .join(broadcast_if_small(cond), [route, "__hour"], "inner")
+            .join(cond, [route, "__hour"], "inner")
             .drop("__hour"))
 
 

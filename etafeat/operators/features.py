@@ -18,7 +18,7 @@ from pyspark.sql.types import NumericType
 from etafeat import config
 from etafeat.functions.columns import (cyclical, epoch_micros, hour_in, parse_route,
                                        round_half_even)
-from etafeat.operators.joins import broadcast_if_small, join_dimension
+from etafeat.operators.joins import join_dimension
 from etafeat.operators.windows import Trailing, exact_sum, target_encode, trailing_windows
 
 S = config.DEFAULT
@@ -85,12 +85,13 @@ def temporal_features(df: DataFrame, ts: str = "order_created_at",
 
 @dataclass(frozen=True)
 class Scales:
-    """Decimals of the fact's measures (for exact sums); None means inexact doubles."""
+    """Decimals of the fact's measures, for exact sums; None where they are not known
+    (a value with more decimals than declared fails the job)."""
 
     target: int | None = 1
     basket: int | None = 2
     distance: int | None = 2
-    traffic: int | None = 2
+    traffic: int | None = None
 
 
 def entity_profile(df: DataFrame, key: str, aggs: dict[str, Column], digits: int | None = 2,
@@ -106,7 +107,7 @@ def entity_profile(df: DataFrame, key: str, aggs: dict[str, Column], digits: int
             (round_half_even(n, digits) if isinstance(prof.schema[n].dataType, NumericType)
              and prof.schema[n].dataType.typeName() in ("double", "float") else F.col(n)).alias(n)
             for n in aggs])
-    return df.join(broadcast_if_small(prof), key, "left")
+    return df.join(prof, key, "left")
 
 
 def user_profile_aggs(target: str, sc: Scales) -> dict[str, Column]:
@@ -224,71 +225,44 @@ def validate_features(df: DataFrame, features: Sequence[str], target: str,
 
 # ---------------------------------------------------------------------- split
 
-def exact_quantile(df: DataFrame, x: Column, q: float, accuracy: int = 1_000_000,
-                   small: int = 1_000_000) -> float | None:
-    """Exact ``q`` quantile of a numeric column with linear interpolation.
-
-    Pass 1 returns one row: the count and ``percentile_approx`` at ``q ± δ``,
-    where δ is wide enough to bracket the two ranks the interpolation needs
-    (approximate ranks are off by at most ``n / accuracy``). Up to ``small``
-    values, Spark's exact ``percentile`` finishes (its memory is bounded by
-    that count). Beyond it, one grouped pass over values ``<= hi`` returns the
-    count below the bracket and the band as (value, count) pairs (about
-    ``2δn`` rows), and only the band is ranked. No task ever holds all distinct
-    values, unlike a single exact ``percentile``.
+def exact_quantile(df: DataFrame, x: Column, q: float, buckets: int = 4096) -> float | None:
+    """Exact ``q`` quantile of an integer column, with linear interpolation.
+
+    Histogram descent: each pass counts the values of the interval that holds the
+    wanted rank in at most ``buckets`` equal parts and goes on in the one where
+    it lies, until a part is one value. Six passes cover 64 bits; no task or
+    driver sees more than ``buckets`` rows, at any size.
     """
-    v = x.cast("double")
-    delta = max(1e-4, 8.0 / accuracy)
-    head = df.agg(F.count(v).alias("n"), F.percentile_approx(
-        v, F.array(F.lit(max(0.0, q - delta)), F.lit(min(1.0, q + delta))), accuracy).alias("b")).collect()[0]
-    n = head.n
-    if not n:
+    v = df.select(x.cast("bigint").alias("v")).filter("v is not null")
+    head = v.agg(F.count("v").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).first()
+    if not head.n:
         return None
-    if n <= small:
-        return df.agg(F.percentile(v, F.lit(q))).collect()[0][0]
-    pos = (n - 1) * q
-    k_lo, k_hi = int(pos // 1), int(-(-pos // 1))          # 0-based ranks to interpolate
-    lo, hi = head.b
-    if q - delta <= 0:
-        lo = None
-    if q + delta >= 1:
-        hi = None
-    for bounds in ((lo, hi), (None, None)):                  # unbounded band only if a bracket missed
-        vals = _ranked_values(df, v, bounds, (k_lo, k_hi))
-        if k_lo in vals and k_hi in vals:
+    pos = (head.n - 1) * q
+    rank, lo, hi = int(pos), head.lo, head.hi
+    inside = rank  # of the values in [lo, hi]
+    while True:
+        width = (hi - lo) // buckets + 1
+        part = F.floor((F.col("v") - lo) / F.lit(width)) if width > 1 else F.col("v") - lo
+        counts = sorted(v.filter((F.col("v") >= lo) & (F.col("v") <= hi)).groupBy(part.cast("bigint").alias("b")).count().collect())
+        for b, n in counts:
+            if inside < n:
+                break
+            inside -= n
+        lo, hi = lo + b * width, min(hi, lo + (b + 1) * width - 1)
+        if width == 1:
             break
-    a, b = vals[k_lo], vals[k_hi]
-    return a if k_hi == k_lo else (k_hi - pos) * a + (pos - k_lo) * b
-
-
-def _ranked_values(df: DataFrame, v: Column, bounds: tuple, ranks: tuple[int, int]) -> dict[int, float]:
-    """Values at the given 0-based ranks, ranking only rows within ``bounds``."""
-    lo, hi = bounds
-    x = df.select(v.alias("v")).filter(F.col("v").isNotNull())
-    if hi is not None:
-        x = x.filter(F.col("v") <= hi)
-    key = F.col("v") if lo is None else F.when(F.col("v") >= lo, F.col("v"))   # NULL key = below the band
-    groups = x.groupBy(key.alias("v")).agg(F.count(F.lit(1)).alias("c"))
-    below = groups.filter(F.col("v").isNull()).agg(F.sum("c")).collect()[0][0] or 0 if lo is not None else 0
-    band = groups.filter(F.col("v").isNotNull())
-    w = Window.orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = band.withColumn("__end", F.sum("c").over(w) + F.lit(below))  # rows <= v
-    k_lo, k_hi = ranks
-    out = {}
-    for r in ranked.filter((F.col("__end") > k_lo) & (F.col("__end") - F.col("c") <= k_hi)).collect():
-        for k in ranks:  # at most two distinct values qualify
-            if r["__end"] - r["c"] <= k < r["__end"]:
-                out[k] = r["v"]
-    return out
+    if pos == rank:
+        return float(lo)
+    after = lo if inside + 1 < n else v.filter(F.col("v") > lo).agg(F.min("v")).first()[0]
+    return (rank + 1 - pos) * lo + (pos - rank) * after
 
 
 def split_point(df: DataFrame, ts: str, q: float = S.split_quantile, method: str = "exact") -> DataFrame:
     """One-row frame with ``__cut``: the ``q`` quantile of ``ts`` in micros (linear interpolation).
 
-    ``exact``: two-pass exact quantile (bounded memory per task, see
-    ``exact_quantile``); ``percentile``: Spark's exact percentile in one
-    aggregate (memory grows with distinct times); ``approx``:
-    ``percentile_approx`` (rank error 1/10000).
+    ``exact``: histogram descent (see ``exact_quantile``); ``percentile``: Spark's
+    exact percentile in one aggregate (memory grows with distinct times);
+    ``approx``: ``percentile_approx`` (rank error 1/10000).
     """
     m = epoch_micros(ts)
     if method == "exact":
@@ -301,10 +275,12 @@ def split_point(df: DataFrame, ts: str, q: float = S.split_quantile, method: str
 
 def time_split(df: DataFrame, ts: str, q: float = S.split_quantile, method: str = "exact",
                label: str = "split", source: DataFrame | None = None) -> DataFrame:
-    """Label rows ``train`` (time < q-quantile) or ``val`` (>=); the cut comes from ``source``."""
+    """Label rows ``train`` (time < q-quantile) or ``val`` (>=), rows without a time neither;
+    the cut comes from ``source``."""
     cut = split_point(source if source is not None else df, ts, q, method)
     return (df.crossJoin(F.broadcast(cut))
-              .withColumn(label, F.when(epoch_micros(ts) < F.col("__cut"), "train").otherwise("val"))
+              .withColumn(label, F.when(epoch_micros(ts) < F.col("__cut"), "train")
+                          .when(epoch_micros(ts) >= F.col("__cut"), "val"))
               .drop("__cut"))
 
 

@@ -1,4 +1,4 @@
-"""Join helpers: size-checked broadcast, suffixing, key gates."""
+"""Join helpers: suffixing, key gates. Join strategies are left to the planner and AQE."""
 
 from __future__ import annotations
 
@@ -7,34 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest side we broadcast on our own say; beyond it the planner shuffles (or
-# AQE converts at run time once real sizes are known).
-BROADCAST_LIMIT = 64 * 1024 * 1024
-
-
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Optimizer size estimate of a plan (an upper bound for scans + filters)."""
-    try:
-        stats = df._jdf.queryExecution().optimizedPlan().stats()
-        return int(stats.sizeInBytes().toString())
-    except Exception:  # Spark Connect or no statistics: unknown
-        return None
-
-
-def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_LIMIT,
-                       size_of: DataFrame | None = None) -> DataFrame:
-    """Broadcast ``df`` only when its estimated size is known and below ``limit``.
-
-    ``size_of`` measures another plan instead: the dimension's base table when
-    ``df`` is that table joined with a tiny lookup (the optimizer bounds a join
-    by the product of its inputs, which is far too loose for that case).
-    """
-    size = estimated_bytes(size_of if size_of is not None else df)
-    return F.broadcast(df) if size is not None and size <= limit else df
-
 
 def join_dimension(fact: DataFrame, dim: DataFrame, on: str | Sequence[str], how: str = "left",
-                   suffix: str = "", limit: int = BROADCAST_LIMIT) -> DataFrame:
+                   suffix: str = "") -> DataFrame:
     """Fact ⟕ dimension; right-hand columns that clash get ``suffix`` (or are dropped).
 
     With an empty suffix a clashing right column is dropped, which is the same
@@ -48,7 +23,7 @@ def join_dimension(fact: DataFrame, dim: DataFrame, on: str | Sequence[str], how
         dim = dim.drop(*clash)
     dup = [c for c in dim.columns if c in fact.columns and c not in keys]
     dim = dim.drop(*dup)
-    return fact.join(broadcast_if_small(dim, limit), keys, how)
+    return fact.join(dim, keys, how)
 
 
 def first_of_duplicates(df: DataFrame) -> DataFrame:
@@ -82,9 +57,9 @@ def require_known(df: DataFrame, key: str, known: DataFrame, known_key: str | No
 
 def semi(df: DataFrame, other: DataFrame, on: str | Sequence[str]) -> DataFrame:
     keys = [on] if isinstance(on, str) else list(on)
-    return df.join(broadcast_if_small(other.select(*keys).distinct()), keys, "left_semi")
+    return df.join(other.select(*keys).distinct(), keys, "left_semi")
 
 
 def anti(df: DataFrame, other: DataFrame, on: str | Sequence[str]) -> DataFrame:
     keys = [on] if isinstance(on, str) else list(on)
-    return df.join(broadcast_if_small(other.select(*keys).distinct()), keys, "left_anti")
+    return df.join(other.select(*keys).distinct(), keys, "left_anti")

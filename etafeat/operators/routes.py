@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from etafeat import config
 from etafeat.functions.columns import (clip, composite_key, hour_between, is_weekend,
                                        round_half_even, unit_hash)
-from etafeat.operators.joins import broadcast_if_small
 from etafeat.operators.windows import rank_limit
 
 
@@ -172,7 +171,7 @@ def quarantine_chunks(df: DataFrame, key: str = "route_key", ts: str = "timestam
         base = df
     else:
         firsts = df.groupBy(key).agg(F.min(ts).alias("__t0"))
-        base = df.join(broadcast_if_small(firsts), key)
+        base = df.join(firsts, key)
         t0 = F.col("__t0")
     chunk = F.floor(F.timestamp_diff("HOUR", t0, F.col(ts)) / F.lit(chunk_hours))
     bad_row = checks if checks is not None else (

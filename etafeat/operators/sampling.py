@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from etafeat import config
 from etafeat.functions.columns import round_half_even, title_case, token_array, unit_hash
-from etafeat.operators.joins import broadcast_if_small
 
 _BUCKETS = 1024
 
@@ -104,7 +103,7 @@ def weighted_pick(df: DataFrame, key: str, options: DataFrame, value: str, weigh
                        .alias("__bucket"))
     draws = df.withColumn("__u", unit_hash(key, seed, salt)).withColumn(
         "__bucket", F.floor(F.col("__u") * b).cast("int"))
-    hit = draws.join(broadcast_if_small(spans), [*g, "__bucket"], "inner").filter(
+    hit = draws.join(spans, [*g, "__bucket"], "inner").filter(
         (F.col("__u") >= F.col("lo")) & (F.col("__u") < F.col("hi")))
     return hit.drop("__bucket", "lo", "hi").withColumnRenamed(value, out).drop("__u") \
         if out != value else hit.drop("__bucket", "lo", "hi", "__u")
@@ -136,7 +135,7 @@ def favourite_cuisines(users: DataFrame, profile: DataFrame, k: int = config.DEF
     no per-user window, whatever the number of users.
     """
     prof = profile.select(F.col("city").alias(city), F.col("area").alias(area), F.col("cuisines").alias("__local"))
-    u = users.join(broadcast_if_small(prof), [city, area], "left")
+    u = users.join(prof, [city, area], "left")
     uid = F.col("user_id").cast("string")
     keyed = F.transform(F.coalesce(F.col("__local"), F.array().cast("array<string>")),
                         lambda c: F.struct((-F.ln(unit_hash(F.concat_ws("|", uid, c), seed, "fav"))).alias("k"),

@@ -3,16 +3,19 @@
 Scale notes
 -----------
 A plain ``OVER (PARTITION BY key ORDER BY ts)`` sends every row of a key to one
-task, so a key holding a third of the data becomes a third of the job in one
-task. Both ordered operators here therefore partition by ``(key, time bucket)``:
-
-* trailing windows copy the last ``length`` of each bucket into the next bucket
-  as context rows, so every frame ``[t - length, t)`` is complete inside its
-  own bucket (duplication is ``length / bucket`` of the rows);
-* target encoding splits the running mean into a prefix over earlier buckets
-  (from a small per-bucket aggregate) plus a running sum inside the bucket.
-
-Both give exactly the answer of the single-partition window.
+task, and a sliding frame is summed again for each row. The ordered operators
+here partition by ``(key, time bucket)`` and only use running sums:
+
+* trailing sums, counts and means turn each row into ``+v`` after ``t`` and
+  ``-v`` after ``t + length``; the value at ``t`` is the running sum of both, a
+  prefix over earlier buckets (from a small per-bucket aggregate) plus a running
+  sum inside the bucket. Linear in the rows, and a bucket may be shorter than
+  the window, so a hot key is dealt as finely as wanted;
+* target encoding is the same without the expiry;
+* trailing minima and maxima keep a sliding frame, with the last ``length`` of
+  each bucket copied into the next.
+
+All give exactly the answer of the single-partition window.
 """
 
 from __future__ import annotations
@@ -47,23 +50,30 @@ def _keys(key: str | Sequence[str]) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
 
 
-# Scales up to this use 64-bit scaled integers (|x| * 10^scale summed over up to
-# ~10^12 rows stays below 2^63 for |x| < 10^4); larger scales use DECIMAL(38).
+# Scales up to this use 64-bit scaled integers; larger ones, and sums over the
+# whole table, use DECIMAL(38).
 LONG_SCALE_MAX = 3
+# Decimals kept of values without a declared scale: half a unit of the last is
+# below a double's own rounding for values of one and more.
+OPEN_SCALE = 15
 
 
 def scaled(c: Column | str, scale: int | None) -> Column:
     """Exact integer-like form of a value with at most ``scale`` decimals.
 
-    ``rint(x * 10^scale)`` as BIGINT (fast, exact for such values) when the
-    scale is small, otherwise DECIMAL(38, scale); ``None`` keeps the double.
+    ``x * 10^scale`` as BIGINT when the scale is small, otherwise DECIMAL; a
+    value with more decimals than that fails the job instead of losing them.
+    ``None`` keeps the double.
     """
     x = F.col(c) if isinstance(c, str) else c
     if scale is None:
         return x.cast("double")
+    shifted = x * F.lit(float(10 ** scale))
+    fits = x.isNull() | (F.abs(shifted - F.rint(shifted)) <= F.greatest(F.lit(1e-6), F.abs(shifted) * 1e-12))
+    told = F.raise_error(F.concat(F.lit(f"value with more than {scale} decimals: "), x.cast("string")))
     if scale <= LONG_SCALE_MAX:
-        return F.rint(x * F.lit(float(10 ** scale))).cast("bigint")
-    return x.cast(f"decimal(38,{scale})")
+        return F.when(fits, F.rint(shifted).cast("bigint")).otherwise(told.cast("bigint"))
+    return F.when(fits, x.cast(f"decimal(38,{scale})")).otherwise(told.cast(f"decimal(38,{scale})"))
 
 
 def unscaled(total: Column, scale: int | None) -> Column:
@@ -104,67 +114,104 @@ def trailing_windows(df: DataFrame, key: str | Sequence[str], ts: str,
     """Add trailing time-window features over ``[t - length, t)`` per key.
 
     The start is included; every row at exactly ``t`` (the row itself and its
-    ties) is excluded, like pandas ``rolling(length, closed="left")``. All
-    ``specs`` share one shuffle on ``(key, bucket)``.
+    ties) is excluded, like pandas ``rolling(length, closed="left")``. A row
+    without a time has an empty history and is in nobody's.
     """
-    keys = _keys(key)
-    longest = max(_micros(s.length) for s in specs)
-    b_us = _micros(bucket) if bucket is not None else 4 * longest
-    if b_us < longest:
-        raise ValueError("bucket must be at least as long as the longest window")
-    values = sorted({s.value for s in specs if s.value})
+    sums = [s for s in specs if s.agg in ("count", "sum", "mean")]
+    frames = [s for s in specs if s.agg in ("min", "max")]
+    if len(sums) + len(frames) != len(specs):
+        raise ValueError(f"unknown aggregate in {[s.agg for s in specs]}")
+    if sums:
+        df = _running_windows(df, _keys(key), ts, sums, bucket)
+    return _sliding_windows(df, _keys(key), ts, frames, bucket) if frames else df
+
+
+def _running_windows(df: DataFrame, keys: list[str], ts: str, specs: Sequence[Trailing], bucket) -> DataFrame:
+    """Trailing counts, sums and means as running sums of arrivals and expiries."""
+    lengths = sorted({_micros(s.length) for s in specs})
+    b_us = _micros(bucket) if bucket is not None else lengths[-1]
+    measures: dict[tuple, tuple[str, Column, int]] = {}  # (value, scale, length) -> name, contribution, length
+    names: dict[str, list[str]] = {}
+    for s in specs:
+        size = _micros(s.length)
+        scale = OPEN_SCALE if s.scale is None else s.scale
+        wanted = []
+        if s.agg != "sum":
+            one = F.lit(1).cast("bigint") if s.value is None else F.col(s.value).isNotNull().cast("bigint")
+            wanted.append((("n", s.value, size), one))
+        if s.agg != "count":
+            v = F.col(s.value).cast(f"decimal(38,{scale})") if s.scale is None else scaled(s.value, scale)
+            wanted.append((("s", s.value, scale, size), v))
+            if s.agg == "sum":
+                wanted.insert(0, (("n", s.value, size), F.col(s.value).isNotNull().cast("bigint")))
+        for k, c in wanted:
+            measures.setdefault(k, (f"__m{len(measures)}", c, size))
+        names[s.out] = [measures[k][0] for k, _ in wanted]
+
+    # one row for the arrival, one for each length's expiry; the two cancel out of every sum
+    x = df.withColumn("__t0", epoch_micros(ts)).withColumns({m: c for m, c, _ in measures.values()})
+    steps = F.array(F.lit(0).cast("bigint"), *[F.lit(n).cast("bigint") for n in lengths])
+    x = x.withColumn("__step", F.explode(F.when(F.col("__t0").isNull(), F.slice(steps, 1, 1)).otherwise(steps)))
+    own = F.col("__step") == 0
+    keep = set(keys)
+    moved = {m: F.when(own & F.col("__t0").isNotNull(), F.col(m)).when(F.col("__step") == n, -F.col(m)).alias(m)
+             for m, _, n in measures.values()}
+    t = F.col("__t0") + F.col("__step")
+    both = x.select(*[F.col(c) if c in keep else F.when(own, F.col(c)).alias(c) for c in df.columns], own.alias("__own"),
+                    t.alias("__t"), F.floor(t / F.lit(b_us)).alias("__b"), *moved.values())
+
+    # earlier buckets of the key: a small aggregate, summed up bucket by bucket
+    per = both.filter(F.col("__b").isNotNull()).groupBy(*keys, "__b").agg(*[F.sum(m).alias(m) for m in moved])
+    earlier = Window.partitionBy(*keys).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    prefix = per.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], F.col("__b").alias("__pb"),
+                        *[F.sum(m).over(earlier).alias(f"__p{m}") for m in moved])
+    inside = Window.partitionBy(*keys, "__b").orderBy("__t").rangeBetween(Window.unboundedPreceding, -1)
+    local = both.withColumns({m: F.sum(m).over(inside) for m in moved}).filter("__own")
+    same = F.col("__b") == F.col("__pb")
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"__k{i}"))
+    got = local.join(prefix, same, "left")
+    total = {m: F.when(F.col("__t").isNotNull(), F.coalesce(F.col(m), F.lit(0)) + F.coalesce(F.col(f"__p{m}"), F.lit(0)))
+             for m in moved}
+    cols = []
+    for s in specs:
+        scale = OPEN_SCALE if s.scale is None else s.scale
+        n = F.coalesce(total[names[s.out][0]], F.lit(0))
+        if s.agg == "count":
+            e = n if s.fill is not None else F.when(n > 0, n)
+            e = e.cast("bigint")
+        else:
+            e = unscaled(total[names[s.out][1]], scale)
+            e = F.when(n > 0, e / n if s.agg == "mean" else e)
+            if s.fill is not None:
+                e = F.coalesce(e, F.lit(s.fill).cast("double"))
+        cols.append(e.alias(s.out))
+    return got.select(*[F.col(c) for c in df.columns if c not in names], *cols)
 
+
+def _sliding_windows(df: DataFrame, keys: list[str], ts: str, specs: Sequence[Trailing], bucket) -> DataFrame:
+    """Trailing minima and maxima; all specs share one shuffle on (key, bucket)."""
+    longest = max(_micros(s.length) for s in specs)
+    b_us = max(longest, _micros(bucket)) if bucket is not None else 4 * longest
+    values = sorted({s.value for s in specs})
     t = F.col("__t")
     x = df.withColumn("__t", epoch_micros(ts)).withColumn("__b0", F.floor(t / F.lit(b_us)))
     # Rows in the last ``longest`` of their bucket are also emitted into the next
-    # bucket as context rows (one pass, no self-union); context rows keep only
-    # what the frames need.
+    # bucket as context rows, which keep only what the frames need.
     tail = t >= (F.col("__b0") + 1) * F.lit(b_us) - F.lit(longest)
     x = x.withColumn("__shift", F.explode(F.when(tail, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
     own = F.col("__shift") == 0
     keep = set(keys) | set(values)
     both = x.select(*[F.col(c) if c in keep else F.when(own, F.col(c)).alias(c) for c in df.columns],
                     "__t", (F.col("__b0") + F.col("__shift")).alias("__b"), own.alias("__own"))
-
     base = Window.partitionBy(*keys, "__b").orderBy("__t")
     cols = {}
     for s in specs:
-        w = base.rangeBetween(-_micros(s.length), -1)
-        if s.agg == "count":
-            e = F.count(F.lit(1)).over(w) if s.value is None else F.count(s.value).over(w)
-            e = e.cast("bigint")
-        elif s.agg == "sum":
-            e = unscaled(F.sum(scaled(s.value, s.scale)).over(w), s.scale)
-        elif s.agg == "mean":
-            if s.scale is None:
-                e = F.avg(s.value).over(w)
-            else:
-                e = unscaled(F.sum(scaled(s.value, s.scale)).over(w), s.scale) / F.count(s.value).over(w)
-        elif s.agg in ("min", "max"):
-            e = getattr(F, s.agg)(s.value).over(w)
-        else:
-            raise ValueError(f"unknown aggregate {s.agg!r}")
-        if s.fill is not None:
-            e = F.coalesce(e, F.lit(s.fill).cast(e_type(s)))
-        cols[s.out] = e
+        e = getattr(F, s.agg)(s.value).over(base.rangeBetween(-_micros(s.length), -1))
+        cols[s.out] = e if s.fill is None else F.coalesce(e, F.lit(s.fill).cast("double"))
     return both.withColumns(cols).filter("__own").drop("__t", "__b", "__own")
 
 
-def e_type(s: Trailing) -> str:
-    return "bigint" if s.agg == "count" else "double"
-
-
-def trailing_window(df: DataFrame, key: str | Sequence[str], ts: str, length, out: str,
-                    agg: str = "count", value: str | None = None, fill: float | None = 0.0,
-                    scale: int | None = None, bucket=None) -> DataFrame:
-    return trailing_windows(df, key, ts, [Trailing(out, length, agg, value, fill, scale)], bucket)
-
-
-def global_scalar(df: DataFrame, expr: Column, name: str) -> DataFrame:
-    """One-row aggregate, for a broadcast cross join (never ``OVER ()`` on a fact)."""
-    return df.agg(expr.alias(name))
-
-
 def target_encode(df: DataFrame, key: str | Sequence[str], target: str, ts: str,
                   order_id: str, out: str, ties: str = "rows", prior: float | str = "global",
                   scale: int | None = None, bucket: timedelta | str | int = "1d",
@@ -211,7 +258,9 @@ def target_encode(df: DataFrame, key: str | Sequence[str], target: str, ts: str,
     mean = F.when(total_c > 0, unscaled(total_s, scale) / total_c)
 
     if prior == "global":
-        g = per_bucket.agg((unscaled(F.sum("__bs"), scale) / F.sum("__bc")).alias("__prior"))
+        whole = F.sum("__bs") if scale is None else F.sum(F.col("__bs").cast(
+            f"decimal(38,{0 if scale <= LONG_SCALE_MAX else scale})"))  # no 64-bit sum over all rows
+        g = per_bucket.agg((unscaled(whole, scale) / F.sum("__bc")).alias("__prior"))
         joined = joined.crossJoin(F.broadcast(g))
         fill = F.col("__prior")
     else:

@@ -22,7 +22,6 @@ from pyspark.sql import functions as F
 from etafeat import config
 from etafeat.functions.columns import clip, positive_or_null, price_band, round_half_even, unit_hash
 from etafeat.operators.demand import delivery_time, order_status, price_basket
-from etafeat.operators.joins import broadcast_if_small
 from etafeat.operators.routes import base_eta, expected_traffic, expected_weather, route_geometry
 from etafeat.session import table
 
@@ -34,7 +33,7 @@ def places(spark: SparkSession, sf: str) -> DataFrame:
     """nation key -> (city = lower region name, area = nation name as written). 25 rows."""
     n = table(spark, sf, "nation")
     r = table(spark, sf, "region")
-    return (n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey)
+    return (n.join(r, n.n_regionkey == r.r_regionkey)
              .select("n_nationkey", F.lower("r_name").alias("city"), F.col("n_name").alias("area")))
 
 
@@ -47,14 +46,14 @@ def price_repair(df: DataFrame, price: str, group: str, out: str = "avg_menu_pri
     """
     cleaned = df.withColumn(out, positive_or_null(price))
     med = cleaned.groupBy(group).agg(round_half_even(F.median(out), 6).alias("__median"))
-    return (cleaned.join(broadcast_if_small(med), group, "left")
+    return (cleaned.join(med, group, "left")
                    .withColumn(out, clip(F.coalesce(F.col(out), F.col("__median")), lo, hi))
                    .drop("__median"))
 
 
 def restaurants(spark: SparkSession, sf: str) -> DataFrame:
     s = table(spark, sf, "supplier").select("s_suppkey", "s_name", "s_nationkey", "s_acctbal")
-    df = (s.join(F.broadcast(places(spark, sf)), s.s_nationkey == F.col("n_nationkey"))
+    df = (s.join(places(spark, sf), s.s_nationkey == F.col("n_nationkey"))
            .select(F.col("s_suppkey").alias("restaurant_id"), F.col("s_name").alias("name"),
                    "city", "area", "s_acctbal"))
     df = price_repair(df, "s_acctbal", "city")
@@ -63,7 +62,7 @@ def restaurants(spark: SparkSession, sf: str) -> DataFrame:
 
 def users(spark: SparkSession, sf: str) -> DataFrame:
     c = table(spark, sf, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
-    return (c.join(F.broadcast(places(spark, sf)), c.c_nationkey == F.col("n_nationkey"))
+    return (c.join(places(spark, sf), c.c_nationkey == F.col("n_nationkey"))
              .select(F.col("c_custkey").alias("user_id"), "city", F.col("area").alias("home_area"),
                      F.lower("c_mktsegment").alias("budget_segment")))
 
@@ -81,15 +80,15 @@ def delivery_orders(spark: SparkSession, sf: str, seed: int = SEED) -> DataFrame
     sup_base = table(spark, sf, "supplier").select("s_suppkey", "s_nationkey")
     cust_base = table(spark, sf, "customer").select("c_custkey", "c_nationkey")
     sup = (sup_base
-           .join(F.broadcast(pl), F.col("s_nationkey") == F.col("n_nationkey"))
+           .join(pl, F.col("s_nationkey") == F.col("n_nationkey"))
            .select("s_suppkey", F.col("n_nationkey").alias("s_nation"), F.col("city"),
                    F.col("area").alias("origin_area")))
     cust = (cust_base
-            .join(F.broadcast(pl), F.col("c_nationkey") == F.col("n_nationkey"))
+            .join(pl, F.col("c_nationkey") == F.col("n_nationkey"))
             .select("c_custkey", F.col("n_nationkey").alias("c_nation"), F.col("area").alias("dest_area")))
     f = (o.join(lines, o.o_orderkey == lines.l_orderkey)
-          .join(broadcast_if_small(sup, size_of=sup_base), F.col("restaurant_id") == F.col("s_suppkey"))
-          .join(broadcast_if_small(cust, size_of=cust_base), F.col("o_custkey") == F.col("c_custkey")))
+          .join(sup, F.col("restaurant_id") == F.col("s_suppkey"))
+          .join(cust, F.col("o_custkey") == F.col("c_custkey")))
     f = f.select(
         F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("user_id"), "restaurant_id",
         F.concat(F.col("city"), F.lit("_"), F.col("origin_area"), F.lit("_to_"), F.col("dest_area"))
@@ -100,7 +99,7 @@ def delivery_orders(spark: SparkSession, sf: str, seed: int = SEED) -> DataFrame
     # distinct route and join it back. Routes are pairs of nations (at most
     # 25 x 25 keys whatever the data volume), so the dimension is broadcast.
     routes = route_geometry(f.select("route_key", "grid_km").distinct(), seed)
-    f = f.drop("grid_km").join(F.broadcast(routes), "route_key")
+    f = f.drop("grid_km").join(routes, "route_key")
     oid = F.col("order_id")
     f = expected_weather(f, ts="order_created_at", draw=unit_hash(oid, seed, "rain"))
     f = expected_traffic(f, ts="order_created_at", digits=2)

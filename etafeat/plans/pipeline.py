@@ -21,6 +21,7 @@ from etafeat.operators import demand as dm
 from etafeat.operators import features as fx
 from etafeat.operators import routes as rt
 from etafeat.operators import sampling as sm
+from etafeat.operators.quality import require_unique
 from etafeat.sources import io
 
 S = config.DEFAULT
@@ -96,20 +97,23 @@ def orders_stage(requests: DataFrame, restaurants: DataFrame, routes_eta: DataFr
                  settings: config.Settings = S) -> DataFrame:
     """Order requests -> accepted orders with conditions, basket, delivery time, status.
 
-    requests: user_id, restaurant_id, route_key, ts, num_items (+ optional
-    ``eta_noise`` minutes). Requests without a (route, hour) row drop out and use
-    no capacity; then at most ``capacity_per_hour`` per restaurant and hour.
+    requests: order_id (unique), user_id, restaurant_id, route_key, ts, num_items
+    (+ optional ``eta_noise`` minutes). Requests without a (route, hour) row drop
+    out and use no capacity; then at most ``capacity_per_hour`` per restaurant and
+    hour, in order of time, ties by order id.
     """
+    if "order_id" not in requests.columns:
+        raise ValueError("requests need an order_id: two orders may agree in all else")
     req = requests if "eta_noise" in requests.columns else requests.withColumn("eta_noise", F.lit(0.0))
     cond = routes_eta.select("route_key", "timestamp", "distance_km", "traffic_level", "rain", "temperature",
                              "base_eta_minutes")
-    acc = dm.accept_orders(req, cond, "restaurant_id", "ts", [F.col("ts"), F.col("user_id")],
+    acc = dm.accept_orders(req, cond, "restaurant_id", "ts", [F.col("ts"), F.col("order_id")],
                            settings.capacity_per_hour)
     acc = acc.join(restaurants.select("restaurant_id", "avg_menu_price"), "restaurant_id", "left")
-    key = F.concat_ws("|", "user_id", "restaurant_id", F.col("ts").cast("string"))
+    key = F.col("order_id").cast("string")
     actual = F.col("base_eta_minutes") + F.col("eta_noise")
     return acc.select(
-        F.sha2(key, 256).substr(1, 16).alias("order_id"), "user_id", "restaurant_id", "route_key",
+        "order_id", "user_id", "restaurant_id", "route_key",
         F.col("ts").alias("order_created_at"),
         dm.price_basket("avg_menu_price", "num_items", "ts").alias("basket_value"), "num_items",
         F.col("distance_km"), "rain", "temperature", "traffic_level",
@@ -131,7 +135,9 @@ def run_features(orders: DataFrame, restaurants: DataFrame, users: DataFrame, ou
     fm = features_stage(orders, restaurants, users)
     feats = [c for c in fm.columns if c not in ("order_id", "actual_delivery_time_min", "split")]
     cols = [*feats, "actual_delivery_time_min"]
-    io.write_parquet(fm.select(*cols, "split"), os.path.join(out_dir, "features"), partition_by=["split"])
+    path = os.path.join(out_dir, "features")
+    io.write_parquet(fm.select(*cols, "split"), path, partition_by=["split"])
+    fm = fm.sparkSession.read.parquet(path)  # the matrix is computed once
     rep = fm.agg(F.count(F.lit(1)).alias("final_rows"),
                  F.sum((F.col("split") == "train").cast("bigint")).alias("train_rows"),
                  F.sum((F.col("split") == "val").cast("bigint")).alias("val_rows"),
@@ -150,7 +156,7 @@ def run_pipeline(spark: SparkSession, raw_csv: str, requests: DataFrame | None,
     """All five stages. Each stage's output is written as Parquet and read back
     by the next, so a later stage never re-plans (or re-runs) an earlier one.
 
-    ``requests`` (user_id, restaurant_id, route_key, ts, num_items) drive stage
+    ``requests`` (order_id, user_id, restaurant_id, route_key, ts, num_items) drive stage
     4; without them the run stops after the route conditions.
     """
     def stage(df: DataFrame, name: str) -> DataFrame:
@@ -167,6 +173,7 @@ def run_pipeline(spark: SparkSession, raw_csv: str, requests: DataFrame | None,
     if requests is None:
         return docs
     orders = stage(orders_stage(requests, rest, routes, settings), "orders")
+    require_unique(orders, "order_id")
     docs["features"] = run_features(orders, rest, users, out_dir, os.path.join(out_dir, "features.json"))
     return docs
 

@@ -42,8 +42,8 @@ def raw_restaurants(spark: SparkSession, sf: str) -> DataFrame:
     n = table(spark, sf, "nation")
     r = table(spark, sf, "region")
     s = (table(spark, sf, "supplier")
-         .join(F.broadcast(n), F.col("s_nationkey") == F.col("n_nationkey"))
-         .join(F.broadcast(r), F.col("n_regionkey") == F.col("r_regionkey")))
+         .join(n, F.col("s_nationkey") == F.col("n_nationkey"))
+         .join(r, F.col("n_regionkey") == F.col("r_regionkey")))
     raw = s.join(per, F.col("s_suppkey") == F.col("l_suppkey"), "left")
     return raw.select(
         F.col("s_suppkey").cast("string").alias("ID"),
@@ -263,9 +263,9 @@ SELECT s_suppkey, lower(r_name) AS city,
 FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
 """, "M9, U2: SHA-256 mod 10^6 -> deterministic jitter around the city anchor")
 def geo_jitter(spark, sf):
-    s = (table(spark, sf, "supplier").join(F.broadcast(table(spark, sf, "nation")),
+    s = (table(spark, sf, "supplier").join(table(spark, sf, "nation"),
                                            F.col("s_nationkey") == F.col("n_nationkey"))
-         .join(F.broadcast(table(spark, sf, "region")), F.col("n_regionkey") == F.col("r_regionkey"))
+         .join(table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
          .select("s_suppkey", F.lower("r_name").alias("city"), "n_name", "s_name"))
     out = cl.geo_jitter(s, ["city", "n_name", "s_name"], BINDING_ANCHORS)
     key = F.lower(F.concat_ws("_", "city", "n_name", "s_name"))

@@ -100,7 +100,7 @@ def request_capacity(spark, sf):
     cond = cond.select("route_key", "timestamp", "temperature", "traffic_level")
     cust = table(spark, sf, "customer").select("c_custkey", "c_nationkey")
     req = (ev.join(cust, ev.user_id == cust.c_custkey)
-             .join(F.broadcast(b.places(spark, sf)), F.col("c_nationkey") == F.col("n_nationkey"))
+             .join(b.places(spark, sf), F.col("c_nationkey") == F.col("n_nationkey"))
              .select("event_id", "user_id", "ts",
                      F.concat_ws("_", "city", "area", F.lit("to"), "area").alias("route_key")))
     out = dm.accept_orders(req, cond, "user_id", "ts", [F.col("ts"), F.col("event_id")], capacity=1)

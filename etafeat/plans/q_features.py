@@ -115,7 +115,7 @@ def restaurant_profile(spark, sf):
 @query("route_profile", ORDERS_CTE + SQL_ROUTE_PROFILE, "A12, A13: route profile with first non-null values")
 def route_profile(spark, sf):
     o = _orders(spark, sf)
-    aggs = fx.route_profile_aggs(_T, "order_id", fx.Scales())
+    aggs = fx.route_profile_aggs(_T, "order_id", fx.Scales(traffic=2))
     return o.groupBy("route_key").agg(*[round_half_even(e, 2).alias(n) for n, e in aggs.items()])
 
 
@@ -255,7 +255,7 @@ FROM f
 
 def build_feature_matrix(spark, sf, validate: bool = False):
     orders = materialize(_orders(spark, sf), "delivery_orders")
-    fm = fx.feature_matrix(orders, b.restaurants(spark, sf), b.users(spark, sf),
+    fm = fx.feature_matrix(orders, b.restaurants(spark, sf), b.users(spark, sf), scales=fx.Scales(traffic=2),
                            validate=validate, check_keys=validate)
     return _trig_rounded(fm)
 

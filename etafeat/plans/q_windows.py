@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from etafeat.operators.windows import Trailing, target_encode, trailing_windows
 from etafeat.plans.registry import query
 from etafeat.session import table
@@ -58,6 +60,19 @@ def lag_mean_2h(spark, sf):
     return out.drop("value")
 
 
+@query("lag_mean_fine", f"""
+SELECT event_id, user_id, ts, ROUND(COALESCE(AVG(value / 7) OVER ({_frame('3 hours').format(k='user_id')}), 0.0), 6) AS mean_3h,
+       MAX(value) OVER ({_frame('3 hours').format(k='user_id')}) AS max_3h
+FROM (SELECT * REPLACE (date_trunc('minute', ts) AS ts) FROM events)
+""", "F2-F4: values with many decimals, many equal times; and a trailing maximum")
+def lag_mean_fine(spark, sf):
+    ev = table(spark, sf, "events").select("event_id", "user_id", F.date_trunc("minute", "ts").cast("timestamp_ntz").alias("ts"),
+                                           "value", (F.col("value") / 7).alias("part"))
+    out = trailing_windows(ev, "user_id", "ts", [Trailing("mean_3h", "3h", "mean", "part"),
+                                                 Trailing("max_3h", "3h", "max", "value", None)], bucket="1h")
+    return out.select("event_id", "user_id", "ts", F.round("mean_3h", 6).alias("mean_3h"), "max_3h")
+
+
 _PRIOR_ORDERS = "(SELECT CAST(SUM(CAST(o_totalprice AS DECIMAL(38,2))) AS DOUBLE) / COUNT(o_totalprice) FROM orders)"
 
 

@@ -43,12 +43,13 @@ def test_stages_end_to_end(spark):
     rid = rest.filter((F.col("city") == city) & (F.col("area") == origin)).select("restaurant_id").first()[0]
     uid = users.first().user_id
     reqs = spark.createDataFrame(
-        [(uid, rid, r.route_key, r.timestamp + dt.timedelta(minutes=m), 2) for m in range(8)]
-        + [(uid, rid, "nowhere_a_to_b", r.timestamp, 1)],
-        "user_id string, restaurant_id string, route_key string, ts timestamp_ntz, num_items int")
+        [(f"o{m}", uid, rid, r.route_key, r.timestamp + dt.timedelta(minutes=m // 4), 2) for m in range(8)]
+        + [("o9", uid, rid, "nowhere_a_to_b", r.timestamp, 1)],
+        "order_id string, user_id string, restaurant_id string, route_key string, ts timestamp_ntz, num_items int")
     orders = materialize(pipeline.orders_stage(reqs, rest, routes), "test_orders")
     o = orders.collect()
-    assert len(o) == 5                                    # capacity 5 per restaurant-hour; routeless dropped
+    # capacity 5 per restaurant-hour, ties by order id; routeless dropped; equal times keep their own ids
+    assert sorted(x.order_id for x in o) == ["o0", "o1", "o2", "o3", "o4"]
     assert all(x.actual_delivery_time_min >= 15 and 80 <= x.basket_value <= 2500 for x in o)
 
     out = pipeline.run_features(orders, rest, users, d, os.path.join(d, "features.json"))

@@ -3,8 +3,9 @@ filters and column pruning reach the Parquet scan."""
 
 import pytest
 
-import __spark_entry__ as entry
+from etafeat.plans.catalog import all_queries
 
+QUERIES = {name: q.fn for name, q in all_queries().items()}
 BAD = ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin")
 # queries whose only cross join is a one-row broadcast (a scalar) or a fixed calendar
 SCALAR_CROSS = {"route_hours", "expected_weather", "expected_traffic", "conditions_join", "completeness",
@@ -15,9 +16,9 @@ def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_python_udf_or_cartesian(spark, sf, name):
-    plan = plan_of(entry.queries()[name](spark, sf))
+    plan = plan_of(QUERIES[name](spark, sf))
     assert "PythonUDF" not in plan and "EvalPython" not in plan
     assert "CartesianProduct" not in plan
     if name not in SCALAR_CROSS:
@@ -36,5 +37,5 @@ def test_pushdown_and_pruning(spark, sf):
 
 
 def test_feature_matrix_shuffles_bounded(spark, sf):
-    plan = plan_of(entry.queries()["feature_matrix"](spark, sf))
+    plan = plan_of(QUERIES["feature_matrix"](spark, sf))
     assert plan.count("Exchange hashpartitioning") <= 20

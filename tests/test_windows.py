@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -73,3 +74,27 @@ def test_cap_per_hour_restarts_each_hour(spark):
     df = spark.createDataFrame(rows, "id int, rest string, ts timestamp_ntz")
     out = cap_per_hour(df, "rest", "ts", ["ts", "id"], 2).orderBy("id").collect()
     assert [r.id for r in out] == [0, 1, 10]
+
+
+def test_values_keep_their_decimals(spark):
+    """An open scale keeps the digits; a declared one that does not fit fails the job."""
+    rows = [(i, dt.datetime(2024, 1, 1, 0, i), 0.12345 + i / 1e5) for i in range(20)]
+    df = spark.createDataFrame(rows, "k long, ts timestamp_ntz, v double").withColumn("k", F.lit("a"))
+    got = trailing_windows(df, "k", "ts", [Trailing("m", "5m", "mean", "v", None)], bucket="2m").orderBy("ts").collect()
+    for i, r in enumerate(got):
+        past = [v for _, _, v in rows[max(0, i - 5):i]]
+        assert r.m is None if not past else abs(r.m - sum(past) / len(past)) < 1e-14
+    with pytest.raises(Exception, match="more than 2 decimals"):
+        trailing_windows(df, "k", "ts", [Trailing("m", "5m", "mean", "v", None, 2)]).collect()
+
+
+def test_trailing_sums_are_linear_and_keep_odd_rows(spark):
+    rows = [("a", None, 1.0), (None, dt.datetime(2024, 1, 1), 2.0), (None, dt.datetime(2024, 1, 1, 0, 30), 3.0),
+            ("a", dt.datetime(2024, 1, 1), None), ("a", dt.datetime(2024, 1, 1, 0, 59), 5.0), ("a", dt.datetime(2024, 1, 1, 1), 7.0)]
+    df = spark.createDataFrame(rows, "k string, ts timestamp_ntz, v double")
+    out = trailing_windows(df, "k", "ts", [Trailing("n", "1h"), Trailing("s", "1h", "sum", "v", 0.0, 1)], bucket="7m")
+    got = {(r.k, str(r.ts)[11:16]): (r.n, r.s) for r in out.collect()}
+    assert got == {("a", ""): (0, 0.0), (None, "00:00"): (0, 0.0), (None, "00:30"): (1, 2.0), ("a", "00:00"): (0, 0.0),
+                   ("a", "00:59"): (1, 0.0), ("a", "01:00"): (2, 5.0)}
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "specifiedwindowframe(RangeFrame, -3600" not in plan  # no sliding frame
