@@ -167,11 +167,11 @@ def interaction_features(df: DataFrame, high_value: float = S.high_value) -> Dat
 
 def lag_features(df: DataFrame, ts: str, target: str, sc: Scales) -> DataFrame:  # noqa: D401
     """Restaurant orders in the last hour; route mean target (3h) and traffic (2h); empty -> 0."""
-    df = trailing_windows(df, "restaurant_id", ts, [Trailing("rest_orders_last_1h", "1h")], bucket="1d")
-    return trailing_windows(df, "route_key", ts, [
+    out = trailing_windows(df, "restaurant_id", ts, [Trailing("rest_orders_last_1h", "1h")], bucket="1d")
+    return trailing_windows(out, "route_key", ts, [
         Trailing("route_avg_delivery_last_3h", "3h", "mean", target, 0.0, sc.target),
         Trailing("traffic_ma_2h", "2h", "mean", "traffic_level", 0.0, sc.traffic),
-    ], bucket="1d")
+    ], bucket="1d", history=df)
 
 
 # ----------------------------------------------------------------- validation

@@ -86,22 +86,26 @@ def base_eta(distance_km: Column | str, highway: Column | str, arterial: Column
     return F.try_divide(c(distance_km), speed) * F.lit(60.0)
 
 
-def calendar(spark: SparkSession, end: str | datetime = config.DEFAULT.end_time,
-             days: int = config.DEFAULT.days) -> DataFrame:
-    """Hourly timestamps from ``end - (days - 1) days`` to ``end``, both included."""
+def calendar_hours(end: str | datetime = config.DEFAULT.end_time, days: int = config.DEFAULT.days) -> Column:
+    """Array of hourly timestamps from ``end - (days - 1) days`` to ``end``, both included."""
     if days <= 0:
         raise ValueError(f"days must be positive, got {days}")
     end_dt = end if isinstance(end, datetime) else datetime.fromisoformat(str(end))
     start_dt = end_dt - timedelta(days=days - 1)
-    return spark.range(1).select(F.explode(F.sequence(
-        # wall-clock text -> timestamp_ntz: independent of the session and system time zones
-        F.lit(start_dt.isoformat(sep=" ")).cast("timestamp_ntz"), F.lit(end_dt.isoformat(sep=" ")).cast("timestamp_ntz"),
-        F.expr("INTERVAL 1 HOUR"))).alias("timestamp"))
+    # wall-clock text -> timestamp_ntz: independent of the session and system time zones
+    return F.sequence(F.lit(start_dt.isoformat(sep=" ")).cast("timestamp_ntz"),
+                      F.lit(end_dt.isoformat(sep=" ")).cast("timestamp_ntz"), F.expr("INTERVAL 1 HOUR"))
+
+
+def calendar(spark: SparkSession, end: str | datetime = config.DEFAULT.end_time,
+             days: int = config.DEFAULT.days) -> DataFrame:
+    """The hours of ``calendar_hours``, a row each."""
+    return spark.range(1).select(F.explode(calendar_hours(end, days)).alias("timestamp"))
 
 
-def route_hours(routes: DataFrame, hours: DataFrame) -> DataFrame:
-    """Routes x hours spine. The hour list is a fixed-size calendar (days * 24 rows)."""
-    return routes.crossJoin(F.broadcast(hours))
+def route_hours(routes: DataFrame, hours: Column) -> DataFrame:
+    """A row for every route and hour: each route's row lists the hours itself, without a join."""
+    return routes.withColumn("timestamp", F.explode(hours))
 
 
 def _baseline(city: Column, table: Mapping[str, float], default: float) -> Column:

@@ -110,23 +110,27 @@ class Trailing:
 
 
 def trailing_windows(df: DataFrame, key: str | Sequence[str], ts: str,
-                     specs: Sequence[Trailing], bucket: timedelta | str | int | None = None) -> DataFrame:
+                     specs: Sequence[Trailing], bucket: timedelta | str | int | None = None,
+                     history: DataFrame | None = None) -> DataFrame:
     """Add trailing time-window features over ``[t - length, t)`` per key.
 
     The start is included; every row at exactly ``t`` (the row itself and its
     ties) is excluded, like pandas ``rolling(length, closed="left")``. A row
-    without a time has an empty history and is in nobody's.
+    without a time has an empty history and is in nobody's. ``history`` is the
+    frame that totals come from (default ``df``): pass the base fact when ``df``
+    is an enriched copy of it, so the enriched plan is referenced once.
     """
     sums = [s for s in specs if s.agg in ("count", "sum", "mean")]
     frames = [s for s in specs if s.agg in ("min", "max")]
     if len(sums) + len(frames) != len(specs):
         raise ValueError(f"unknown aggregate in {[s.agg for s in specs]}")
     if sums:
-        df = _running_windows(df, _keys(key), ts, sums, bucket)
+        df = _running_windows(df, _keys(key), ts, sums, bucket, df if history is None else history)
     return _sliding_windows(df, _keys(key), ts, frames, bucket) if frames else df
 
 
-def _running_windows(df: DataFrame, keys: list[str], ts: str, specs: Sequence[Trailing], bucket) -> DataFrame:
+def _running_windows(df: DataFrame, keys: list[str], ts: str, specs: Sequence[Trailing], bucket,
+                     history: DataFrame) -> DataFrame:
     """Trailing counts, sums and means as running sums of arrivals and expiries."""
     lengths = sorted({_micros(s.length) for s in specs})
     b_us = _micros(bucket) if bucket is not None else lengths[-1]
@@ -149,24 +153,26 @@ def _running_windows(df: DataFrame, keys: list[str], ts: str, specs: Sequence[Tr
         names[s.out] = [measures[k][0] for k, _ in wanted]
 
     # one row for the arrival, one for each length's expiry; the two cancel out of every sum
-    x = df.withColumn("__t0", epoch_micros(ts)).withColumns({m: c for m, c, _ in measures.values()})
     steps = F.array(F.lit(0).cast("bigint"), *[F.lit(n).cast("bigint") for n in lengths])
-    x = x.withColumn("__step", F.explode(F.when(F.col("__t0").isNull(), F.slice(steps, 1, 1)).otherwise(steps)))
     own = F.col("__step") == 0
     keep = set(keys)
     moved = {m: F.when(own & F.col("__t0").isNotNull(), F.col(m)).when(F.col("__step") == n, -F.col(m)).alias(m)
              for m, _, n in measures.values()}
     t = F.col("__t0") + F.col("__step")
-    both = x.select(*[F.col(c) if c in keep else F.when(own, F.col(c)).alias(c) for c in df.columns], own.alias("__own"),
-                    t.alias("__t"), F.floor(t / F.lit(b_us)).alias("__b"), *moved.values())
+
+    def moves(frame: DataFrame) -> DataFrame:
+        x = frame.withColumn("__t0", epoch_micros(ts)).withColumns({m: c for m, c, _ in measures.values()})
+        x = x.withColumn("__step", F.explode(F.when(F.col("__t0").isNull(), F.slice(steps, 1, 1)).otherwise(steps)))
+        return x.select(*[F.col(c) if c in keep else F.when(own, F.col(c)).alias(c) for c in frame.columns], own.alias("__own"),
+                        t.alias("__t"), F.floor(t / F.lit(b_us)).alias("__b"), *moved.values())
 
     # earlier buckets of the key: a small aggregate, summed up bucket by bucket
-    per = both.filter(F.col("__b").isNotNull()).groupBy(*keys, "__b").agg(*[F.sum(m).alias(m) for m in moved])
+    per = moves(history).filter(F.col("__b").isNotNull()).groupBy(*keys, "__b").agg(*[F.sum(m).alias(m) for m in moved])
     earlier = Window.partitionBy(*keys).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     prefix = per.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], F.col("__b").alias("__pb"),
                         *[F.sum(m).over(earlier).alias(f"__p{m}") for m in moved])
     inside = Window.partitionBy(*keys, "__b").orderBy("__t").rangeBetween(Window.unboundedPreceding, -1)
-    local = both.withColumns({m: F.sum(m).over(inside) for m in moved}).filter("__own")
+    local = moves(df).withColumns({m: F.sum(m).over(inside) for m in moved}).filter("__own")
     same = F.col("__b") == F.col("__pb")
     for i, k in enumerate(keys):
         same = same & F.col(k).eqNullSafe(F.col(f"__k{i}"))

@@ -9,6 +9,7 @@ tables under any partitioning.
 from __future__ import annotations
 
 import os
+from datetime import datetime, timedelta
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -85,9 +86,8 @@ def routes_stage(spark: SparkSession, restaurants: DataFrame, users: DataFrame,
     """(routes_eta, quarantined): every route-hour with weather, traffic and base ETA."""
     net = rt.route_network(restaurants, users, settings.max_route_km, settings.routes_per_city)
     geo = rt.route_geometry(net, settings.seed)
-    hours = rt.calendar(spark, settings.end_time, settings.days)
-    cond = rt.conditions(rt.route_hours(geo, hours))
-    start = hours.agg(F.min("timestamp")).collect()[0][0]  # one row
+    cond = rt.conditions(rt.route_hours(geo, rt.calendar_hours(settings.end_time, settings.days)))
+    start = datetime.fromisoformat(str(settings.end_time)) - timedelta(days=settings.days - 1)
     return rt.quarantine_chunks(cond, start=str(start))
 
 

@@ -94,9 +94,9 @@ WHERE rn <= 1
 def request_capacity(spark, sf):
     ev = table(spark, sf, "events").select("event_id", "user_id", "ts")
     span = ev.agg(F.min(floor_hour("ts")).alias("lo"), F.max(floor_hour("ts")).alias("hi"))
-    hours = span.select(F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 HOUR"))).alias("timestamp"))
-    geo = rt.route_geometry(_self_routes(spark, sf))
-    cond = rt.expected_traffic(rt.expected_weather(rt.route_hours(geo, hours)))
+    geo = rt.route_geometry(_self_routes(spark, sf)).crossJoin(span)  # one row
+    cond = rt.route_hours(geo, F.sequence("lo", "hi", F.expr("INTERVAL 1 HOUR")))
+    cond = rt.expected_traffic(rt.expected_weather(cond))
     cond = cond.select("route_key", "timestamp", "temperature", "traffic_level")
     cust = table(spark, sf, "customer").select("c_custkey", "c_nationkey")
     req = (ev.join(cust, ev.user_id == cust.c_custkey)

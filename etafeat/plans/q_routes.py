@@ -77,7 +77,7 @@ def geometry(spark, sf):
 def route_hours_df(spark, sf):
     g = geometry(spark, sf).withColumn(
         "base_eta_minutes", rt.base_eta("distance_km", "highway_pct", "arterial_pct", "residential_pct"))
-    return rt.route_hours(g, rt.calendar(spark, END, DAYS))
+    return rt.route_hours(g, rt.calendar_hours(END, DAYS))
 
 
 @query("route_network", "WITH " + SQL_NETWORK + "\nSELECT * FROM network",
@@ -135,7 +135,7 @@ SELECT CAST(COUNT(*) AS BIGINT) AS n_rows,
 FROM rh""", "A26: route-hour rows against routes x hours")
 def completeness(spark, sf):
     cond = rt.conditions(route_hours_df(spark, sf).drop("base_eta_minutes"))
-    spine = network(spark, sf).crossJoin(F.broadcast(rt.calendar(spark, END, DAYS)))
+    spine = rt.route_hours(network(spark, sf), rt.calendar_hours(END, DAYS))
     return qa.completeness(cond, spine)
 
 
@@ -152,3 +152,37 @@ def demand_profile_q(spark, sf):
     hours = table(spark, sf, "events").select(floor_hour("ts").alias("timestamp")).distinct()
     return demand_profile(hours)
 
+
+
+@query("event_quarantine", """
+WITH firsts AS (SELECT user_id, min(ts) AS t0 FROM events GROUP BY user_id),
+chunks AS (
+  SELECT e.event_id, e.user_id, e.ts, e.value, date_diff('hour', date_trunc('hour', f.t0), e.ts) // 24 AS chunk,
+         e.value IS NULL OR e.value < 1.0 OR e.value > 400.0 AS bad
+  FROM events e JOIN firsts f USING (user_id))
+SELECT event_id, user_id, ts, value, bool_or(bad) OVER (PARTITION BY user_id, chunk) AS quarantined FROM chunks
+""", "W7: readings outside their range put the user's whole day aside; both halves are returned")
+def event_quarantine(spark, sf):
+    ev = table(spark, sf, "events").select("event_id", "user_id", "ts", "value")
+    first = ev.groupBy("user_id").agg(floor_hour(F.min("ts")).alias("t0"))
+    base = ev.join(first, "user_id").withColumn("hours", F.timestamp_diff("HOUR", "t0", "ts"))
+    # hours since the user's own first hour, as times from one start
+    base = base.withColumn("at", F.timestamp_add("HOUR", F.col("hours"), F.lit("2000-01-01 00:00:00").cast("timestamp_ntz")))
+    bad = F.col("value").isNull() | ~F.col("value").between(1.0, 400.0)
+    good, aside = rt.quarantine_chunks(base, key="user_id", ts="at", start="2000-01-01 00:00:00", checks=bad)
+    return good.withColumn("quarantined", F.lit(False)).unionByName(aside.withColumn("quarantined", F.lit(True))).select(
+        "event_id", "user_id", "ts", "value", "quarantined")
+
+
+@query("hour_completeness", """
+WITH have AS (SELECT DISTINCT event_type, date_trunc('hour', ts) AS h FROM events),
+span AS (SELECT date_diff('hour', min(h), max(h)) + 1 AS n FROM have)
+SELECT (SELECT count(*) FROM have)::BIGINT AS n_rows,
+       ((SELECT count(DISTINCT event_type) FROM have) * (SELECT n FROM span))::BIGINT AS n_expected,
+       (SELECT count(*) FROM have) / ((SELECT count(DISTINCT event_type) FROM have) * (SELECT n FROM span)) AS ratio
+""", "A26: hours that hold an event of each type, against all hours of the table's own range")
+def hour_completeness(spark, sf):
+    have = table(spark, sf, "events").select("event_type", floor_hour("ts").alias("h")).distinct()
+    span = have.agg(F.min("h").alias("lo"), F.max("h").alias("hi"))
+    spine = have.select("event_type").distinct().crossJoin(span)  # one row
+    return qa.completeness(have, rt.route_hours(spine, F.sequence("lo", "hi", F.expr("INTERVAL 1 HOUR"))))
