@@ -1,4 +1,4 @@
-"""Write PLANS.md: the physical-plan shape of every registered query.
+"""Write PLANS.md: the physical-plan shape of every query of the feature engine.
 
     python plan_report.py [sf_dir]
 
@@ -30,12 +30,12 @@ KINDS = [
 
 def main(sf_dir: str) -> None:
     from etafeat.session import build_session
-    import __spark_entry__ as entry
+    from etafeat.plans.catalog import all_queries
 
     spark = build_session("local[8]", 8, app="etafeat-plans")
     rows = []
-    for name, fn in entry.queries().items():
-        plan = fn(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    for name, q in all_queries().items():
+        plan = q.fn(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
         rows.append((name, [len(re.findall(p, plan)) for _, p in KINDS]))
     head = "| query | " + " | ".join(k for k, _ in KINDS) + " |"
     sep = "| --- |" + " --- |" * len(KINDS)
@@ -45,8 +45,8 @@ def main(sf_dir: str) -> None:
 Generated by `plan_report.py` on `{sf_dir}` (executed plan before adaptive
 re-planning; AQE may still coalesce partitions, split skewed joins or turn a
 sort-merge join into a broadcast join at run time). "single-partition" counts
-exchanges into one partition: they only carry one-row aggregates (global
-prior, split cut, totals) or bounded bands, never a fact table.
+exchanges into one partition: they carry one-row aggregates (global prior,
+split cut, totals), never a fact table. Nested-loop joins join such a row.
 
 {head}
 {sep}
