@@ -4,26 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from etafeat import config
 from etafeat.functions.columns import (composite_key, canonical, clip, display_tokens, hash_mod, positive_or_null,
                                        price_band, round_half_even, to_double, token_array, unit_hash)
-from etafeat.operators.quality import normalize_columns, require_columns
+from etafeat.operators.quality import duplicate_keys, normalize_columns, require_columns
 
 S = config.DEFAULT
 
 
-def anchors_frame(spark: SparkSession, anchors: Mapping[str, tuple[float, float]]) -> DataFrame:
-    return spark.createDataFrame([(k, float(v[0]), float(v[1])) for k, v in anchors.items()],
-                                 "city string, anchor_lat double, anchor_lon double")
-
-
-def unknown_cities(df: DataFrame, anchors: Mapping[str, tuple[float, float]], city: str = "city") -> list[str]:
+def unknown_cities(df: DataFrame, anchors: Mapping[str, tuple[float, float]], city: str = "city",
+                   examples: int = 5) -> str | None:
+    """None if every city has an anchor, else how many do not and a few of them."""
     known = F.array(*[F.lit(k) for k in anchors])
     bad = df.select(city).distinct().filter(~F.array_contains(known, F.col(city)))
-    return sorted(r[0] for r in bad.limit(50).collect())
+    n = bad.count()
+    return f"{n} without an anchor, such as {sorted(r[0] for r in bad.limit(examples).collect())}" if n else None
 
 
 def geo_jitter(df: DataFrame, key_cols: Sequence[str], anchors: Mapping[str, tuple[float, float]],
@@ -39,7 +37,7 @@ def geo_jitter(df: DataFrame, key_cols: Sequence[str], anchors: Mapping[str, tup
     if default_anchor is None:
         bad = unknown_cities(df, anchors, city)
         if bad:
-            raise ValueError(f"unknown cities not in anchors: {bad}")
+            raise ValueError(f"cities: {bad}")
     lat_map = F.create_map(*[x for k, v in anchors.items() for x in (F.lit(k), F.lit(float(v[0])))])
     lon_map = F.create_map(*[x for k, v in anchors.items() for x in (F.lit(k), F.lit(float(v[1])))])
     a_lat = F.try_element_at(lat_map, F.col(city))
@@ -92,20 +90,19 @@ def dedupe_first(df: DataFrame, key: str | Sequence[str], order: Sequence[str])
 
 def _gates(df: DataFrame, anchors: Mapping[str, tuple[float, float]], aliases: Mapping[str, str],
            unique: bool, cities: bool) -> None:
-    """Both input gates in one pass: duplicate ids, and cities without an anchor
-    among rows that survive the delivery-time filter. Only counts and the
-    (bounded) set of city names reach the driver."""
-    ok_row = to_double("base_delivery_time_min") > 0
-    r = df.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("restaurant_id").alias("ids"),
-               F.collect_set(F.when(ok_row, canonical("city", aliases))).alias("cities")).collect()[0]
-    if unique and r.n != r.ids:
-        ex = (df.groupBy("restaurant_id").count().filter("count > 1").orderBy(F.col("count").desc())
-              .limit(5).collect())
-        raise ValueError(f"found {r.n - r.ids} duplicate restaurant_id rows (rows {r.n}, unique {r.ids}); "
-                         f"examples: {[tuple(x) for x in ex]}")
-    unknown = sorted(set(r.cities) - set(anchors))
-    if cities and unknown:
-        raise ValueError(f"unknown cities not in anchors: {unknown}")
+    """Input gates: duplicate ids, and cities without an anchor among rows that survive
+    the delivery-time filter. Only counts and a few examples reach the driver."""
+    if unique:
+        extra = duplicate_keys(df, "restaurant_id")
+        n = extra.count()
+        if n:
+            raise ValueError(f"duplicate keys in restaurant_id: {n} ids occur again, such as "
+                             f"{[r[0] for r in extra.limit(5).collect()]}")
+    if cities:
+        rows = df.filter(to_double("base_delivery_time_min") > 0).select(canonical("city", aliases).alias("city"))
+        bad = unknown_cities(rows, anchors)
+        if bad:
+            raise ValueError(f"cities: {bad}")
 
 
 def clean_restaurants(raw: DataFrame, anchors: Mapping[str, tuple[float, float]] = config.CITY_ANCHORS,

@@ -209,3 +209,28 @@ SELECT CAST(COUNT(*) AS BIGINT) AS n_groups,
 FROM per""", "A24: distinct price bands per area and the share of single-band areas")
 def spread_per_group(spark, sf):
     return qa.spread_per_group(clean_restaurants(spark, sf), "area", "price_band")
+
+
+_GATES = {
+    "supplier": {"name_length": "length(s_name) BETWEEN 1 AND 18", "balance_in_range": "s_acctbal BETWEEN 0 AND 9000",
+                 "name_case": "s_name LIKE 'Supplier#%'"},
+    "customer": {"segment_allowed": "c_mktsegment IN ('AUTOMOBILE', 'BUILDING', 'MACHINERY', 'HOUSEHOLD')",
+                 "segment_case": "c_mktsegment = upper(c_mktsegment)", "balance_in_range": "c_acctbal BETWEEN 0 AND 9000"},
+    "orders": {"price_positive": "o_totalprice > 0", "status_allowed": "o_orderstatus IN ('O', 'F')",
+               "priority_length": "length(o_orderpriority) <= 10"},
+}
+
+
+@query("quality_gates", " UNION ALL ".join(
+    f"SELECT '{t}' AS source, '{g}' AS gate, CAST(count(*) FILTER (WHERE NOT coalesce({c}, false)) AS BIGINT) AS violations,"
+    f" CAST(count(*) AS BIGINT) AS n_rows FROM {t}" for t, checks in _GATES.items() for g, c in checks.items()),
+    "C11, U29, W1: case, length, range and allowed-set checks with their violations, one pass a table")
+def quality_gates(spark, sf):
+    out = None
+    for name, checks in _GATES.items():
+        one = qa.gate_counts(table(spark, sf, name), {g: F.expr(c) for g, c in checks.items()} | {"n_rows": F.lit(False)})
+        pairs = ", ".join(f"'{g}', {g}" for g in checks)
+        rows = one.selectExpr("n_rows", f"stack({len(checks)}, {pairs}) AS (gate, violations)").select(
+            F.lit(name).alias("source"), "gate", "violations", "n_rows")
+        out = rows if out is None else out.unionByName(rows)
+    return out
