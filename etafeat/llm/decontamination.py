@@ -2,7 +2,8 @@
 
 Texts become templates: numbers, capitalised words and units after a number are
 replaced by typed placeholders, other words are lower-cased and stripped of
-punctuation at their ends. Windows of eight template words are hashed; document
+punctuation at their ends. Windows of eight template words are hashed, once like that and once
+with names as plain words, so that a copy in capitals is found too; document
 windows that a Bloom filter of the benchmark's windows lets through (a fixed
 number of bits, no false negatives) are hash-joined with those windows. Matches
 are grouped by (document, item, offset between the two), which aligns them.
@@ -25,7 +26,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, product
 
 import numpy as np
 import pandas as pd
@@ -40,7 +41,7 @@ from etafeat.llm.common import materialize, table
 
 WINDOW, NEED, SHORTEST = 8, 6, 4
 FILTER_BITS = 1 << 24  # 2 MB whatever the benchmark's size; more items only let more windows through
-MEMO = 1 << 19  # words whose classification a task remembers
+MEMO = 1 << 18  # words whose classification a task remembers
 UNITS = frozenset(
     b"mm cm m km in inch inches ft foot feet yd yard yards mile miles mg g kg gram grams kilogram kilograms oz lb lbs "
     b"pound pounds ton tons ml l liter liters litre litres gallon gallons ms s sec second seconds min minute minutes h "
@@ -112,12 +113,18 @@ def templates(texts: list[bytes], memo: Classified) -> tuple[np.ndarray, np.ndar
     return doc, kind, code, value
 
 
-def windows(doc: np.ndarray, kind: np.ndarray, code: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+def families(kind: np.ndarray, code: np.ndarray, value: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Kinds and codes of the template, and of the one in which names are words."""
+    name = kind == NAME
+    return [(kind, code), (np.where(name, LITERAL, kind), np.where(name, value, code))]
+
+
+def windows(doc: np.ndarray, kind: np.ndarray, code: np.ndarray, size: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
     """Starts and hashes of the usable windows of ``size`` words, none across texts."""
     n = len(kind) - size + 1
     if n < 1:
         return np.empty(0, np.int64), np.empty(0, np.uint64)
-    h = np.full(n, size, np.uint64)
+    h = np.full(n, size + (seed << 8), np.uint64)
     for i in range(size):
         h = (h ^ (h >> np.uint64(29))) * MULTIPLIER + code[i:i + n]
     literal = np.concatenate(([0], np.cumsum(kind == LITERAL)))
@@ -143,7 +150,7 @@ def hashed_windows(texts: DataFrame, sizes: list[int] | None = None, passing: Br
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = Classified()
         packed = np.frombuffer(passing.value, np.uint8) if passing else None
-        for b in batches:
+        for b in (part for batch in batches for part in ngrams.slices(batch)):
             ids, hashes = b.column(0).to_pylist(), b.column(1).to_pylist()
             texts = [t or b"" for t in b.column(2).to_pylist()]
             # a benchmark item is its own chunk: its length decides the size of its windows
@@ -151,16 +158,17 @@ def hashed_windows(texts: DataFrame, sizes: list[int] | None = None, passing: Br
                 doc, kind, code, value = templates(texts[i:j], memo)
                 first = np.searchsorted(doc, np.arange(j - i))
                 own = [min(WINDOW, len(kind))] if len(kind) >= SHORTEST else []
-                for size in sizes if passing else own:
-                    at, h = windows(doc, kind, code, size)
+                for size, (family, (as_kind, as_code)) in product(
+                        sizes if passing else own, enumerate(families(kind, code, value))):
+                    at, h = windows(doc, as_kind, as_code, size, family)
                     if passing and len(h):
                         one, two = probes(h)
                         ok = (packed[one >> 3] >> (one & 7) & 1 & (packed[two >> 3] >> (two & 7))).astype(bool)
                         at, h = at[ok], h[ok]
                     out = []
                     for p, x in zip(at.tolist(), h.view(np.int64).tolist()):
-                        slots = [{"at": k, "kind": int(kind[p + k]), "value": int(value[p + k].view(np.int64))}
-                                 for k in range(size) if kind[p + k] != LITERAL]
+                        slots = [{"at": k, "kind": int(as_kind[p + k]), "value": int(value[p + k].view(np.int64))}
+                                 for k in range(size) if as_kind[p + k] != LITERAL]
                         d = int(doc[p])
                         out.append((ids[i + d], hashes[i + d], size, p - int(first[d]), x, slots))
                     for k in range(0, len(out), 4096):
@@ -196,7 +204,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, need: int = NEED) -> Dat
     items = items.groupBy("text").agg(F.min("id").alias("id")).select("id", F.xxhash64("text").alias("row"), "text")
     items = materialize(hashed_windows(items), "item-windows")
     sizes = [r.size for r in items.select("size").distinct().collect()]  # at most WINDOW - SHORTEST + 1 of them
-    count = items.groupBy(F.col("id").alias("item_id")).agg(F.count(F.lit(1)).alias("item_windows"))
+    count = items.groupBy(F.col("id").alias("item_id")).agg(F.count_distinct("pos").alias("item_windows"))
     items = items.select(F.col("id").alias("item_id"), F.col("pos").alias("item_pos"), "hash",
                          F.col("slots").alias("item_slots")).join(count, "item_id")
     passing = spark.sparkContext.broadcast(bytes(bloom(items)))
@@ -213,7 +221,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, need: int = NEED) -> Dat
     key = ["id", "row", "item_id", "item_windows", "offset"]
     # an alignment has at most the item's windows; its slots are a set of at most the item's words
     aligned = hits.groupBy(*key).agg(
-        F.count(F.lit(1)).alias("n_windows"), F.sum(F.col("equal").cast("long")).alias("n_equal"),
+        F.size(F.collect_set("item_pos")).cast("long").alias("n_windows"),
+        F.size(F.collect_set(F.when(F.col("equal"), F.col("item_pos")))).cast("long").alias("n_equal"),
         F.array_distinct(F.flatten(F.collect_set("mapping"))).alias("slots"))
     one_way = lambda side: F.size(F.array_distinct(F.transform("slots", lambda x: F.struct(x["kind"], x[side]))))
     one_to_one = (one_way("item") == F.size("slots")) & (one_way("doc") == F.size("slots"))

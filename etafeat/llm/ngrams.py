@@ -5,12 +5,14 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 
 PRIME = np.uint64(0x100000001B3)
 INVERSE = np.uint64(pow(0x100000001B3, -1, 1 << 64))
 MIX = np.uint64(0x9E3779B97F4A7C15)
-CHUNK = 1 << 20  # bytes of text hashed at a time; a longer text is a chunk of its own
+CHUNK = 1 << 18  # bytes of text hashed at a time; a longer text is a chunk of its own
+ROWS = 512  # rows of a batch that are Python objects at a time
 _powers: dict[str, np.ndarray] = {}
 
 
@@ -24,6 +26,12 @@ def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers["up"], _powers["down"]
 
 
+def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """``batch`` in parts of ROWS rows, so that few texts are Python objects at once."""
+    for at in range(0, batch.num_rows, ROWS):
+        yield batch.slice(at, ROWS)
+
+
 def chunks(texts: list[bytes]) -> Iterator[tuple[int, int]]:
     """Ranges of consecutive texts of about CHUNK bytes together."""
     start = size = 0
@@ -87,7 +95,7 @@ def features(texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
     return [*out, (doc[1:][inside], pair[inside])]
 
 
-def sketch(text: bytes, salts: int = 2, size: int = 3) -> list[int]:
+def sketch(text: bytes, salts: int = 4, size: int = 3) -> list[int]:
     """The smallest hash of the ``size``-word shingles, for each salt; near copies agree in most of them."""
     words = text.lower().split()
     joined = [b" ".join(words[i:i + size]) for i in range(max(1, len(words) - size + 1))]

@@ -28,7 +28,6 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -65,14 +64,15 @@ def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, kind) of the labelled documents that count: near copies once."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            two = np.array([ngrams.sketch(t.as_py()) for t in b.column("text")], np.uint64).reshape(-1, 2).view(np.int64)
-            yield pa.record_batch([b.column("doc_id"), b.column("kind"), pa.array(two[:, 0]), pa.array(two[:, 1])],
-                                  ["doc_id", "kind", "s0", "s1"])
+            found = np.array([ngrams.sketch(t.as_py()) for t in b.column("text")], np.uint64).reshape(-1, 4).view(np.int64)
+            yield pa.record_batch([b.column("doc_id"), b.column("kind"), *map(pa.array, found.T.copy())], ["doc_id", "kind", *names])
+
+    names = [f"s{i}" for i in range(4)]
 
     ids = materialize(labelled(labels), "labelled")
-    rows = _with_text(docs, ids).select("doc_id", "text", "kind").mapInArrow(run, "doc_id long, kind int, s0 long, s1 long")
+    rows = _with_text(docs, ids).select("doc_id", "text", "kind").mapInArrow(run, "doc_id long, kind int, " + ", ".join(f"{s} long" for s in names))
     rows = materialize(rows, "sketches")
-    for s in ("s0", "s1"):  # the first of each group of equal sketches
+    for s in names:  # the first of each group of equal sketches
         rows = rows.join(rows.groupBy(s).agg(F.min("doc_id").alias("doc_id")), [s, "doc_id"], "left_semi")
     return materialize(rows.select("doc_id", "kind").distinct(), "training")
 
@@ -80,7 +80,7 @@ def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def feature_counts(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """(feature, kind, docs, uses): per feature and kind the documents it is in and its occurrences."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (part for batch in batches for part in ngrams.slices(batch)):
             kinds = b.column("kind").to_numpy(zero_copy_only=False)
             texts = b.column("text").to_pylist()
             for i, j in ngrams.chunks(texts):
@@ -152,10 +152,12 @@ def scores(texts: list[bytes], models: list[tuple[np.ndarray, np.ndarray]]) -> n
 
 
 def log_importance(text: Column, models: list[tuple[np.ndarray, np.ndarray]]) -> Column:
-    def run(texts: pd.Series) -> pd.Series:
-        return pd.Series(scores([t or b"" for t in texts], models))
+    def run(texts: pa.Array) -> pa.Array:
+        parts = [scores([t or b"" for t in texts.slice(at, ngrams.ROWS).to_pylist()], models)
+                 for at in range(0, len(texts), ngrams.ROWS)]
+        return pa.array(np.concatenate([np.zeros(0), *parts]))
 
-    return F.pandas_udf(run, "double")(text.cast("binary"))
+    return F.arrow_udf(run, "double")(text.cast("binary"))
 
 
 def gumbel_key(score: Column) -> Column:
