@@ -49,6 +49,7 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = 10) -> DataFrame:
     lines = materialize(line_keys(docs, min_chars).repartitionByRange(*order).sortWithinPartitions(*order), "lines")
     first = (lines.groupBy("h1", "h2").agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
              .filter("first < last").select("h1", "h2", "first"))
+    first = materialize(first, "first-lines")  # as a table of its own, so that AQE can split hot keys in the join
     bit = F.expr("shiftleft(1L, pos % 64)")
     words = (lines.join(first, ["h1", "h2"]).filter("doc > first")
              .groupBy("doc", "row", F.expr("pos div 64").cast("int").alias("word"))
