@@ -16,7 +16,8 @@ between item and document (a re-parameterised question).
 Defined results: items with the same template and values are one, named by the
 smallest id. Items of fewer template words than a window are matched by one
 window of their own length; below ``SHORTEST`` words a text identifies nothing
-and is not matched. Windows with fewer than half literal words are not used. A
+and is not matched. Windows with fewer than half literal words are hashed with
+the raw values in place of placeholders, so they are found as copies only. A
 NULL or empty text matches nothing. Documents without an id are matched and
 reported with a NULL id; rows that share an id and a text are reported once.
 Only ``doc_id``/``item_id`` and ``text`` are read.
@@ -26,7 +27,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from itertools import chain, product
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -40,6 +41,7 @@ from etafeat.llm import ngrams
 from etafeat.llm.common import materialize, table
 
 WINDOW, NEED, SHORTEST = 8, 6, 4
+RAW = 2  # number of the family of raw words
 FILTER_BITS = 1 << 24  # 2 MB whatever the benchmark's size; more items only let more windows through
 MEMO = 1 << 18  # words whose classification a task remembers
 UNITS = frozenset(
@@ -114,9 +116,9 @@ def templates(texts: list[bytes], memo: Classified) -> tuple[np.ndarray, np.ndar
 
 
 def families(kind: np.ndarray, code: np.ndarray, value: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Kinds and codes of the template, and of the one in which names are words."""
-    name = kind == NAME
-    return [(kind, code), (np.where(name, LITERAL, kind), np.where(name, value, code))]
+    """Kinds and codes of the template, of the one in which names are words, and of the raw words."""
+    name, raw = kind == NAME, np.where(kind == NUM, (code * MULTIPLIER) ^ value, value)
+    return [(kind, code), (np.where(name, LITERAL, kind), np.where(name, value, code)), (np.full_like(kind, LITERAL), raw)]
 
 
 def windows(doc: np.ndarray, kind: np.ndarray, code: np.ndarray, size: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
@@ -137,16 +139,16 @@ def probes(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (h & bits).astype(np.int64), ((h >> np.uint64(32)) & bits).astype(np.int64)
 
 
-ROWS = "id long, row long, size int, pos int, hash long, slots array<struct<at int, kind byte, value long>>"
+ROWS = "id long, row long, family int, size int, pos int, hash long, slots array<struct<at int, kind byte, value long>>"
 
 
-SCHEMA = pa.schema([("id", pa.int64()), ("row", pa.int64()), ("size", pa.int32()), ("pos", pa.int32()), ("hash", pa.int64()),
+SCHEMA = pa.schema([("id", pa.int64()), ("row", pa.int64()), ("family", pa.int32()), ("size", pa.int32()), ("pos", pa.int32()), ("hash", pa.int64()),
                     ("slots", pa.list_(pa.struct([("at", pa.int32()), ("kind", pa.int8()), ("value", pa.int64())])))])
 
 
-def hashed_windows(texts: DataFrame, sizes: list[int] | None = None, passing: Broadcast | None = None) -> DataFrame:
+def hashed_windows(texts: DataFrame, sizes: list[tuple] | None = None, passing: Broadcast | None = None) -> DataFrame:
     """ROWS of the windows of ``texts(id, row, text)``: without a filter one size a text
-    (the benchmark), else those of the given sizes that pass it."""
+    (the benchmark), else those of the given (family, size) that pass it."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = Classified()
         packed = np.frombuffer(passing.value, np.uint8) if passing else None
@@ -157,10 +159,16 @@ def hashed_windows(texts: DataFrame, sizes: list[int] | None = None, passing: Br
             for i, j in ngrams.chunks(texts) if passing else ((k, k + 1) for k in range(len(texts))):
                 doc, kind, code, value = templates(texts[i:j], memo)
                 first = np.searchsorted(doc, np.arange(j - i))
-                own = [min(WINDOW, len(kind))] if len(kind) >= SHORTEST else []
-                for size, (family, (as_kind, as_code)) in product(
-                        sizes if passing else own, enumerate(families(kind, code, value))):
+                every = families(kind, code, value)
+                own = [(f, min(WINDOW, len(kind))) for f in range(len(every))] if len(kind) >= SHORTEST else []
+                usable = np.empty(0, np.int64)
+                for family, size in sizes if passing else own:
+                    as_kind, as_code = every[family]
                     at, h = windows(doc, as_kind, as_code, size, family)
+                    if not passing and family == RAW:  # raw words only where no template has the window
+                        rest = ~np.isin(at, usable)
+                        at, h = at[rest], h[rest]
+                    usable = at
                     if passing and len(h):
                         one, two = probes(h)
                         ok = (packed[one >> 3] >> (one & 7) & 1 & (packed[two >> 3] >> (two & 7))).astype(bool)
@@ -170,7 +178,7 @@ def hashed_windows(texts: DataFrame, sizes: list[int] | None = None, passing: Br
                         slots = [{"at": k, "kind": int(as_kind[p + k]), "value": int(value[p + k].view(np.int64))}
                                  for k in range(size) if as_kind[p + k] != LITERAL]
                         d = int(doc[p])
-                        out.append((ids[i + d], hashes[i + d], size, p - int(first[d]), x, slots))
+                        out.append((ids[i + d], hashes[i + d], family, size, p - int(first[d]), x, slots))
                     for k in range(0, len(out), 4096):
                         yield pa.RecordBatch.from_pylist([dict(zip(SCHEMA.names, r)) for r in out[k:k + 4096]], SCHEMA)
 
@@ -203,32 +211,36 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, need: int = NEED) -> Dat
     items = benchmark.select(F.col("item_id").alias("id"), F.coalesce("text", F.lit("")).alias("text"))
     items = items.groupBy("text").agg(F.min("id").alias("id")).select("id", F.xxhash64("text").alias("row"), "text")
     items = materialize(hashed_windows(items), "item-windows")
-    sizes = [r.size for r in items.select("size").distinct().collect()]  # at most WINDOW - SHORTEST + 1 of them
-    count = items.groupBy(F.col("id").alias("item_id")).agg(F.count_distinct("pos").alias("item_windows"))
-    items = items.select(F.col("id").alias("item_id"), F.col("pos").alias("item_pos"), "hash",
+    sizes = [(r["family"], r["size"]) for r in items.select("family", "size").distinct().collect()]  # WINDOW - SHORTEST + 1 a family
+    template = F.col("family") != RAW
+    count = items.groupBy(F.col("id").alias("item_id")).agg(
+        F.count_distinct("pos").alias("item_windows"), F.count_distinct(F.when(template, F.col("pos"))).alias("item_templates"))
+    items = items.select(F.col("id").alias("item_id"), F.col("pos").alias("item_pos"), "hash", template.alias("template"),
                          F.col("slots").alias("item_slots")).join(count, "item_id")
     passing = spark.sparkContext.broadcast(bytes(bloom(items)))
     texts = docs.select(F.col("doc_id").alias("id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("row"), "text")
-    rows = hashed_windows(texts, sizes, passing).distinct()
+    rows = hashed_windows(texts, sizes, passing).drop("family").distinct()
     hits = rows.join(items, "hash").filter(F.size("slots") == F.size("item_slots"))
     pairs = F.arrays_zip(F.col("item_slots").alias("i"), F.col("slots").alias("d"))
     same_kinds = F.forall(pairs, lambda x: (x["i"]["at"] == x["d"]["at"]) & (x["i"]["kind"] == x["d"]["kind"]))
     equal = F.forall(pairs, lambda x: x["i"]["value"] == x["d"]["value"])
     mapping = F.transform(pairs, lambda x: F.struct(
         x["i"]["kind"].alias("kind"), x["i"]["value"].alias("item"), x["d"]["value"].alias("doc")))
-    hits = hits.select("id", "row", "item_id", "item_windows", (F.col("pos") - F.col("item_pos")).alias("offset"),
+    hits = hits.select("id", "row", "item_id", "item_windows", "item_templates", "template", (F.col("pos") - F.col("item_pos")).alias("offset"),
                        "item_pos", same_kinds.alias("kinds"), equal.alias("equal"), mapping.alias("mapping")).filter("kinds")
-    key = ["id", "row", "item_id", "item_windows", "offset"]
+    key = ["id", "row", "item_id", "item_windows", "item_templates", "offset"]
     # an alignment has at most the item's windows; its slots are a set of at most the item's words
+    found = lambda which: F.size(F.collect_set(F.when(which, F.col("item_pos")))).cast("long")
     aligned = hits.groupBy(*key).agg(
-        F.size(F.collect_set("item_pos")).cast("long").alias("n_windows"),
-        F.size(F.collect_set(F.when(F.col("equal"), F.col("item_pos")))).cast("long").alias("n_equal"),
+        found(F.lit(True)).alias("n_windows"), found(F.col("equal")).alias("n_equal"),
+        found(F.col("template")).alias("t_windows"), found(F.col("template") & F.col("equal")).alias("t_equal"),
         F.array_distinct(F.flatten(F.collect_set("mapping"))).alias("slots"))
     one_way = lambda side: F.size(F.array_distinct(F.transform("slots", lambda x: F.struct(x["kind"], x[side]))))
     one_to_one = (one_way("item") == F.size("slots")) & (one_way("doc") == F.size("slots"))
-    enough = F.least(F.lit(need), F.col("item_windows"))
-    aligned = aligned.withColumn("kind", F.when(F.col("n_equal") >= enough, "copy").when(
-        (F.col("n_windows") >= enough) & one_to_one, "variant")).filter("kind is not null")
+    enough = lambda n, of: (F.col(of) > 0) & (F.col(n) >= F.least(F.lit(need), F.col(of)))
+    aligned = aligned.withColumn("kind", F.when(
+        enough("n_equal", "item_windows") | enough("t_equal", "item_templates"), "copy").when(
+        enough("t_windows", "item_templates") & one_to_one, "variant")).filter("kind is not null")
     best = aligned.groupBy("id", "row", "item_id", "item_windows").agg(
         F.max(F.struct("n_equal", "n_windows", "kind")).alias("b"))
     return best.select(F.col("id").alias("doc_id"), "row", "item_id", F.col("b.n_windows").alias("n_windows"),

@@ -101,6 +101,15 @@ def test_against_brute_force(documents, spark):
     assert result(spark, documents(rows), items) == brute(rows, items)
 
 
+def test_copies_of_items_of_numbers(documents, spark):
+    sequence, short = "Evaluate 3 7 12 19 28 39 52 67", "12 + 30 - 5 = 37"
+    table = "the table of all values reads " + " ".join(str(i * i) for i in range(30))
+    items = [(1, sequence), (2, short), (3, table), (4, "7 8 9")]
+    rows = [(1, f"some words {sequence} and more"), (2, sequence.replace("19", "20")), (3, f"so {short} holds"), (4, short.replace("37", "38")),
+            (5, " ".join(str(i * i) for i in range(10, 25))), (6, "7 8 9"), (7, " ".join(str(i * i + 1) for i in range(30)))]
+    assert result(spark, documents(rows), items) == {(1, 1, "copy"), (3, 2, "copy"), (5, 3, "copy")}
+
+
 def test_a_passage_in_every_document_and_a_long_text(documents, spark):
     rows = [(i, f"own{i} start {QUESTION} own{i} end") for i in range(300)] + [(999, "filler " * 200_000 + QUESTION)]
     assert {d for d, _, k in result(spark, documents(rows), [(1, QUESTION)]) if k == "copy"} == {r[0] for r in rows}
