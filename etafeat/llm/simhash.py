@@ -29,7 +29,7 @@ from itertools import accumulate
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from etafeat.llm.common import components, materialize, table
@@ -58,14 +58,20 @@ def fingerprint(text: bytes | None, size: int = SHINGLE) -> int:
     return sum(1 << i for i in np.flatnonzero(2 * counts > n).tolist())
 
 
+def row_hashes(docs: DataFrame) -> tuple[Column, Column]:
+    return F.xxhash64(docs["text"]).alias("row"), F.xxhash64(*[docs[c] for c in docs.columns]).alias("rest")
+
+
 def fingerprints(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp): one row per input row, ``fp`` the fingerprint as a signed long."""
+    """(doc_id, row, rest, fp): one row per input row, ``fp`` the fingerprint as a signed long;
+    ``row`` and ``rest`` are hashes of the text and of all columns."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fps = np.array([fingerprint(t.as_py(), size) for t in b.column(1)], np.uint64)
-            yield pa.record_batch([b.column(0), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
+            fps = np.array([fingerprint(t.as_py(), size) for t in b.column(3)], np.uint64)
+            yield pa.record_batch([*b.columns[:3], pa.array(fps.view(np.int64))], ["doc_id", "row", "rest", "fp"])
 
-    return docs.select("doc_id", F.col("text").cast("binary")).mapInArrow(run, "doc_id long, fp long")
+    return docs.select("doc_id", *row_hashes(docs), F.col("text").cast("binary")).mapInArrow(
+        run, "doc_id long, row long, rest long, fp long")
 
 
 def masks(radius: int = RADIUS, bits: int = 64) -> list[int]:
@@ -100,14 +106,21 @@ def links(fps: DataFrame) -> DataFrame:
             .filter("u <> v").select("u", "v").distinct())
 
 
-def near_duplicates(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp, component_id): one row per row of ``docs``."""
-    per_doc = materialize(fingerprints(docs, size), "fingerprints")
-    distinct = materialize(per_doc.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct-fingerprints")
+def first_rows(per_doc: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(fp, root) of each fingerprint's group, and (root, first): the first row of each
+    group by id (rows without one last), text and other columns."""
+    key = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row", "rest")
+    distinct = materialize(per_doc.groupBy("fp").agg(F.min(key).alias("first")), "distinct-fingerprints")
     of = components(links(distinct)).withColumnRenamed("node", "fp")
     groups = distinct.join(of, "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
-    least = groups.groupBy("root").agg(F.min("first").alias("component_id"))
-    groups = materialize(groups.join(least, "root").select("fp", "component_id"), "groups")
+    return groups.select("fp", "root"), groups.groupBy("root").agg(F.min("first").alias("first"))
+
+
+def near_duplicates(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
+    """(doc_id, fp, component_id): one row per row of ``docs``."""
+    per_doc = materialize(fingerprints(docs.select("doc_id", "text"), size), "fingerprints")
+    groups, least = first_rows(per_doc)
+    groups = materialize(groups.join(least, "root").select("fp", F.col("first.doc_id").alias("component_id")), "groups")
     return per_doc.join(groups, "fp").select("doc_id", "fp", "component_id")
 
 
@@ -119,9 +132,11 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def keep_one_per_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: one document of each near-duplicate group, the one with the smallest id.
 
-    Of rows that share that id one stays. Rows without an id cannot be told
-    apart from the group's others and stay.
+    Of rows that share that id the one with the smallest hash of its text (then of
+    all columns) stays, once. A group without any id keeps one row in the same way.
     """
-    kept = near_duplicates(docs).filter("doc_id = component_id").select("doc_id").distinct()
-    named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.filter("doc_id is null"))
+    _, least = first_rows(materialize(fingerprints(docs), "fingerprints"))
+    kept = least.select(*[F.col(f"first.{c}").alias(f"kept_{c}") for c in ("doc_id", "row", "rest")])
+    row, rest = row_hashes(docs)
+    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_doc_id"]) & (row == kept["kept_row"])
+                     & (rest == kept["kept_rest"]), "left_semi").distinct()

@@ -92,3 +92,17 @@ def test_stage_keeps_one_of_a_group(documents, spark):
     assert op.near_duplicates(documents([])).collect() == []
     rows = {r.doc_id: r.component_id for r in op.near_duplicates(documents([(None, "lone row"), (3, None), (4, "")])).collect()}
     assert rows == {None: None, 3: 3, 4: 3}
+
+
+def test_stage_keeps_by_group_and_not_by_id(documents, spark):
+    """Texts of their own that share an id stay all; copies without an id leave one; the rest does not depend on the order."""
+    own = [(7, " ".join(f"word{i}of{j}" for j in range(60))) for i in range(50)]
+    copies = [(None, "a text without any id that comes again and again")] * 40
+    near = [(9, "both rows of this group have one text"), (7, "both rows of this group have one text")]
+    rows = own + copies + near + [(3, "same id and text", "b"), (3, "same id and text", "a")]
+    got = sorted(map(str, op.keep_one_per_group(spark, documents(rows), "").collect()))
+    back = sorted(map(str, op.keep_one_per_group(spark, documents(rows[::-1]).repartition(3), "").collect()))
+    assert got == back
+    texts = [r[1] for r in rows]
+    assert len(got) == len(set(texts)) and all(sum(t in g for g in got) == 1 for t in set(texts))
+    assert sum("doc_id=7," in g for g in got) == 51
