@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from etafeat.llm import chat_format, decontamination, embedding_dedup, html_text, language_model, line_dedup, quality, simhash, source_mixing, url_filter
+from etafeat.llm import (
+    chat_format, decontamination, embedding_dedup, fill_middle, html_text, language_model, line_dedup, packing, quality,
+    simhash, source_mixing, url_filter)
 
 QUERIES = {
     "op1_embedding_near_dedup": embedding_dedup.op1_embedding_near_dedup,
@@ -15,10 +17,13 @@ QUERIES = {
     "op8_line_dedup": line_dedup.op8_line_dedup,
     "op9_html_extraction": html_text.op9_html_extraction,
     "op10_chat_formatting": chat_format.op10_chat_formatting,
+    "op11_best_fit_packing": packing.op11_best_fit_packing,
+    "op12_fill_in_middle": fill_middle.op12_fill_in_middle,
 }
 SQL = {
     "op1_embedding_near_dedup": embedding_dedup.SQL,
     "op2_url_filter": url_filter.SQL,
     "op7_source_mixing": source_mixing.SQL,
     "op8_line_dedup": line_dedup.SQL,
+    "op12_fill_in_middle": fill_middle.SQL,
 }
