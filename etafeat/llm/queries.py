@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from etafeat.llm import (
-    chat_format, decontamination, embedding_dedup, fill_middle, html_text, language_model, line_dedup, packing, quality,
-    simhash, source_mixing, url_filter)
+    chat_format, decontamination, embedding_dedup, fill_middle, html_text, language_model, line_dedup, packing, phrases,
+    quality, simhash, source_mixing, url_filter)
 
 QUERIES = {
     "op1_embedding_near_dedup": embedding_dedup.op1_embedding_near_dedup,
@@ -19,6 +19,7 @@ QUERIES = {
     "op10_chat_formatting": chat_format.op10_chat_formatting,
     "op11_best_fit_packing": packing.op11_best_fit_packing,
     "op12_fill_in_middle": fill_middle.op12_fill_in_middle,
+    "op13_phrase_mining": phrases.op13_phrase_mining,
 }
 SQL = {
     "op1_embedding_near_dedup": embedding_dedup.SQL,
@@ -26,4 +27,5 @@ SQL = {
     "op7_source_mixing": source_mixing.SQL,
     "op8_line_dedup": line_dedup.SQL,
     "op12_fill_in_middle": fill_middle.SQL,
+    "op13_phrase_mining": phrases.SQL,
 }
