@@ -1,21 +1,22 @@
 """Phrase collocation mining (operator 13), by the set-oriented relational method SETM.
 
-Occurrence relations R1, R2, R3 hold (bucket, row, at, id): which frequent word
-or phrase starts where. They are written as tables that are bucketed by
-``bucket`` and sorted by (row, at); a bucket is a share of the documents, about
-``BUCKET_BYTES`` of text. Positions skip a number between pieces, so (row, at +
-1) is the next word of the same piece or nothing. For every length:
-
-1. merge-join the relation with itself at adjacent positions (no exchange: both
-   sides are bucketed and sorted alike);
-2. count the groups, first inside the buckets, then over all of them;
+Documents are dealt into buckets of about ``BUCKET_BYTES`` of text. Occurrence
+relations R1, R2, R3 say which frequent word or phrase starts where; they are
+written as tables, bucketed by ``bucket``, a row holding a document's sorted
+positions and ids. Positions skip a number between pieces, so the next position
+is the next word of the same piece or nothing. For every length:
+
+1. merge-join the relation with itself at adjacent positions, inside the bucket;
+2. count the groups, first in the bucket, then over all buckets (a group is one
+   row a bucket there, however often it occurs);
 3. groups of at least ``min_count`` are frequent; each gets a number;
 4. semi-join: the frequent groups that a bucket holds go back to the bucket and
-   filter its rows there, before the next length is joined.
+   filter its occurrences there, before the next length is joined.
 
 Only (bucket, group, count) rows are exchanged, never occurrences: a word that
 is a third of all text is one row a bucket. A phrase of k words is joined from
-its first and last k - 1 words, both of which must be frequent.
+its first and last k - 1 words, both of which must be frequent. The bucket is
+what a task holds: its words as Arrow arrays, positions and ids as numpy arrays. The bucketed tables are joined without an exchange.
 
 A phrase's parts are frequent when it is, so the counts of all cuts are in the
 tables of the shorter lengths; and what a phrase lies in is bounded by the
@@ -33,10 +34,13 @@ from __future__ import annotations
 
 import uuid
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from etafeat.llm.common import lower_ascii, materialize, shared_dir, table
+from etafeat.llm.common import materialize, shared_dir, table
 
 MIN_COUNT = 30
 LONGEST = 4
@@ -44,40 +48,138 @@ TOP = 2000
 INSIDE = (100, 80)  # a candidate goes if 100 * f(longer) >= 80 * a
 BUCKET_BYTES = 32 << 20
 
-_BREAK = "."  # breaks pieces, so no word is equal to it
-_SEPARATORS = ",;:!?\n\x0b\x0c\r"
+_BREAK = "."
+_SEPARATORS = "[.,;:!?\n-\r]"
+
+
+def _tokens(texts: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """(document of each token, its code, words by code): the words and breaks of ``texts`` in their order.
+
+    A break has the code -1, so that codes either side of it are not adjacent.
+    """
+    lower = pc.ascii_lower(pa.array(texts.combine_chunks(), pa.large_string()))
+    found = pc.ascii_split_whitespace(pc.replace_substring_regex(lower, _SEPARATORS, f" {_BREAK} "))
+    coded = found.flatten().dictionary_encode()
+    words, codes = coded.dictionary, coded.indices.to_numpy(zero_copy_only=False)
+    for no_word in (_BREAK, ""):  # a text that starts or ends with white space has an empty token there
+        code = words.index(no_word).as_py()
+        if code >= 0:
+            codes = np.where(codes == code, -1, codes)
+    return np.repeat(np.arange(len(texts)), found.value_lengths().to_numpy()), codes, words
+
+
+def _adjacent(rows: pa.Table) -> tuple[np.ndarray, ...]:
+    """Merge-join of a relation with itself: (document, position, x, y) of each pair at adjacent positions."""
+    at = _flat(rows, "at")
+    ids = _flat(rows, "ids")
+    doc = np.repeat(np.arange(rows.num_rows), rows.column("at").combine_chunks().value_lengths().to_numpy())
+    pair = np.flatnonzero((at[1:] == at[:-1] + 1) & (doc[1:] == doc[:-1]))
+    return doc[pair], at[pair], ids[pair], ids[pair + 1]
+
+
+def _flat(rows: pa.Table, name: str) -> np.ndarray:
+    return rows.column(name).combine_chunks().flatten().to_numpy(zero_copy_only=False)
+
+
+def _code(known: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """One number for each (x, y), whose members are all in the sorted ``known``."""
+    return np.searchsorted(known, x) * np.int64(len(known)) + np.searchsorted(known, y)
+
+
+def _counts(bucket: int, codes: np.ndarray, columns) -> pa.Table:
+    """Rows (bucket, group, c) of the distinct ``codes``; ``columns`` turns codes into the group's columns."""
+    groups, c = np.unique(codes, return_counts=True)
+    named = columns(groups)
+    return pa.table({"bucket": np.full(len(groups), bucket, "int64"), **named, "c": c.astype("int64")})
+
+
+def _relation(bucket: int, doc: np.ndarray, at: np.ndarray, ids: np.ndarray) -> pa.Table:
+    """One row for each document with occurrences: its positions and ids."""
+    edges = np.append(np.flatnonzero(np.diff(doc, prepend=-1)), len(doc)).astype("int32")
+    if len(edges) == 1:
+        edges = np.zeros(1, "int32")
+    lists = [pa.ListArray.from_arrays(pa.array(edges), pa.array(v)) for v in (at.astype("int32"), ids.astype("int64"))]
+    return pa.table({"bucket": np.full(len(edges) - 1, bucket, "int64"), "at": lists[0], "ids": lists[1]})
+
+
+def _count_words(rows: pa.Table) -> pa.Table:
+    doc, codes, words = _tokens(rows.column("text"))
+    langs = rows.column("lang").combine_chunks().dictionary_encode()
+    lang = langs.indices.to_numpy(zero_copy_only=False)[doc].astype("int64")
+    real = codes >= 0
+
+    def columns(groups: np.ndarray) -> dict:
+        return {"lang": langs.dictionary.take(pa.array(groups // len(words))),
+                "word": words.take(pa.array(groups % len(words))).cast(pa.string())}
+
+    return _counts(rows.column("bucket")[0].as_py(), lang[real] * len(words) + codes[real], columns)
+
+
+def _count_pairs(rows: pa.Table) -> pa.Table:
+    _, _, x, y = _adjacent(rows)
+    known = np.unique(np.concatenate([x, y]))
+
+    def columns(groups: np.ndarray) -> dict:
+        return {"x": known[groups // max(len(known), 1)], "y": known[groups % max(len(known), 1)]}
+
+    return _counts(rows.column("bucket")[0].as_py(), _code(known, x, y), columns)
+
+
+def _keep_words(rows: pa.Table, frequent: pa.Table) -> pa.Table:
+    """R1 of a bucket: the words of its texts that are in its frequent words."""
+    if not rows.num_rows or not frequent.num_rows:
+        return _relation(0, *[np.zeros(0, "int64")] * 3)
+    doc, codes, words = _tokens(rows.column("text"))
+    number = np.full(len(words) + 1, -1, "int64")  # by code of a word in the language at hand; the last is a break
+    langs = rows.column("lang").combine_chunks().dictionary_encode()
+    lang = langs.indices.to_numpy(zero_copy_only=False)[doc]
+    ids = np.full(len(codes), -1, "int64")
+    for i, name in enumerate(langs.dictionary.to_pylist()):
+        of = frequent.filter(pc.equal(frequent.column("lang"), name))
+        code = pc.index_in(of.column("word").cast(pa.large_string()), words).to_numpy()
+        number[:] = -1
+        number[code] = of.column("id").to_numpy()
+        here = lang == i
+        ids[here] = number[codes[here]]
+    start = np.flatnonzero(np.diff(doc, prepend=-1))
+    at = np.arange(len(doc)) - np.repeat(start, np.diff(np.append(start, len(doc))))
+    kept = ids >= 0
+    return _relation(rows.column("bucket")[0].as_py(), doc[kept], at[kept], ids[kept])
 
 
-def _words(df: DataFrame) -> DataFrame:
-    """``df`` with a row for each word: (..., at, word); a piece's break takes a position of its own."""
-    plain = F.translate(lower_ascii(F.col("text")), _SEPARATORS + "\t", _BREAK * len(_SEPARATORS) + " ")
-    words = F.split(F.replace(plain, F.lit(_BREAK), F.lit(f" {_BREAK} ")), " +")
-    keep = [c for c in df.columns if c != "text"]
-    return df.select(*keep, F.posexplode(words).alias("at", "word")).filter(~F.col("word").isin("", _BREAK))
+def _keep_pairs(rows: pa.Table, frequent: pa.Table) -> pa.Table:
+    """The next relation of a bucket: its adjacent pairs that are in its frequent pairs."""
+    if not rows.num_rows or not frequent.num_rows:
+        return _relation(0, *[np.zeros(0, "int64")] * 3)
+    doc, at, x, y = _adjacent(rows)
+    known = np.unique(np.concatenate([x, y]))
+    wanted = _code(known, frequent.column("x").to_numpy(), frequent.column("y").to_numpy())
+    order = np.argsort(wanted)
+    codes = _code(known, x, y)
+    place = np.minimum(np.searchsorted(wanted[order], codes), len(order) - 1)
+    kept = wanted[order][place] == codes
+    ids = frequent.column("id").to_numpy()[order][place[kept]]
+    return _relation(rows.column("bucket")[0].as_py(), doc[kept], at[kept], ids)
 
 
 class _Relations:
     """Bucketed tables in a database of their own, in the shared folder; gone after use."""
 
     def __init__(self, spark: SparkSession, buckets: int):
-        self.buckets = buckets
+        self.spark, self.buckets = spark, buckets
         self.name = f"llm_phrases_{uuid.uuid4().hex}"
-        # joins on more columns than the bucket must not shuffle what is bucketed: a setting of this session only
-        self.session = spark.newSession()
-        self.session.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
-        self.session.sql(f"CREATE DATABASE {self.name} LOCATION '{shared_dir(spark)}/{self.name}'")
+        spark.sql(f"CREATE DATABASE {self.name} LOCATION '{shared_dir(spark)}/{self.name}'")
 
-    def write(self, df: DataFrame, name: str, *order: str) -> DataFrame:
-        to = df.write.bucketBy(self.buckets, "bucket")
-        (to.sortBy(*order) if order else to).saveAsTable(f"{self.name}.{name}")
-        return self.session.table(f"{self.name}.{name}")
+    def write(self, df: DataFrame, name: str) -> DataFrame:
+        df.write.bucketBy(self.buckets, "bucket").saveAsTable(f"{self.name}.{name}")
+        return self.spark.table(f"{self.name}.{name}")
 
     def drop(self, *names: str) -> None:
         for name in names:
-            self.session.sql(f"DROP TABLE {self.name}.{name}")
+            self.spark.sql(f"DROP TABLE {self.name}.{name}")
 
     def close(self) -> None:
-        self.session.sql(f"DROP DATABASE {self.name} CASCADE")
+        self.spark.sql(f"DROP DATABASE {self.name} CASCADE")
 
 
 def _bucket_numbers(spark: SparkSession, buckets: int) -> DataFrame:
@@ -99,29 +201,31 @@ def frequent_phrases(docs: DataFrame, min_count: int = MIN_COUNT, longest: int =
     store = _Relations(spark, buckets)
     try:
         slot = F.pmod(F.xxhash64("text", F.spark_partition_id()), F.lit(buckets)).cast("int")
-        dealt = (texts.withColumn("slot", slot).join(_bucket_numbers(spark, buckets), "slot").drop("slot")
-                 .repartition(buckets, "bucket").withColumn("row", F.monotonically_increasing_id()))
-        here = _words(store.write(dealt, "texts"))
+        here = store.write(texts.withColumn("slot", slot).join(_bucket_numbers(spark, buckets), "slot").drop("slot")
+                           .repartition(buckets, "bucket"), "texts")
         levels = []
         for length in range(1, longest + 1):
-            group = ["lang", "word"] if length == 1 else ["x", "y"]
-            local = materialize(here.groupBy("bucket", *group).agg(F.count(F.lit(1)).alias("c")), "local-counts")
-            if length == 1:
+            words = length == 1
+            group = ["lang", "word"] if words else ["x", "y"]
+            local = here.groupBy("bucket").applyInArrow(
+                _count_words if words else _count_pairs,
+                "bucket long, " + ("lang string, word string" if words else "x long, y long") + ", c long")
+            local = materialize(local.withColumn("local", F.monotonically_increasing_id()), "local-counts")
+            if words:
                 totals = materialize(local.groupBy("lang").agg(F.sum("c").alias("n")), "word-totals")
-            found = local.groupBy(*group).agg(F.sum("c").alias("f")).filter(F.col("f") >= min_count)
-            found = materialize(found.withColumn("id", F.monotonically_increasing_id()), "frequent")
-            levels.append(found)
+            # a group has one row a bucket: their sum is its count, the smallest row number its own number
+            same = Window.partitionBy(*group)
+            known = (local.withColumns({"f": F.sum("c").over(same), "id": F.min("local").over(same)})
+                     .filter(F.col("f") >= min_count).repartition(buckets, "bucket"))
+            known = store.write(known.select("bucket", *group, "id", "f", (F.col("id") == F.col("local")).alias("first")),
+                                f"known{length}")
+            levels.append(materialize(known.filter("first").select("id", *group, "f"), "frequent"))
             if length == longest:
                 break
-            known = local.join(found, group).select("bucket", *group, "id").repartition(buckets, "bucket")
-            known = store.write(known, f"known{length}")
-            rows = (here.join(known.hint("shuffle_hash"), ["bucket", *group]).select("bucket", "row", "at", "id"))
-            relation = store.write(rows, f"r{length}", "row", "at")
-            store.drop(f"known{length}", *(["texts"] if length == 1 else [f"r{length - 1}"]))
-            a, b = relation.alias("a").hint("merge"), relation.alias("b").hint("merge")
-            here = (a.join(b, (F.col("a.bucket") == F.col("b.bucket")) & (F.col("a.row") == F.col("b.row"))
-                           & (F.col("a.at") + 1 == F.col("b.at")))
-                    .select("a.bucket", "a.row", "a.at", F.col("a.id").alias("x"), F.col("b.id").alias("y")))
+            rows = here.groupBy("bucket").cogroup(known.select("bucket", *group, "id").groupBy("bucket")).applyInArrow(
+                _keep_words if words else _keep_pairs, "bucket long, at array<int>, ids array<long>")
+            here = store.write(rows, f"r{length}")
+            store.drop(f"known{length}", "texts" if words else f"r{length - 1}")
     finally:
         store.close()
     return totals, levels
