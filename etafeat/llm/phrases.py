@@ -46,7 +46,7 @@ MIN_COUNT = 30
 LONGEST = 4
 TOP = 2000
 INSIDE = (100, 80)  # a candidate goes if 100 * f(longer) >= 80 * a
-BUCKET_BYTES = 32 << 20
+BUCKET_BYTES = 8 << 20
 
 _BREAK = "."
 _SEPARATORS = "[.,;:!?\n-\r]"
