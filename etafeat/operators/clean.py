@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from etafeat import config
 from etafeat.functions.columns import (composite_key, canonical, clip, display_tokens, hash_mod, positive_or_null,
                                        price_band, round_half_even, to_double, token_array, unit_hash)
+from etafeat.operators.ordered import group_median
 from etafeat.operators.quality import duplicate_keys, normalize_columns, require_columns
 
 S = config.DEFAULT
@@ -67,15 +68,6 @@ def delivery_fee(key: Column | str, seed: int = S.seed, lo: float = 20.0, hi: fl
     return round_half_even(clip(base + noise, S.fee_min, S.fee_max), 2)
 
 
-def group_median(df: DataFrame, group: str, value: str, name: str = "__median", digits: int = 6) -> DataFrame:
-    """Exact median per group (linear interpolation), rounded to ``digits``.
-
-    ``median`` keeps a value -> count map per group that is merged map-side, so
-    memory follows the number of distinct values in a group, not its rows.
-    """
-    return df.groupBy(group).agg(round_half_even(F.median(value), digits).alias(name))
-
-
 def dedupe_first(df: DataFrame, key: str | Sequence[str], order: Sequence[str]) -> DataFrame:
     """One row per key: the smallest by ``order`` (then all columns), a deterministic keep-first.
 

@@ -167,11 +167,11 @@ def interaction_features(df: DataFrame, high_value: float = S.high_value) -> Dat
 
 def lag_features(df: DataFrame, ts: str, target: str, sc: Scales) -> DataFrame:  # noqa: D401
     """Restaurant orders in the last hour; route mean target (3h) and traffic (2h); empty -> 0."""
-    out = trailing_windows(df, "restaurant_id", ts, [Trailing("rest_orders_last_1h", "1h")], bucket="1d")
+    out = trailing_windows(df, "restaurant_id", ts, [Trailing("rest_orders_last_1h", "1h")])
     return trailing_windows(out, "route_key", ts, [
         Trailing("route_avg_delivery_last_3h", "3h", "mean", target, 0.0, sc.target),
         Trailing("traffic_ma_2h", "2h", "mean", "traffic_level", 0.0, sc.traffic),
-    ], bucket="1d", history=df)
+    ])
 
 
 # ----------------------------------------------------------------- validation
@@ -303,7 +303,7 @@ def feature_matrix(orders: DataFrame, restaurants: DataFrame, users: DataFrame,
     df = route_parts(df)
     df = entity_profile(df, "route_key", route_profile_aggs(target, order_id, scales), source=orders)
     df = interaction_features(df)
-    # Time-ordered features need their own shuffles (by key and time bucket);
+    # Time-ordered features need their own shuffles (ranges of key and time);
     # they run on a 7-column projection of the fact and come back in one join,
     # instead of shuffling the wide enriched row four times.
     narrow = orders.select(order_id, "restaurant_id", "user_id", "route_key", ts, target, "traffic_level")

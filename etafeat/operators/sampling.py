@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from etafeat import config
-from etafeat.functions.columns import round_half_even, title_case, token_array, unit_hash
+from etafeat.functions.columns import title_case, token_array, unit_hash
+from etafeat.operators.ordered import group_median
 
 _BUCKETS = 1024
 
@@ -38,7 +39,7 @@ def location_weights(restaurants: DataFrame, city: str = "city", area: str = "ar
 def area_profile(restaurants: DataFrame, city: str = "city", area: str = "area",
                  price: str = "avg_menu_price", cuisines: str = "cuisines_str") -> DataFrame:
     """Per (city, area): exact median price and the sorted set of local cuisines."""
-    med = restaurants.groupBy(city, area).agg(round_half_even(F.median(price), 6).alias("median_price"))
+    med = group_median(restaurants, [city, area], price, "median_price")
     toks = (restaurants.select(city, area, F.explode(token_array(cuisines)).alias("cuisine"))
             .distinct()
             .groupBy(city, area).agg(F.array_sort(F.collect_list("cuisine")).alias("cuisines")))

@@ -4,16 +4,14 @@ Scale notes
 -----------
 A plain ``OVER (PARTITION BY key ORDER BY ts)`` sends every row of a key to one
 task, and a sliding frame is summed again for each row. The ordered operators
-here partition by ``(key, time bucket)`` and only use running sums:
+here use running sums over range partitions (``ordered.running_sums``):
 
 * trailing sums, counts and means turn each row into ``+v`` after ``t`` and
-  ``-v`` after ``t + length``; the value at ``t`` is the running sum of both, a
-  prefix over earlier buckets (from a small per-bucket aggregate) plus a running
-  sum inside the bucket. Linear in the rows, and a bucket may be shorter than
-  the window, so a hot key is dealt as finely as wanted;
+  ``-v`` after ``t + length``; the value at ``t`` is the running sum of both.
+  Linear in the rows; a key that holds all rows spans all partitions;
 * target encoding is the same without the expiry;
-* trailing minima and maxima keep a sliding frame, with the last ``length`` of
-  each bucket copied into the next.
+* trailing minima and maxima keep a sliding frame inside (key, time bucket),
+  with the last ``length`` of each bucket copied into the next.
 
 All give exactly the answer of the single-partition window.
 """
@@ -28,6 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from etafeat.functions.columns import epoch_micros, floor_hour
+from etafeat.operators.ordered import running_sums
 
 _HOUR_US = 3_600_000_000
 
@@ -110,30 +109,26 @@ class Trailing:
 
 
 def trailing_windows(df: DataFrame, key: str | Sequence[str], ts: str,
-                     specs: Sequence[Trailing], bucket: timedelta | str | int | None = None,
-                     history: DataFrame | None = None) -> DataFrame:
+                     specs: Sequence[Trailing], bucket: timedelta | str | int | None = None) -> DataFrame:
     """Add trailing time-window features over ``[t - length, t)`` per key.
 
     The start is included; every row at exactly ``t`` (the row itself and its
     ties) is excluded, like pandas ``rolling(length, closed="left")``. A row
-    without a time has an empty history and is in nobody's. ``history`` is the
-    frame that totals come from (default ``df``): pass the base fact when ``df``
-    is an enriched copy of it, so the enriched plan is referenced once.
+    without a time has an empty history and is in nobody's. ``bucket`` only
+    concerns minima and maxima.
     """
     sums = [s for s in specs if s.agg in ("count", "sum", "mean")]
     frames = [s for s in specs if s.agg in ("min", "max")]
     if len(sums) + len(frames) != len(specs):
         raise ValueError(f"unknown aggregate in {[s.agg for s in specs]}")
     if sums:
-        df = _running_windows(df, _keys(key), ts, sums, bucket, df if history is None else history)
+        df = _running_windows(df, _keys(key), ts, sums)
     return _sliding_windows(df, _keys(key), ts, frames, bucket) if frames else df
 
 
-def _running_windows(df: DataFrame, keys: list[str], ts: str, specs: Sequence[Trailing], bucket,
-                     history: DataFrame) -> DataFrame:
+def _running_windows(df: DataFrame, keys: list[str], ts: str, specs: Sequence[Trailing]) -> DataFrame:
     """Trailing counts, sums and means as running sums of arrivals and expiries."""
     lengths = sorted({_micros(s.length) for s in specs})
-    b_us = _micros(bucket) if bucket is not None else lengths[-1]
     measures: dict[tuple, tuple[str, Column, int]] = {}  # (value, scale, length) -> name, contribution, length
     names: dict[str, list[str]] = {}
     for s in specs:
@@ -158,27 +153,12 @@ def _running_windows(df: DataFrame, keys: list[str], ts: str, specs: Sequence[Tr
     keep = set(keys)
     moved = {m: F.when(own & F.col("__t0").isNotNull(), F.col(m)).when(F.col("__step") == n, -F.col(m)).alias(m)
              for m, _, n in measures.values()}
-    t = F.col("__t0") + F.col("__step")
-
-    def moves(frame: DataFrame) -> DataFrame:
-        x = frame.withColumn("__t0", epoch_micros(ts)).withColumns({m: c for m, c, _ in measures.values()})
-        x = x.withColumn("__step", F.explode(F.when(F.col("__t0").isNull(), F.slice(steps, 1, 1)).otherwise(steps)))
-        return x.select(*[F.col(c) if c in keep else F.when(own, F.col(c)).alias(c) for c in frame.columns], own.alias("__own"),
-                        t.alias("__t"), F.floor(t / F.lit(b_us)).alias("__b"), *moved.values())
-
-    # earlier buckets of the key: a small aggregate, summed up bucket by bucket
-    per = moves(history).filter(F.col("__b").isNotNull()).groupBy(*keys, "__b").agg(*[F.sum(m).alias(m) for m in moved])
-    earlier = Window.partitionBy(*keys).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    prefix = per.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], F.col("__b").alias("__pb"),
-                        *[F.sum(m).over(earlier).alias(f"__p{m}") for m in moved])
-    inside = Window.partitionBy(*keys, "__b").orderBy("__t").rangeBetween(Window.unboundedPreceding, -1)
-    local = moves(df).withColumns({m: F.sum(m).over(inside) for m in moved}).filter("__own")
-    same = F.col("__b") == F.col("__pb")
-    for i, k in enumerate(keys):
-        same = same & F.col(k).eqNullSafe(F.col(f"__k{i}"))
-    got = local.join(prefix, same, "left")
-    total = {m: F.when(F.col("__t").isNotNull(), F.coalesce(F.col(m), F.lit(0)) + F.coalesce(F.col(f"__p{m}"), F.lit(0)))
-             for m in moved}
+    x = df.withColumn("__t0", epoch_micros(ts)).withColumns({m: c for m, c, _ in measures.values()})
+    x = x.withColumn("__step", F.explode(F.when(F.col("__t0").isNull(), F.slice(steps, 1, 1)).otherwise(steps)))
+    x = x.select(*[F.col(c) if c in keep else F.when(own, F.col(c)).alias(c) for c in df.columns], own.alias("__own"),
+                 (F.col("__t0") + F.col("__step")).alias("__t"), *moved.values())
+    got = running_sums(x, keys, ["__t"], {m: F.col(m) for m in moved}).filter("__own")
+    total = {m: F.when(F.col("__t").isNotNull(), F.coalesce(F.col(m), F.lit(0))) for m in moved}
     cols = []
     for s in specs:
         scale = OPEN_SCALE if s.scale is None else s.scale
@@ -220,59 +200,34 @@ def _sliding_windows(df: DataFrame, keys: list[str], ts: str, specs: Sequence[Tr
 
 def target_encode(df: DataFrame, key: str | Sequence[str], target: str, ts: str,
                   order_id: str, out: str, ties: str = "rows", prior: float | str = "global",
-                  scale: int | None = None, bucket: timedelta | str | int = "1d",
+                  scale: int | None = None, bucket: timedelta | str | int | None = None,
                   history: DataFrame | None = None) -> DataFrame:
     """Leakage-aware target encoding: mean target of the same key's earlier rows.
 
     ``ties="rows"``: earlier in ``(ts, order_id)`` order (a unique order).
     ``ties="strict"``: only strictly earlier timestamps (no same-time leakage).
     Empty history gets ``prior``: ``"global"`` (mean target of all rows) or a number.
-    ``history`` is the frame the per-bucket totals come from (default ``df``);
-    pass the base fact when ``df`` is an enriched copy of it, so the enriched
-    plan is referenced once.
+    ``bucket`` is of no effect any more. ``history`` is the frame the global prior comes from (default ``df``): pass
+    the base fact when ``df`` is an enriched copy of it.
     """
-    keys = _keys(key)
-    b_us = _micros(bucket)
-    t = epoch_micros(ts)
-    base = df.withColumn("__t", t).withColumn("__b", F.floor(F.col("__t") / F.lit(b_us)))
-    v = F.col(target)
-    vsum = lambda c: scaled(c, scale)
-
-    # Level 1: totals per (key, bucket) -> prefix of all earlier buckets.
-    hist = (history if history is not None else df).select(*keys, ts, target)
-    hist = hist.withColumn("__b", F.floor(epoch_micros(ts) / F.lit(b_us)))
-    per_bucket = hist.groupBy(*keys, "__b").agg(F.sum(vsum(v)).alias("__bs"), F.count(v).alias("__bc"))
-    wb = Window.partitionBy(*keys).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    prefix = per_bucket.select(*keys, "__b",
-                               F.coalesce(F.sum("__bs").over(wb), F.lit(0).cast(per_bucket.schema["__bs"].dataType)).alias("__ps"),
-                               F.coalesce(F.sum("__bc").over(wb), F.lit(0)).alias("__pc"))
-
-    # Level 2: running sum inside the bucket.
-    if ties == "rows":
-        wi = (Window.partitionBy(*keys, "__b").orderBy("__t", order_id)
-              .rowsBetween(Window.unboundedPreceding, -1))
-    elif ties == "strict":
-        wi = (Window.partitionBy(*keys, "__b").orderBy("__t")
-              .rangeBetween(Window.unboundedPreceding, -1))
-    else:
+    if ties not in ("rows", "strict"):
         raise ValueError("ties must be 'rows' or 'strict'")
-    local = base.withColumns({"__ls": F.sum(vsum(v)).over(wi), "__lc": F.count(v).over(wi)})
-
-    joined = local.join(prefix, [*keys, "__b"], "left")
-    total_s = F.coalesce(F.col("__ls"), F.lit(0)) + F.coalesce(F.col("__ps"), F.lit(0))
-    total_c = F.coalesce(F.col("__lc"), F.lit(0)) + F.coalesce(F.col("__pc"), F.lit(0))
-    mean = F.when(total_c > 0, unscaled(total_s, scale) / total_c)
-
+    timed = F.col("__t").isNotNull()  # a row without a time is in nobody's history, and has none
+    order = ["__t"] if ties == "strict" else ["__t", order_id]
+    v = scaled(target, scale)
+    got = running_sums(df.withColumn("__t", epoch_micros(ts)), _keys(key), order,
+                       {"__s": F.when(timed, v), "__c": F.when(timed, F.col(target).isNotNull().cast("bigint"))},
+                       peers=ties == "strict")
+    mean = F.when((F.col("__c") > 0) & timed, unscaled(F.col("__s"), scale) / F.col("__c"))
     if prior == "global":
-        whole = F.sum("__bs") if scale is None else F.sum(F.col("__bs").cast(
+        rows = df if history is None else history
+        whole = F.sum(v if scale is None else v.cast(
             f"decimal(38,{0 if scale <= LONG_SCALE_MAX else scale})"))  # no 64-bit sum over all rows
-        g = per_bucket.agg((unscaled(whole, scale) / F.sum("__bc")).alias("__prior"))
-        joined = joined.crossJoin(F.broadcast(g))
+        got = got.crossJoin(F.broadcast(rows.agg((unscaled(whole, scale) / F.count(target)).alias("__prior"))))  # one row
         fill = F.col("__prior")
     else:
         fill = F.lit(float(prior))
-    res = joined.withColumn(out, F.coalesce(mean, fill))
-    return res.drop("__t", "__b", "__ls", "__lc", "__ps", "__pc", "__prior")
+    return got.withColumn(out, F.coalesce(mean, fill)).drop("__t", "__s", "__c", "__prior")
 
 
 def cap_per_hour(df: DataFrame, entity: str | Sequence[str], ts: str, order: Sequence[str | Column],

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from etafeat import config
 from etafeat.functions.columns import clip, positive_or_null, price_band, round_half_even, unit_hash
 from etafeat.operators.demand import delivery_time, order_status, price_basket
+from etafeat.operators.ordered import group_median
 from etafeat.operators.routes import base_eta, expected_traffic, expected_weather, route_geometry
 from etafeat.session import table
 
@@ -41,11 +42,10 @@ def price_repair(df: DataFrame, price: str, group: str, out: str = "avg_menu_pri
                  lo: float = PRICE_MIN, hi: float = PRICE_MAX) -> DataFrame:
     """Non-positive -> NULL; NULL -> group median; cap to [lo, hi].
 
-    The median is a grouped aggregate joined back (an exact percentile keeps a
-    value -> count map per group, merged map-side), never a window over a group.
+    The medians come from running sums over (group, value) counts; no task holds a group.
     """
     cleaned = df.withColumn(out, positive_or_null(price))
-    med = cleaned.groupBy(group).agg(round_half_even(F.median(out), 6).alias("__median"))
+    med = group_median(cleaned, group, out)
     return (cleaned.join(med, group, "left")
                    .withColumn(out, clip(F.coalesce(F.col(out), F.col("__median")), lo, hi))
                    .drop("__median"))

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from etafeat.functions.columns import round_half_even
+from etafeat.operators.ordered import dense_ids, group_quantile
 from etafeat.operators.windows import Trailing, target_encode, trailing_windows
+from etafeat.plans import bindings as b
 from etafeat.plans.registry import query
 from etafeat.session import table
 
@@ -130,3 +133,28 @@ def lag_features_orders(spark, sf):
     ])
     return out.drop("o_totalprice")
 
+
+
+@query("dense_ids", """
+SELECT l_orderkey, l_linenumber, n, CASE WHEN n < 100000 THEN 'O' || lpad(CAST(n AS VARCHAR), 5, '0')
+                                         ELSE 'O' || CAST(n AS VARCHAR) END AS line_id
+FROM (SELECT l_orderkey, l_linenumber, ROW_NUMBER() OVER (ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey, l_suppkey,
+                                                          l_quantity, l_extendedprice) AS n FROM lineitem)
+""", "F8, F11, C10: gapless padded numbers of all lines in time order, without a window over the table")
+def dense_line_ids(spark, sf):
+    order = ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
+    li = table(spark, sf, "lineitem").select(*order)
+    return dense_ids(li, order, "n", 1).select("l_orderkey", "l_linenumber", "n", F.format_string("O%05d", "n").alias("line_id"))
+
+
+@query("price_quartiles", f"""
+SELECT l_returnflag, {b.sql_round('quantile_cont(l_extendedprice, 0.25)', 6)} AS q1, {b.sql_round('median(l_extendedprice)', 6)} AS q2,
+       {b.sql_round('quantile_cont(l_extendedprice, 0.75)', 6)} AS q3 FROM lineitem GROUP BY l_returnflag
+""", "A6, A7: exact quartiles of three hot groups by running counts")
+def price_quartiles(spark, sf):
+    li = table(spark, sf, "lineitem").select("l_returnflag", "l_extendedprice")
+    out = None
+    for name, q in (("q1", 0.25), ("q2", 0.5), ("q3", 0.75)):
+        one = group_quantile(li, ["l_returnflag"], "l_extendedprice", q, name).withColumn(name, round_half_even(name, 6))
+        out = one if out is None else out.join(one, "l_returnflag")
+    return out
