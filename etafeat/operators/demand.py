@@ -94,6 +94,34 @@ def cuisine_matches(restaurants: DataFrame, favs: DataFrame) -> DataFrame:
     return pieces.join(hits, "piece").select("restaurant_id", "fav").distinct()
 
 
+def choice_totals(sets: DataFrame, cand: DataFrame, matches: DataFrame, same_area_bonus: float,
+                  cuisine_bonus: float) -> DataFrame:
+    """(city, dest_area, favs, total): the sum of a user's scores over all their candidates.
+
+    It depends on the user's city, area and favourites only: all candidates' weights plus
+    the bonus share of those that match any favourite. Candidates that match the same
+    cuisines are one class with one weight, and a set of favourites meets the classes by
+    equality of a cuisine, so no user is paired with a restaurant.
+
+    sets: city, dest_area, favs (distinct); cand: city, dest_area, restaurant_id, base, same
+    matches: restaurant_id, fav
+    """
+    keys = ["city", "dest_area"]
+    w = F.col("base") * F.when(F.col("same"), F.lit(same_area_bonus)).otherwise(F.lit(1.0))
+    weighted = cand.withColumn("w", w)
+    everyone = weighted.groupBy(*keys).agg(F.sum("w").alias("all"))
+    kinds = matches.groupBy("restaurant_id").agg(F.array_sort(F.collect_set("fav")).alias("kinds"))
+    classes = weighted.join(kinds, "restaurant_id").groupBy(*keys, "kinds").agg(F.sum("w").alias("w"))
+    met = (sets.withColumn("fav", F.explode("favs"))
+           .join(classes.withColumn("fav", F.explode("kinds")), [*keys, "fav"])
+           .select(*keys, "favs", "kinds", "w").distinct()
+           .groupBy(*keys, "favs").agg(F.sum("w").alias("matched")))
+    # an empty favourite is part of every text
+    matched = F.when(F.array_contains("favs", ""), F.col("all")).otherwise(F.coalesce("matched", F.lit(0.0)))
+    return (sets.join(everyone, keys).join(met, [*keys, "favs"], "left")
+            .select(*keys, "favs", (F.col("all") + F.lit(cuisine_bonus - 1.0) * matched).alias("total")))
+
+
 def restaurant_affinity(users: DataFrame, restaurants: DataFrame, routes: DataFrame, k: int = 3,
                         same_area_bonus: float = 1.1, cuisine_bonus: float = 1.4) -> DataFrame:
     """Top-``k`` restaurants per user by affinity score.
@@ -108,6 +136,7 @@ def restaurant_affinity(users: DataFrame, restaurants: DataFrame, routes: DataFr
     of four bounded lists per (city, user area[, fav]): all candidates, same
     area, matching a fav, matching a fav in the same area. Each user gathers at
     most k * (2 + 2 * favs) candidates, scores them exactly and keeps k.
+    ``probability`` is the score's share in all of the user's scores (``choice_totals``).
 
     users: user_id, city, home_area, fav_cuisines (comma list)
     restaurants: restaurant_id, city, area, num_ratings, avg_rating, cuisines
@@ -156,9 +185,11 @@ def restaurant_affinity(users: DataFrame, restaurants: DataFrame, routes: DataFr
              * F.when(F.col("area") == F.col("dest_area"), F.lit(same_area_bonus)).otherwise(F.lit(1.0)))
     top = rank_limit(scored.withColumn("score", score), "user_id", [F.col("score").desc(), F.col("restaurant_id")],
                      k, "rank")
-    return top.select("user_id", "restaurant_id",
-                      F.concat_ws("_", "city", "area", F.lit("to"), "dest_area").alias("route_key"),
-                      F.col("rank").cast("int").alias("rank"), "score")
+    sets = u.select("city", "dest_area", "favs").distinct()
+    totals = choice_totals(sets, cand, matches, same_area_bonus, cuisine_bonus)
+    return top.join(totals, ["city", "dest_area", "favs"]).select(
+        "user_id", "restaurant_id", F.concat_ws("_", "city", "area", F.lit("to"), "dest_area").alias("route_key"),
+        F.col("rank").cast("int").alias("rank"), "score", (F.col("score") / F.col("total")).alias("probability"))
 
 
 def enrich_requests(requests: DataFrame, conditions: DataFrame, route: str = "route_key",

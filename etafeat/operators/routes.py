@@ -159,35 +159,50 @@ def expected_traffic(df: DataFrame, ts: str = "timestamp", city: str = "city",
     return df.withColumn("traffic_level", round_half_even(level, digits) if digits is not None else level)
 
 
-def quarantine_chunks(df: DataFrame, key: str = "route_key", ts: str = "timestamp",
-                      start: str | None = None, chunk_hours: int = 24,
-                      checks: Column | None = None) -> tuple[DataFrame, DataFrame]:
-    """Split rows into (good, quarantined): a whole (route, chunk) is quarantined
-    when any of its rows has a NULL or a traffic level outside 0..1 (W7).
-
-    Chunks are ``chunk_hours`` long, counted from ``start`` (the calendar
-    start) or from the route's first hour. The flag is a window over
-    (route, chunk), a partition of at most ``chunk_hours`` rows, so the table
-    is read once and no partition can grow with the data.
-    """
+def _chunks(df: DataFrame, key: str, ts: str, start: str | None, chunk_hours: int,
+            checks: Column | None) -> tuple[DataFrame, DataFrame]:
+    """``df`` with its chunk number ``__chunk``, and the table of chunks (``__key``, ``__bad``) that hold a bad row."""
     if start is not None:
         t0 = F.lit(start).cast("timestamp_ntz")
         base = df
     else:
-        firsts = df.groupBy(key).agg(F.min(ts).alias("__t0"))
-        base = df.join(firsts, key)
+        firsts = df.groupBy(F.col(key).alias("__first")).agg(F.min(ts).alias("__t0"))
+        base = df.join(firsts, F.col(key).eqNullSafe(F.col("__first"))).drop("__first")
         t0 = F.col("__t0")
     chunk = F.floor(F.timestamp_diff("HOUR", t0, F.col(ts)) / F.lit(chunk_hours))
     bad_row = checks if checks is not None else (
         F.greatest(*[F.col(c).isNull() for c in df.columns])
         | ~F.col("traffic_level").between(0.0, 1.0))
-    w = Window.partitionBy(key, "__chunk")
-    marked = (base.withColumn("__chunk", chunk)
-                  .withColumn("__chunk_bad", F.max(bad_row.cast("int")).over(w)))
-    drop = ["__chunk", "__chunk_bad"] + (["__t0"] if start is None else [])
-    good = marked.filter(F.col("__chunk_bad") == 0).drop(*drop)
-    quarantined = marked.filter(F.col("__chunk_bad") == 1).drop(*drop)
-    return good, quarantined
+    marked = base.withColumn("__chunk", chunk).drop("__t0")
+    return marked, marked.filter(bad_row).select(F.col(key).alias("__key"), F.col("__chunk").alias("__bad")).distinct()
+
+
+def _in_chunk(key: str) -> Column:
+    return F.col(key).eqNullSafe(F.col("__key")) & F.col("__chunk").eqNullSafe(F.col("__bad"))
+
+
+def quarantine_chunks(df: DataFrame, key: str = "route_key", ts: str = "timestamp",
+                      start: str | None = None, chunk_hours: int = 24,
+                      checks: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """Split rows into (good, quarantined): a whole (route, chunk) is quarantined
+    when any of its rows has a NULL or a traffic level outside 0..1 (W7).
+
+    Chunks are ``chunk_hours`` long, counted from ``start`` (the calendar
+    start) or from the route's first hour. The bad chunks are a grouped table,
+    combined before its shuffle; rows meet it in a semi and an anti join, so no
+    task holds a chunk. Every row is in one of the two halves; rows without a key
+    or a time form chunks of their own.
+    """
+    marked, bad = _chunks(df, key, ts, start, chunk_hours, checks)
+    return tuple(marked.join(bad, _in_chunk(key), how).drop("__chunk") for how in ("left_anti", "left_semi"))
+
+
+def flag_chunks(df: DataFrame, key: str = "route_key", ts: str = "timestamp", start: str | None = None,
+                chunk_hours: int = 24, checks: Column | None = None, flag: str = "quarantined") -> DataFrame:
+    """Both halves of ``quarantine_chunks`` as one frame: all rows, with ``flag``."""
+    marked, bad = _chunks(df, key, ts, start, chunk_hours, checks)
+    return (marked.join(bad.withColumn(flag, F.lit(True)), _in_chunk(key), "left")
+            .select(*df.columns, F.coalesce(F.col(flag), F.lit(False)).alias(flag)))
 
 
 def conditions(route_hours_df: DataFrame) -> DataFrame:

@@ -39,17 +39,19 @@ scored AS (
   FROM user_favs u JOIN cleaned r ON u.city = r.city
   JOIN a_net n ON n.city = r.city AND n.origin_area = r.area AND n.dest_area = u.home_area
 )
-SELECT user_id, restaurant_id, route_key, CAST(rk AS INTEGER) AS rank, {b.sql_round('score', 6)} AS score
-FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY score DESC, restaurant_id) AS rk FROM scored)
+SELECT user_id, restaurant_id, route_key, CAST(rk AS INTEGER) AS rank, {b.sql_round('score', 6)} AS score,
+       {b.sql_round('score / total', 9)} AS probability
+FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY score DESC, restaurant_id) AS rk,
+             SUM(score) OVER (PARTITION BY user_id) AS total FROM scored)
 WHERE rk <= 3
-""", "U14, J4, J9, W6, M4: top-3 restaurants per user by affinity, exact without all pairs")
+""", "U14, F10, J4, J9, W6, M4: top-3 restaurants per user by affinity, with choice probability, exact without all pairs")
 def affinity_topk(spark, sf):
     # stage boundaries: cleaned restaurants and users are read by several branches
     rest = materialize(clean_restaurants(spark, sf), "restaurants_clean")
     users = materialize(users_with_favs(spark, sf, rest), "users")
     routes = rt.route_network(rest.select("city", "area"), users.select("city", "home_area"))
     top = dm.restaurant_affinity(users, rest, routes, k=3)
-    return top.withColumn("score", round_half_even("score", 6))
+    return top.withColumns({"score": round_half_even("score", 6), "probability": round_half_even("probability", 9)})
 
 
 def _self_routes(spark, sf):

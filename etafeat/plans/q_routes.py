@@ -118,14 +118,16 @@ def expected_traffic(spark, sf):
     return rt.expected_traffic(route_hours_df(spark, sf)).select("route_key", "timestamp", "traffic_level")
 
 
-@query("conditions_join", "WITH " + SQL_GEOMETRY + f"""
-SELECT route_key, "timestamp", {SQL_WEATHER}, {SQL_TRAFFIC} AS traffic_level, distance_km, highway_pct,
-       base_eta_minutes
-FROM rh""", "J3, W7, U10-U12: weather ⋈ traffic on (route, hour); bad route-day chunks quarantined")
+@query("conditions_join", "WITH " + SQL_GEOMETRY + f""",
+joined AS (
+  SELECT route_key, "timestamp", {SQL_WEATHER}, {SQL_TRAFFIC} AS traffic_level, distance_km, highway_pct, base_eta_minutes
+  FROM rh)
+SELECT *, bool_or(traffic_level IS NULL OR traffic_level < 0.0 OR traffic_level > 1.0 OR distance_km IS NULL
+                  OR highway_pct IS NULL OR base_eta_minutes IS NULL) OVER (
+         PARTITION BY route_key, date_diff('hour', TIMESTAMP '2024-03-25 23:00:00', "timestamp") // 24) AS quarantined
+FROM joined""", "J3, W7, U10-U12: weather ⋈ traffic on (route, hour); bad route-day chunks are flagged, all rows returned")
 def conditions_join(spark, sf):
-    cond = rt.conditions_table(route_hours_df(spark, sf))
-    good, _ = rt.quarantine_chunks(cond, start="2024-03-25 23:00:00")
-    return good
+    return rt.flag_chunks(rt.conditions_table(route_hours_df(spark, sf)), start="2024-03-25 23:00:00")
 
 
 @query("completeness", "WITH " + SQL_GEOMETRY + """
@@ -159,18 +161,18 @@ WITH firsts AS (SELECT user_id, min(ts) AS t0 FROM events GROUP BY user_id),
 chunks AS (
   SELECT e.event_id, e.user_id, e.ts, e.value, date_diff('hour', date_trunc('hour', f.t0), e.ts) // 24 AS chunk,
          e.value IS NULL OR e.value < 1.0 OR e.value > 400.0 AS bad
-  FROM events e JOIN firsts f USING (user_id))
+  FROM events e LEFT JOIN firsts f ON e.user_id IS NOT DISTINCT FROM f.user_id)
 SELECT event_id, user_id, ts, value, bool_or(bad) OVER (PARTITION BY user_id, chunk) AS quarantined FROM chunks
-""", "W7: readings outside their range put the user's whole day aside; both halves are returned")
+""", "W7: readings outside their range put the user's whole day aside; all events are returned, those without a user too")
 def event_quarantine(spark, sf):
     ev = table(spark, sf, "events").select("event_id", "user_id", "ts", "value")
-    first = ev.groupBy("user_id").agg(floor_hour(F.min("ts")).alias("t0"))
-    base = ev.join(first, "user_id").withColumn("hours", F.timestamp_diff("HOUR", "t0", "ts"))
+    first = ev.groupBy(F.col("user_id").alias("of")).agg(floor_hour(F.min("ts")).alias("t0"))
+    base = ev.join(first, F.col("user_id").eqNullSafe(F.col("of")), "left")
     # hours since the user's own first hour, as times from one start
-    base = base.withColumn("at", F.timestamp_add("HOUR", F.col("hours"), F.lit("2000-01-01 00:00:00").cast("timestamp_ntz")))
+    base = base.withColumn("at", F.timestamp_add("HOUR", F.timestamp_diff("HOUR", "t0", "ts"),
+                                                 F.lit("2000-01-01 00:00:00").cast("timestamp_ntz")))
     bad = F.col("value").isNull() | ~F.col("value").between(1.0, 400.0)
-    good, aside = rt.quarantine_chunks(base, key="user_id", ts="at", start="2000-01-01 00:00:00", checks=bad)
-    return good.withColumn("quarantined", F.lit(False)).unionByName(aside.withColumn("quarantined", F.lit(True))).select(
+    return rt.flag_chunks(base, key="user_id", ts="at", start="2000-01-01 00:00:00", checks=bad).select(
         "event_id", "user_id", "ts", "value", "quarantined")
 
 

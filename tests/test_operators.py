@@ -245,3 +245,44 @@ def test_exact_quantile_matches_percentile(spark, sf):
     dup = spark.createDataFrame([(v,) for v in [1.0] * 50 + [2.0] * 3 + [9.0]], "v double")
     assert fx.exact_quantile(dup, F.col("v"), 0.5, buckets=2) == 1.0
     assert fx.exact_quantile(dup, F.col("v"), 0.5) == 1.0
+
+
+def test_choice_probability_sums_over_all_pairs(spark):
+    """``probability`` against the sum of a user's scores over every candidate restaurant."""
+    import random
+    rnd = random.Random(11)
+    cuisines = ["Thai", "North Indian", "Indian", "Chinese", "Thai Curry"]
+    rests = [(f"r{i}", "c", rnd.choice("ab"), rnd.choice([1, 50, 900]), rnd.choice([None, 2.0, 4.5]),
+              ", ".join(rnd.sample(cuisines, rnd.randint(0, 3)))) for i in range(30)]
+    users = [(f"u{i}", "c", rnd.choice("ab"), f) for i, f in enumerate(
+        ["", None, "Indian", "Thai, Chinese", "Thai, Thai", "Thai,,Chinese", "Sushi", "Thai Curry, Indian, Chinese"])]
+    routes = [("c", "a", "a"), ("c", "b", "a"), ("c", "b", "b")]
+    got = dm.restaurant_affinity(
+        spark.createDataFrame(users, "user_id string, city string, home_area string, fav_cuisines string"),
+        spark.createDataFrame(rests, "restaurant_id string, city string, area string, num_ratings bigint, "
+                                     "avg_rating double, cuisines string"),
+        spark.createDataFrame(routes, "city string, origin_area string, dest_area string"), k=40).collect()
+    for user, city, home, favs in users:
+        favs = [f.strip() for f in favs.split(",")] if favs else []
+        want = {}
+        for rid, _, area, n, rating, text in rests:
+            if ("c", area, home) in routes:
+                s = max(n, 10) ** 0.6 * ((3.5 if rating is None else rating) / 5) ** 1.2
+                want[rid] = s * (1.4 if any(f in text for f in favs) else 1.0) * (1.1 if area == home else 1.0)
+        mine = {r.restaurant_id: r.probability for r in got if r.user_id == user}
+        assert mine == pytest.approx({r: s / sum(want.values()) for r, s in want.items()})
+
+
+def test_quarantine_keeps_every_row(spark):
+    rows = [(i, k, f"2024-01-0{1 + i % 3} 05:00:00", t) for i, (k, t) in enumerate(
+        [("a", 0.5), ("a", 7.0), (None, 0.1), (None, 0.2), ("b", 0.3), ("hot", 0.4)] * 50)]
+    df = spark.createDataFrame(rows, "id int, k string, t string, level double").withColumn(
+        "t", F.col("t").cast("timestamp_ntz"))
+    checks = ~F.col("level").between(0.0, 1.0)
+    args = dict(key="k", ts="t", start="2024-01-01 00:00:00", checks=checks)
+    flagged = {r.id: r.quarantined for r in rt.flag_chunks(df, **args).collect()}
+    good, aside = rt.quarantine_chunks(df, **args)
+    assert {r.id for r in good.collect()} == {i for i, q in flagged.items() if not q}
+    assert {r.id for r in aside.collect()} == {i for i, q in flagged.items() if q}
+    bad = {(r[1], r[2]) for r in rows if r[3] > 1}
+    assert flagged == {r[0]: (r[1], r[2]) in bad for r in rows}
