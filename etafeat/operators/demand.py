@@ -73,24 +73,42 @@ def affinity_base(num_ratings: Column | str, rating: Column | str) -> Column:
             * F.pow(F.coalesce(col_(rating), F.lit(3.5)) / F.lit(5.0), F.lit(1.2)))
 
 
+GRAM = 3
+
+
+def grams(text: Column | str, size: int) -> Column:
+    """The distinct pieces of ``size`` characters of a text, at most as many as it has characters."""
+    x = col_(text)
+    last = F.char_length(x) - F.lit(size - 1)
+    return F.when(last >= 1, F.array_distinct(F.transform(F.sequence(F.lit(1), last), lambda i: F.substring(x, i, F.lit(size)))))
+
+
+def postings(texts: DataFrame, text: str) -> DataFrame:
+    """(gram, text): every text under its grams of 1..``GRAM`` characters; rows grow with the texts' length."""
+    every = None
+    for size in range(1, GRAM + 1):
+        part = texts.select(text, F.explode(grams(text, size)).alias("gram"))
+        every = part if every is None else every.unionAll(part)
+    return every
+
+
 def cuisine_matches(restaurants: DataFrame, favs: DataFrame) -> DataFrame:
     """(restaurant_id, fav) where the fav text occurs in the restaurant's cuisines.
 
     A fav has no comma, so it can only occur inside one comma-separated piece.
-    Every substring of each distinct piece is listed once (a vocabulary-sized
-    table) and met with the distinct favs by equality: no pairs of rows are
-    compared and nothing grows with the number of users.
+    Each distinct piece is posted under its short grams, and a distinct fav looks
+    only under the rarest of its own longest grams; what it finds there is verified.
+    Nothing grows with the number of users, nor faster than the texts.
     """
     pieces = (restaurants.select("restaurant_id", F.explode(F.split(F.coalesce("cuisines", F.lit("")), ","))
                                  .alias("piece")).distinct())
-    vocab = pieces.select("piece").distinct()
-    n = F.length("piece")
-    subs = (vocab.select("piece", F.explode(F.sequence(F.lit(1), F.greatest(n, F.lit(1)))).alias("i"))
-                 .select("piece", "i", F.explode(F.sequence(F.col("i"), F.greatest(F.length("piece"), F.col("i"))))
-                         .alias("j"))
-                 .select("piece", F.substring("piece", F.col("i"), F.col("j") - F.col("i") + 1).alias("fav"))
-                 .distinct())
-    hits = subs.join(favs.select("fav").distinct(), "fav").select("piece", "fav")
+    posted = postings(pieces.select("piece").distinct(), "piece")
+    held = posted.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
+    wanted = favs.select("fav").distinct()
+    size = F.least(F.char_length("fav"), F.lit(GRAM))
+    own = wanted.select("fav", F.explode(F.coalesce(*[F.when(size == n, grams("fav", n)) for n in range(1, GRAM + 1)])).alias("gram"))
+    rarest = own.join(held, "gram").groupBy("fav").agg(F.min(F.struct("n", "gram")).alias("g")).select("fav", "g.gram")
+    hits = posted.join(rarest, "gram").filter(F.col("piece").contains(F.col("fav"))).select("piece", "fav")
     return pieces.join(hits, "piece").select("restaurant_id", "fav").distinct()
 
 

@@ -286,3 +286,21 @@ def test_quarantine_keeps_every_row(spark):
     assert {r.id for r in aside.collect()} == {i for i, q in flagged.items() if q}
     bad = {(r[1], r[2]) for r in rows if r[3] > 1}
     assert flagged == {r[0]: (r[1], r[2]) in bad for r in rows}
+
+
+def test_substring_matches_by_grams(spark):
+    import random
+    rnd = random.Random(5)
+    texts = ["".join(rnd.choice("aab é-") for _ in range(rnd.randint(0, 25))) for _ in range(60)] + [
+        "Thai Curry, Indian", "", None, "Thai"]
+    favs = ["a", "ab", "aab", "b é", "Thai", "Thai Curry", "hai", "zzz", "é", "- a", "a" * 9]
+    rests = spark.createDataFrame(list(enumerate(texts)), "restaurant_id int, cuisines string")
+    got = {tuple(r) for r in dm.cuisine_matches(rests, spark.createDataFrame([(f,) for f in favs], "fav string")).collect()}
+    assert got == {(i, f) for i, t in enumerate(texts) for f in favs if f in (t or "")}
+
+
+def test_posting_rows_are_linear_in_the_text(spark):
+    long = "".join(chr(97 + i * i % 23) for i in range(3000))  # no comma: one piece
+    for n in (500, 1000, 3000):
+        posted = dm.postings(spark.createDataFrame([(long[:n],)], "piece string"), "piece").count()
+        assert posted <= dm.GRAM * n
