@@ -37,18 +37,23 @@ def dmean(x: Column | str, scale: int | None) -> Column:
 def dstd(x: Column | str, scale: int | None) -> Column:
     """Sample standard deviation; NULL for fewer than two values.
 
-    With ``scale``, sum and sum of squares are exact DECIMALs, so the value is
-    the same for any row order: sqrt((S2 - S1^2/n) / (n - 1)).
+    With ``scale`` the moments are exact: in units of the last decimal, sums of
+    values and squares are whole numbers, and so is the sum of squares about the
+    whole part m of the mean, S2 - 2 m S1 + n m^2. Only what is left of the mean
+    beyond m is corrected in doubles, so large values with a small spread keep it.
     """
     c = F.col(x) if isinstance(x, str) else x
     if scale is None:
         return F.stddev_samp(c)
-    d = c.cast(f"decimal(18,{scale})")
+    whole = "decimal(38,0)"
+    d = (c.cast(f"decimal(28,{scale})") * F.lit(10 ** scale).cast("decimal(10,0)")).cast("decimal(28,0)")
     n = F.count(c)
-    s1 = exact_sum(c, scale)
-    s2 = F.sum(d * d).cast("double")
-    var = (s2 - s1 * s1 / n) / (n - F.lit(1))
-    return F.when(n > 1, F.sqrt(F.greatest(var, F.lit(0.0))))
+    s1, s2 = F.sum(d).cast(whole), F.sum((d * d).cast(whole)).cast(whole)
+    m = F.call_function("div", s1, n.cast("decimal(19,0)")).cast("decimal(19,0)")
+    about = s2 - ((m * s1).cast(whole) * 2).cast(whole) + ((m * m).cast(whole) * n.cast("decimal(19,0)")).cast(whole)
+    rest = (s1 - (m * n.cast("decimal(19,0)")).cast(whole)).cast("double")
+    var = (about.cast("double") - rest * rest / n) / (n - F.lit(1))
+    return F.when(n > 1, F.sqrt(F.greatest(var, F.lit(0.0))) / F.lit(float(10 ** scale)))
 
 
 def rate(cond: Column) -> Column:

@@ -30,10 +30,11 @@ def _dmean(x: str, s: int) -> str:
 
 
 def _dstd(x: str, s: int) -> str:
-    d = f"CAST({x} AS DECIMAL(38,{s}))"
-    s1 = f"CAST(SUM({d}) AS DOUBLE)"
-    return (f"CASE WHEN COUNT({x}) > 1 THEN sqrt(greatest((CAST(SUM({d} * {d}) AS DOUBLE) - {s1} * {s1}"
-            f" / COUNT({x})) / (COUNT({x}) - 1), 0.0)) END")
+    """sqrt((n S2 - S1^2) / (n (n - 1))) of whole numbers of 128 bits, beside centred moments in Spark."""
+    d = f"CAST(round({x} * {10 ** s}) AS HUGEINT)"
+    n = f"CAST(COUNT({x}) AS HUGEINT)"
+    return (f"CASE WHEN COUNT({x}) > 1 THEN sqrt(CAST({n} * SUM({d} * {d}) - SUM({d}) * SUM({d}) AS DOUBLE)"
+            f" / CAST({n} * ({n} - 1) AS DOUBLE)) / {10 ** s}.0 END")
 
 
 _RATE = "CAST(SUM(CASE WHEN order_status = 'completed' THEN 1 ELSE 0 END) AS DOUBLE) / COUNT(*)"

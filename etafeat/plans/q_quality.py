@@ -21,11 +21,9 @@ def _dmean_sql(x: str, s: int) -> str:
     return f"CAST(SUM(CAST({x} AS DECIMAL(38,{s}))) AS DOUBLE) / COUNT({x})"
 
 
-def _dstd_sql(x: str, s: int) -> str:
-    d = f"CAST({x} AS DECIMAL(38,{s}))"
-    s1 = f"CAST(SUM({d}) AS DOUBLE)"
-    return (f"CASE WHEN COUNT({x}) > 1 THEN sqrt(greatest((CAST(SUM({d} * {d}) AS DOUBLE) - {s1} * {s1}"
-            f" / COUNT({x})) / (COUNT({x}) - 1), 0.0)) END")
+def _dstd_sql(x: str) -> str:
+    """DuckDB's own deviation (Welford's recurrence), beside exact moments in Spark; both to 6 digits."""
+    return b.sql_round(f"stddev_samp(CAST({x} AS DOUBLE))", 6)
 
 
 @query("restaurant_report", f"WITH cleaned AS ({SQL_CLEAN})" + f"""
@@ -33,7 +31,7 @@ SELECT CAST(COUNT(*) AS BIGINT) AS total_restaurants,
   CAST(COUNT(DISTINCT restaurant_id) AS BIGINT) AS unique_restaurant_ids,
   CAST(COUNT(DISTINCT city) AS BIGINT) AS cities_covered,
   {_dmean_sql('avg_menu_price', 6)} AS avg_menu_price_mean,
-  {_dstd_sql('avg_menu_price', 6)} AS avg_menu_price_std,
+  {_dstd_sql('avg_menu_price')} AS avg_menu_price_std,
   CAST(SUM(CASE WHEN lat IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS missing_lat,
   CAST(SUM(CASE WHEN lon IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS missing_lon,
   CAST(SUM(CASE WHEN base_delivery_time_min <= 0 THEN 1 ELSE 0 END) AS BIGINT) AS invalid_delivery_time,
@@ -47,7 +45,7 @@ def restaurant_report(spark, sf):
         F.count_distinct("restaurant_id").alias("unique_restaurant_ids"),
         F.count_distinct("city").alias("cities_covered"),
         dmean("avg_menu_price", 6).alias("avg_menu_price_mean"),
-        dstd("avg_menu_price", 6).alias("avg_menu_price_std"),
+        round_half_even(dstd("avg_menu_price", 6), 6).alias("avg_menu_price_std"),
         F.sum(F.col("lat").isNull().cast("bigint")).alias("missing_lat"),
         F.sum(F.col("lon").isNull().cast("bigint")).alias("missing_lon"),
         F.sum((F.col("base_delivery_time_min") <= 0).cast("bigint")).alias("invalid_delivery_time"),
@@ -156,7 +154,7 @@ SELECT CAST(COUNT(*) AS BIGINT) AS final_rows,
   CAST(SUM(CASE WHEN split = 'train' THEN 1 ELSE 0 END) AS BIGINT) AS train_rows,
   CAST(SUM(CASE WHEN split = 'val' THEN 1 ELSE 0 END) AS BIGINT) AS val_rows,
   """ + _dmean_sql("actual_delivery_time_min", 1) + """ AS target_mean,
-  """ + _dstd_sql("actual_delivery_time_min", 1) + """ AS target_std
+  """ + _dstd_sql("actual_delivery_time_min") + """ AS target_std
 FROM fm""", "U28, U27: matrix size, split sizes, target mean and std")
 def feature_report(spark, sf):
     fm = build_feature_matrix(spark, sf)
@@ -164,7 +162,7 @@ def feature_report(spark, sf):
     return fm.agg(F.count(F.lit(1)).alias("final_rows"),
                   F.sum((F.col("split") == "train").cast("bigint")).alias("train_rows"),
                   F.sum((F.col("split") == "val").cast("bigint")).alias("val_rows"),
-                  dmean(t, 1).alias("target_mean"), dstd(t, 1).alias("target_std"))
+                  dmean(t, 1).alias("target_mean"), round_half_even(dstd(t, 1), 6).alias("target_std"))
 
 
 _LINES_SQL = """WITH lines AS (SELECT l_orderkey, CAST(COUNT(*) AS BIGINT) AS n_lines, MAX(l_quantity) AS max_qty,
@@ -234,3 +232,13 @@ def quality_gates(spark, sf):
             F.lit(name).alias("source"), "gate", "violations", "n_rows")
         out = rows if out is None else out.unionByName(rows)
     return out
+
+
+@query("stable_deviation", f"""
+SELECT l_returnflag, {b.sql_round('stddev_samp(l_linenumber / 1000.0)', 9)} AS deviation, COUNT(*) AS n_lines
+FROM lineitem GROUP BY l_returnflag
+""", "A2, A10-A12: deviation of values near 1e9 that differ by thousandths; the twin never sees the large part")
+def stable_deviation(spark, sf):
+    li = table(spark, sf, "lineitem").select("l_returnflag", (F.lit(1e9) + F.col("l_linenumber") / 1000.0).alias("v"))
+    return li.groupBy("l_returnflag").agg(round_half_even(dstd("v", 3), 9).alias("deviation"),
+                                          F.count(F.lit(1)).alias("n_lines"))
