@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from etafeat.functions.columns import round_half_even, token_count
@@ -13,7 +15,8 @@ from etafeat.plans.q_features import FEATURE_SQL, ORDERS_CTE, build_feature_matr
 from etafeat.plans.q_routes import SQL_GEOMETRY, SQL_TRAFFIC, SQL_WEATHER, route_hours_df
 from etafeat.plans.q_sampling import SQL_FAVS, users_with_favs
 from etafeat.plans.registry import query
-from etafeat.session import table
+from etafeat.session import ensure_checkpoint_dir, table
+from etafeat.sources.io import commit_batch, read_batches
 from etafeat.operators import routes as rt
 
 
@@ -242,3 +245,16 @@ def stable_deviation(spark, sf):
     li = table(spark, sf, "lineitem").select("l_returnflag", (F.lit(1e9) + F.col("l_linenumber") / 1000.0).alias("v"))
     return li.groupBy("l_returnflag").agg(round_half_even(dstd("v", 3), 9).alias("deviation"),
                                           F.count(F.lit(1)).alias("n_lines"))
+
+
+@query("append_events", """
+SELECT event_id, user_id, event_type, ts, value, coalesce(CAST(least((day(ts) - 1) // 10, 2) AS VARCHAR), 'undated') AS batch
+FROM events
+""", "S6, S7, X3: every batch of events is appended twice and read back once")
+def append_events(spark, sf):
+    ev = table(spark, sf, "events").select("event_id", "user_id", "event_type", "ts", "value")
+    third = F.coalesce(F.least(F.floor((F.dayofmonth("ts") - 1) / 10), F.lit(2)).cast("string"), F.lit("undated"))
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/etafeat/append-{uuid.uuid4().hex}"
+    for batch in ("0", "1", "1", "2", "undated", "0", "2"):  # repeats add nothing
+        commit_batch(ev.filter(third == batch), path, batch)
+    return read_batches(spark, path)

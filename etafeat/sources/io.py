@@ -6,8 +6,10 @@ Nothing here collects data to the driver except one-row metric frames.
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -48,6 +50,46 @@ def append_batch(df: DataFrame, path: str, partition_by: Sequence[str] | None =
     write_parquet(df, path, mode="append", partition_by=partition_by)
 
 
+def _committed(spark: SparkSession, path: str) -> DataFrame | None:
+    """(batch, n_rows) of the batches that were written in full; None before the first."""
+    try:
+        return spark.read.schema("batch string, n_rows long").json(f"{path}/manifest/*")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def commit_batch(df: DataFrame, path: str, batch: str) -> int:
+    """Append ``df`` as ``batch`` once, however often it is called (S6, S7, X3); rows added.
+
+    A batch is a folder of its own, which an attempt that broke off leaves to the next one to
+    replace; a record in the manifest, with the row count observed while writing, makes it
+    visible to ``read_batches``. A batch that is in the manifest adds nothing. Batches may be
+    written side by side, one batch by one writer at a time.
+    """
+    if not re.fullmatch(r"[A-Za-z0-9_-]+", batch):
+        raise ValueError(f"batch names are letters, digits, _ and -, not {batch!r}")
+    spark = df.sparkSession
+    done = _committed(spark, path)
+    if done is not None and done.filter(F.col("batch") == batch).limit(1).count():
+        return 0
+    n = write_observed(df, f"{path}/data/part=b.{batch}", name=f"batch-{batch}")
+    spark.createDataFrame([(batch, n)], "batch string, n_rows long").coalesce(1).write.mode("overwrite").json(
+        f"{path}/manifest/{batch}")
+    return n
+
+
+def read_batches(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of all committed batches, with their ``batch``; fails where none is committed."""
+    done = _committed(spark, path)
+    if done is None:
+        raise FileNotFoundError(f"no committed batch in {path}")
+    part = F.concat(F.lit("b."), F.col("batch"))
+    data = spark.read.option("basePath", f"{path}/data").parquet(f"{path}/data")
+    return data.join(done.select(part.alias("part"), "batch"), "part").drop("part")
+
+
 def write_observed(df: DataFrame, path: str, fmt: str = "parquet", name: str = "rows") -> int:
     """Write ``df`` and return its row count, observed while writing (S10): no second scan."""
     obs = Observation(name)

@@ -4,6 +4,7 @@ import json
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from etafeat.sources import io, schemas
@@ -57,3 +58,27 @@ def test_streaming_append_exactly_once(spark):
     append_stream(spark, f"{src}/*", spark.createDataFrame([], schema).schema, dst, ck)
     assert sorted(r.id for r in spark.read.parquet(dst).collect()) == [1, 2, 3]
     assert os.path.isdir(ck)
+
+
+def test_a_repeated_batch_adds_nothing(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.range(10).withColumn("x", F.col("id") * 2)
+    assert io.commit_batch(rows, path, "001") == 10
+    assert io.commit_batch(rows, path, "001") == 0
+    assert io.commit_batch(rows.filter("id < 3"), path, "2024-01-02") == 3
+    assert io.commit_batch(rows.filter("false"), path, "none") == 0
+    got = [tuple(r) for r in io.read_batches(spark, path).select("batch", "id", "x").collect()]
+    assert sorted(got) == sorted([("001", i, 2 * i) for i in range(10)] + [("2024-01-02", i, 2 * i) for i in range(3)])
+
+
+def test_a_broken_attempt_is_replaced_and_not_read(spark, tmp_path):
+    path = str(tmp_path / "t")
+    io.commit_batch(spark.range(2), path, "a")
+    spark.range(5).write.parquet(f"{path}/data/part=b.b")  # data without a manifest record
+    assert io.read_batches(spark, path).count() == 2
+    assert io.commit_batch(spark.range(3), path, "b") == 3
+    assert io.read_batches(spark, path).count() == 5
+    with pytest.raises(ValueError):
+        io.commit_batch(spark.range(1), path, "a/../b")
+    with pytest.raises(FileNotFoundError):
+        io.read_batches(spark, str(tmp_path / "nothing"))
