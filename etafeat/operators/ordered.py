@@ -83,29 +83,39 @@ def dense_ids(df: DataFrame, order: Sequence[str | Column], name: str, start: in
     return dealt.join(before, _PART).withColumn(name, number.cast("bigint")).select(*df.columns, name)
 
 
-def group_quantile(df: DataFrame, keys: Sequence[str], value: str, q: float, name: str,
-                   parts: int | None = None) -> DataFrame:
-    """Exact ``q`` quantile (linear interpolation) per group: (keys, name), one row for each group of ``df``.
+def group_quantiles(df: DataFrame, keys: Sequence[str], value: str, wanted: Mapping[str, float],
+                    parts: int | None = None) -> DataFrame:
+    """Exact quantiles (linear interpolation) per group: (keys, name...), one row for each group of ``df``.
 
     Rows are counted per (group, value) first, map-side too; the counts' running
-    sums then say which values hold the two ranks. No task or buffer holds a
+    sums then say which values hold the wanted ranks. No task or buffer holds a
     group, one path at every size. A group without a value has NULL; NaN counts as
     the largest value.
     """
     counts = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n"))
     ranked = running_sums(counts, keys, [value], {"__before": F.col("__n")}, peers=False, parts=parts)
     size = ranked.groupBy(*keys).agg(F.sum("__n").alias("__size"))
-    pos = (F.col("__size") - 1) * F.lit(float(q))
     before = F.coalesce("__before", F.lit(0))
     held = lambda rank: F.max(F.when((before <= rank) & (rank < before + F.col("__n")), F.col(f"r.`{value}`")))
+    pos = {name: (F.col("__size") - 1) * F.lit(float(q)) for name, q in wanted.items()}
     found = (ranked.alias("r").join(size.alias("s"), _same("r", "s", keys))
              .groupBy(*[F.col(f"r.`{k}`").alias(k) for k in keys], "__size")
-             .agg(held(F.floor(pos)).alias("__lo"), held(F.ceil(pos)).alias("__hi")))
-    exact = F.when(F.col("__lo") == F.col("__hi"), F.col("__lo")).otherwise(
-        (F.ceil(pos) - pos) * F.col("__lo") + (pos - F.floor(pos)) * F.col("__hi"))
-    found = found.select(*keys, exact.alias("__q"))
+             .agg(*[held(end(p)).alias(f"__{side}_{name}") for name, p in pos.items()
+                    for side, end in (("lo", F.floor), ("hi", F.ceil))]))
+
+    def between(name: str) -> Column:
+        p, lo, hi = pos[name], F.col(f"__lo_{name}"), F.col(f"__hi_{name}")
+        return F.when(lo == hi, lo).otherwise((F.ceil(p) - p) * lo + (p - F.floor(p)) * hi).alias(f"__q_{name}")
+
+    found = found.select(*keys, *[between(name) for name in wanted])
     return (df.select(*keys).distinct().alias("g").join(found.alias("f"), _same("g", "f", keys), "left")
-            .select(*[F.col(f"g.`{k}`") for k in keys], F.col("__q").alias(name)))
+            .select(*[F.col(f"g.`{k}`") for k in keys], *[F.col(f"__q_{name}").alias(name) for name in wanted]))
+
+
+def group_quantile(df: DataFrame, keys: Sequence[str], value: str, q: float, name: str,
+                   parts: int | None = None) -> DataFrame:
+    """One quantile per group, see ``group_quantiles``."""
+    return group_quantiles(df, keys, value, {name: q}, parts)
 
 
 def group_median(df: DataFrame, keys: str | Sequence[str], value: str, name: str = "__median", digits: int = 6) -> DataFrame:

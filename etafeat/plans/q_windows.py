@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from etafeat.functions.columns import round_half_even
-from etafeat.operators.ordered import dense_ids, group_quantile
+from etafeat.operators.ordered import dense_ids, group_quantiles
 from etafeat.operators.windows import Trailing, target_encode, trailing_windows
 from etafeat.plans import bindings as b
 from etafeat.plans.registry import query
@@ -153,8 +153,5 @@ SELECT l_returnflag, {b.sql_round('quantile_cont(l_extendedprice, 0.25)', 6)} AS
 """, "A6, A7: exact quartiles of three hot groups by running counts")
 def price_quartiles(spark, sf):
     li = table(spark, sf, "lineitem").select("l_returnflag", "l_extendedprice")
-    out = None
-    for name, q in (("q1", 0.25), ("q2", 0.5), ("q3", 0.75)):
-        one = group_quantile(li, ["l_returnflag"], "l_extendedprice", q, name).withColumn(name, round_half_even(name, 6))
-        out = one if out is None else out.join(one, "l_returnflag")
-    return out
+    found = group_quantiles(li, ["l_returnflag"], "l_extendedprice", {"q1": 0.25, "q2": 0.5, "q3": 0.75})
+    return found.withColumns({name: round_half_even(name, 6) for name in ("q1", "q2", "q3")})

@@ -46,7 +46,7 @@ Generated by `plan_report.py` on `{sf_dir}` (executed plan before adaptive
 re-planning; AQE may still coalesce partitions, split skewed joins or turn a
 sort-merge join into a broadcast join at run time). "single-partition" counts
 exchanges into one partition: they carry one-row aggregates (global prior,
-split cut, totals), never a fact table. Nested-loop joins join such a row.
+split cut, totals) or one row per partition (dense ids), never a fact table. Nested-loop joins join such a row.
 
 {head}
 {sep}
