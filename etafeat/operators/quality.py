@@ -6,7 +6,7 @@ a bounded number of example rows ever reaches the driver.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -115,11 +115,38 @@ def group_null_ratio(df: DataFrame, group: str, value: str, top: int = 5) -> Dat
               .limit(top))
 
 
-def numeric_summary(df: DataFrame, col: str) -> list[Column]:
-    """count, mean, sample std, min, max of a column (A1, A2) as aggregate Columns."""
-    c = F.col(col)
-    return [F.count(c).alias(f"{col}_count"), F.avg(c).alias(f"{col}_mean"),
-            F.stddev_samp(c).alias(f"{col}_std"), F.min(c).alias(f"{col}_min"), F.max(c).alias(f"{col}_max")]
+def distinct_counts(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
+    """One row: for each name the number of distinct non-NULL values of its column.
+
+    Every column is grouped by itself, with partial aggregation; several DISTINCT aggregates in
+    one pass would copy each row once a column. ``df`` is read once a column, one column at a
+    time: give a table, or a frame that was written.
+    """
+    parts = [df.select(F.col(c)).distinct().agg(F.count(c).alias("n")).select(F.lit(name).alias("name"), "n")
+             for name, c in columns.items()]
+    found = parts[0]
+    for p in parts[1:]:
+        found = found.unionByName(p)
+    return found.agg(*[F.max(F.when(F.col("name") == name, F.col("n"))).alias(name) for name in columns])
+
+
+def report_with_distinct(df: DataFrame, distinct: Mapping[str, str], *aggregates: Column) -> DataFrame:
+    """One row of ``aggregates`` over ``df``, with the distinct counts of ``distinct`` beside them."""
+    return df.agg(*aggregates).crossJoin(distinct_counts(df, distinct))  # one row each
+
+
+def distinct_sketches(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), size: int = 14) -> DataFrame:
+    """A mergeable sketch per column (and group ``by``): 2^``size`` registers, relative error
+    about 0.65 / sqrt(2^size), 0.5 % for 14. Sketches of parts add up by ``sketch_counts``."""
+    # a sketch takes integers, text and binary; other types go by their text
+    value = {c: F.col(c) if df.schema[c].dataType.typeName() in ("long", "integer", "string", "binary")
+             else F.col(c).cast("string") for c in columns}
+    return df.groupBy(*by).agg(*[F.hll_sketch_agg(value[c], size).alias(c) for c in columns])
+
+
+def sketch_counts(sketches: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """Estimated distinct counts of all groups of ``distinct_sketches`` taken together, or per ``by``."""
+    return sketches.groupBy(*by).agg(*[F.hll_sketch_estimate(F.hll_union_agg(c)).alias(c) for c in columns])
 
 
 def share_guard(df: DataFrame, col: str, max_share: float = 0.6, min_share: float = 0.02) -> DataFrame:

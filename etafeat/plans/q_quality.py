@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from etafeat.functions.columns import round_half_even, token_count
 from etafeat.operators import quality as qa
@@ -15,11 +16,15 @@ from etafeat.plans.q_features import FEATURE_SQL, ORDERS_CTE, build_feature_matr
 from etafeat.plans.q_routes import SQL_GEOMETRY, SQL_TRAFFIC, SQL_WEATHER, route_hours_df
 from etafeat.plans.q_sampling import SQL_FAVS, users_with_favs
 from etafeat.plans.registry import query
-from etafeat.session import ensure_checkpoint_dir, table
-from etafeat.sources.io import commit_batch, read_batches
+from etafeat.session import ensure_checkpoint_dir, materialize, table
+from etafeat.sources import io
 from etafeat.operators import routes as rt
 
 
+def _folder(spark, name: str) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/etafeat/{name}-{uuid.uuid4().hex}"
+
+
 def _dmean_sql(x: str, s: int) -> str:
     return f"CAST(SUM(CAST({x} AS DECIMAL(38,{s}))) AS DOUBLE) / COUNT({x})"
 
@@ -42,11 +47,10 @@ SELECT CAST(COUNT(*) AS BIGINT) AS total_restaurants,
   MIN(delivery_fee) AS fee_min, MAX(delivery_fee) AS fee_max, {_dmean_sql('delivery_fee', 2)} AS fee_mean
 FROM cleaned""", "U28, A1, A2, A18: cleaned-restaurant report in one pass")
 def restaurant_report(spark, sf):
-    df = clean_restaurants(spark, sf)
-    return df.agg(
+    df = materialize(clean_restaurants(spark, sf), "restaurant_report")
+    return qa.report_with_distinct(
+        df, {"unique_restaurant_ids": "restaurant_id", "cities_covered": "city"},
         F.count(F.lit(1)).alias("total_restaurants"),
-        F.count_distinct("restaurant_id").alias("unique_restaurant_ids"),
-        F.count_distinct("city").alias("cities_covered"),
         dmean("avg_menu_price", 6).alias("avg_menu_price_mean"),
         round_half_even(dstd("avg_menu_price", 6), 6).alias("avg_menu_price_std"),
         F.sum(F.col("lat").isNull().cast("bigint")).alias("missing_lat"),
@@ -77,14 +81,12 @@ SELECT CAST(COUNT(*) AS BIGINT) AS total_orders,
   MIN(order_created_at) AS date_start, MAX(order_created_at) AS date_end
 FROM delivery_orders""", "U28, A1-A4, A9, A18, A21, A22: orders report in one pass")
 def orders_report(spark, sf):
-    o = b.delivery_orders(spark, sf)
+    o = materialize(b.delivery_orders(spark, sf), "orders_report")
     t, base = F.col("actual_delivery_time_min"), F.col("base_eta_minutes")
     st = F.col("order_status")
-    return o.agg(
+    return qa.report_with_distinct(
+        o, {"unique_users": "user_id", "unique_restaurants": "restaurant_id", "unique_routes": "route_key"},
         F.count(F.lit(1)).alias("total_orders"),
-        F.count_distinct("user_id").alias("unique_users"),
-        F.count_distinct("restaurant_id").alias("unique_restaurants"),
-        F.count_distinct("route_key").alias("unique_routes"),
         dmean("basket_value", 2).alias("avg_basket_value"),
         rate(st == "completed").alias("completion_rate"),
         rate(st == "delayed").alias("delayed_rate"),
@@ -109,10 +111,10 @@ SELECT CAST(COUNT(*) AS BIGINT) AS total_users, CAST(COUNT(DISTINCT user_id) AS
   CAST(SUM(CASE WHEN fav_cuisines IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS missing_fav_cuisines
 FROM user_favs""", "U28, A1, A18, A23: users report with mean favourite count")
 def users_report(spark, sf):
-    u = users_with_favs(spark, sf)
-    return u.agg(
-        F.count(F.lit(1)).alias("total_users"), F.count_distinct("user_id").alias("unique_user_ids"),
-        F.count_distinct("city").alias("cities_covered"),
+    u = materialize(users_with_favs(spark, sf), "users_report")
+    return qa.report_with_distinct(
+        u, {"unique_user_ids": "user_id", "cities_covered": "city"},
+        F.count(F.lit(1)).alias("total_users"),
         (F.sum(token_count("fav_cuisines")).cast("double") / F.count(F.lit(1))).alias("avg_fav_cuisines"),
         F.sum(F.col("city").isNull().cast("bigint")).alias("missing_city"),
         F.sum(F.col("home_area").isNull().cast("bigint")).alias("missing_home_area"),
@@ -140,10 +142,9 @@ SELECT CAST(COUNT(DISTINCT route_key) AS BIGINT) AS total_routes,
   CAST(COUNT(*) AS BIGINT) AS total_rows_generated
 FROM cond""", "U28, S4, S10: route-hour report over the whole table")
 def routes_report(spark, sf):
-    c = rt.conditions(route_hours_df(spark, sf).drop("base_eta_minutes"))
-    return c.agg(
-        F.count_distinct("route_key").alias("total_routes"),
-        F.count_distinct("timestamp").alias("total_timestamps"),
+    c = materialize(rt.conditions(route_hours_df(spark, sf).drop("base_eta_minutes")), "routes_report")
+    return qa.report_with_distinct(
+        c, {"total_routes": "route_key", "total_timestamps": "timestamp"},
         round_half_even(F.avg("base_eta_minutes"), 9).alias("avg_base_eta"),
         round_half_even(F.avg("traffic_level"), 9).alias("avg_traffic_level"),
         (F.sum("rain").cast("double") / F.count(F.lit(1))).alias("avg_rain"),
@@ -254,7 +255,75 @@ FROM events
 def append_events(spark, sf):
     ev = table(spark, sf, "events").select("event_id", "user_id", "event_type", "ts", "value")
     third = F.coalesce(F.least(F.floor((F.dayofmonth("ts") - 1) / 10), F.lit(2)).cast("string"), F.lit("undated"))
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/etafeat/append-{uuid.uuid4().hex}"
+    path = _folder(spark, "append")
     for batch in ("0", "1", "1", "2", "undated", "0", "2"):  # repeats add nothing
-        commit_batch(ev.filter(third == batch), path, batch)
-    return read_batches(spark, path)
+        io.commit_batch(ev.filter(third == batch), path, batch)
+    return io.read_batches(spark, path)
+
+
+_COUNTED = ["l_orderkey", "l_partkey", "l_suppkey", "l_shipdate", "l_returnflag"]
+
+
+@query("distinct_counts", "SELECT * FROM (" + " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", COUNT(DISTINCT {c}) AS n_distinct, true AS sketch_close FROM lineitem" for c in _COUNTED) + ")",
+    "A1, U28: exact distinct counts without row expansion; merged sketches within 2 % of them")
+def distinct_counts(spark, sf):
+    li = table(spark, sf, "lineitem").select(*_COUNTED)
+    exact = qa.distinct_counts(li, {c: c for c in _COUNTED})
+    # one sketch a year, merged: the estimate of the whole from parts
+    parts = qa.distinct_sketches(li.withColumn("part", F.year("l_shipdate")), _COUNTED, by=["part"])
+    est = qa.sketch_counts(parts, _COUNTED)
+    long = lambda df, v: df.selectExpr(
+        f"stack({len(_COUNTED)}, " + ", ".join(f"'{c}', {c}" for c in _COUNTED) + f") AS (column, {v})")
+    return long(exact, "n_distinct").join(long(est, "estimate"), "column").select(
+        "column", "n_distinct", (F.abs(F.col("estimate") - F.col("n_distinct")) <= 0.02 * F.col("n_distinct")).alias("sketch_close"))
+
+
+_DAMAGE = "CASE WHEN o_orderkey % 11 = 0 THEN 'type' WHEN o_orderkey % 11 = 1 THEN 'short' WHEN o_orderkey % 11 = 2 THEN 'long' END"
+_LINE = """CASE WHEN o_orderkey % 11 = 0 THEN 'x' ELSE '' END || CAST(o_orderkey AS VARCHAR(30)) || ',' ||
+  CASE WHEN o_orderkey % 11 = 1 THEN '' ELSE CAST(o_custkey AS VARCHAR(30)) || ',' END ||
+  CASE WHEN o_orderkey % 11 = 3 THEN '"say ""' || o_orderpriority || '"", please"' ELSE o_orderpriority END ||
+  CASE WHEN o_orderkey % 11 = 2 THEN ',more' ELSE '' END"""
+
+
+@query("lenient_csv", f"""
+WITH lines AS (SELECT *, {_LINE} AS line, {_DAMAGE} AS damage FROM orders),
+n AS (SELECT COUNT(*) AS n_rows, COUNT(damage) AS n_bad FROM lines)
+SELECT CASE WHEN damage IS NULL THEN o_orderkey END AS order_key, CASE WHEN damage IS NULL THEN o_custkey END AS cust_key,
+  CASE WHEN damage IS NULL THEN CASE WHEN o_orderkey % 11 = 3 THEN 'say "' || o_orderpriority || '", please' ELSE o_orderpriority END END
+    AS priority,
+  CASE WHEN damage IS NOT NULL THEN line END AS bad_line, n_rows, n_bad FROM lines, n""",
+    "S1, S2, P6: orders written as lines with damaged ones, read back leniently: good rows, bad lines, both counts")
+def lenient_csv(spark, sf):
+    path = _folder(spark, "lines")
+    table(spark, sf, "orders").select(F.expr(_LINE).alias("value")).write.text(f"{path}/raw")
+    schema = StructType.fromDDL("order_key long, cust_key long, priority string")
+    good, bad, counts = io.read_csv_lenient(spark, f"{path}/raw", schema, f"{path}/read", header=False)
+    rows = good.unionByName(bad.withColumnRenamed(io.BAD_LINE, "bad_line"), allowMissingColumns=True)
+    return rows.withColumn("n_rows", F.lit(counts["n_rows"])).withColumn("n_bad", F.lit(counts["n_bad"]))
+
+
+@query("observed_metrics", """
+WITH kept AS (SELECT * FROM lineitem WHERE l_discount BETWEEN 0.0 AND 0.08),
+big AS (SELECT l_orderkey, SUM(CAST(l_quantity AS DECIMAL(20,2))) AS quantity FROM kept GROUP BY l_orderkey)
+SELECT (SELECT COUNT(*) FROM lineitem) AS read_rows, (SELECT COUNT(*) FILTER (WHERE l_shipdate IS NULL) FROM lineitem) AS read_undated,
+  (SELECT COUNT(*) FROM kept) AS kept_rows, 1 - (SELECT COUNT(*) FROM kept) / (SELECT COUNT(*) FROM lineitem) AS drop_rate,
+  COUNT(*) AS written_rows, CAST(MIN(quantity) AS DOUBLE) AS quantity_min, CAST(MAX(quantity) AS DOUBLE) AS quantity_max,
+  CAST(SUM(quantity) AS DOUBLE) AS quantity_sum FROM big""",
+    "S9, S10, W1: rows read, kept and written, drop rate and ranges observed in one write, as a nested document read back")
+def observed_metrics(spark, sf):
+    path = _folder(spark, "observed")
+    w = io.ObservedWrite()
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_quantity", "l_discount", "l_shipdate")
+    li = w.watch(li, "read", n_undated=F.count_if(F.col("l_shipdate").isNull()))
+    kept = w.watch(li.filter(F.col("l_discount").between(0.0, 0.08)), "kept")
+    q = F.col("quantity").cast("double")
+    big = kept.groupBy("l_orderkey").agg(F.sum(F.col("l_quantity").cast("decimal(20,2)")).alias("quantity"))
+    big = w.watch(big, "written", quantity_min=F.min(q), quantity_max=F.max(q), quantity_sum=F.sum("quantity").cast("double"))
+    w.write(big, f"{path}/data")
+    io.write_metrics(spark, w.document() | {"drop_rate": w.drop_rate("read", "kept")}, f"{path}/metrics")
+    point = "struct<n_rows:bigint"
+    doc = spark.read.schema(f"read {point},n_undated:bigint>, kept {point}>, written {point},quantity_min:double,"
+                            "quantity_max:double,quantity_sum:double>, drop_rate double").json(f"{path}/metrics")
+    return doc.selectExpr("read.n_rows AS read_rows", "read.n_undated AS read_undated", "kept.n_rows AS kept_rows", "drop_rate",
+                          "written.n_rows AS written_rows", "written.quantity_min", "written.quantity_max", "written.quantity_sum")

@@ -1,6 +1,5 @@
 """Sources and sinks (S1-S10) and the streaming append."""
 
-import json
 import os
 import tempfile
 
@@ -16,7 +15,7 @@ def test_csv_round_trip_with_schema(spark):
     rows = [("1", "A", "Pune", "R", "₹ 200", 4.0, 10, "a, \"b\"", "x\ny", 30.0)]
     df = spark.createDataFrame(rows, schemas.RAW_RESTAURANTS)
     io.write_csv(df, f"{d}/raw")
-    back = io.read_csv(spark, f"{d}/raw", schemas.RAW_RESTAURANTS).collect()
+    back = io.read_csv(spark, f"{d}/raw", schemas.RAW_RESTAURANTS, multi_line=True).collect()
     assert [tuple(r) for r in back] == rows
 
 
@@ -42,9 +41,10 @@ def test_metrics_json(spark):
     d = tempfile.mkdtemp(prefix="etafeat-io-")
     rep = spark.range(10).agg(F.count(F.lit(1)).alias("n"),
                               F.struct(F.min("id").alias("lo"), F.max("id").alias("hi")).alias("range"))
-    doc = io.write_metrics(rep, f"{d}/m.json")
+    doc = io.write_metrics(spark, rep, f"{d}/m.json")
     assert doc == {"n": 10, "range": {"lo": 0, "hi": 9}}
-    assert json.load(open(f"{d}/m.json")) == doc
+    assert io.read_metrics(spark, f"{d}/m.json") == doc
+    assert spark.read.json(f"{d}/m.json").select("range.hi").first()[0] == 9
 
 
 def test_streaming_append_exactly_once(spark):
@@ -82,3 +82,55 @@ def test_a_broken_attempt_is_replaced_and_not_read(spark, tmp_path):
         io.commit_batch(spark.range(1), path, "a/../b")
     with pytest.raises(FileNotFoundError):
         io.read_batches(spark, str(tmp_path / "nothing"))
+
+
+def test_observed_points_of_one_write(spark, tmp_path):
+    w = io.ObservedWrite()
+    rows = w.watch(spark.range(100), "read", top=F.max("id"))
+    kept = w.watch(rows.filter("id % 4 > 0"), "kept")
+    w.write(w.watch(kept.groupBy((F.col("id") % 10).alias("k")).count(), "written", n_all=F.sum("count")), str(tmp_path / "t"))
+    assert w.document() == {"read": {"n_rows": 100, "top": 99}, "kept": {"n_rows": 75}, "written": {"n_rows": 10, "n_all": 75}}
+    assert w.drop_rate("read", "kept") == 0.25
+    with pytest.raises(ValueError):
+        w.watch(rows, "read")
+
+
+def test_observed_write_of_no_rows(spark, tmp_path):
+    w = io.ObservedWrite()
+    empty = w.watch(spark.range(5).filter("id > 7"), "none", top=F.max("id"))
+    w.write(empty, str(tmp_path / "t"))
+    assert w.values("none") == {"n_rows": 0, "top": None} and w.drop_rate("none", "none") == 0
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 0
+
+
+LINES = ["id,price,name", '1,2.5,"a, ""b"""', "2,,", "x,1.0,c", "4,1.0", "5,1.0,d,e", "", '6,9,"open']
+
+
+def test_lenient_csv_keeps_bad_lines(spark, tmp_path):
+    (tmp_path / "in.csv").write_text("\n".join(LINES) + "\n", encoding="utf-8")
+    schema = io.StructType.fromDDL("id long, price double, name string")
+    good, bad, counts = io.read_csv_lenient(spark, str(tmp_path / "in.csv"), schema, str(tmp_path / "out"))
+    got = sorted(map(tuple, good.collect()))
+    assert got[:2] == [(1, 2.5, 'a, "b"'), (2, None, None)] and [r[0] for r in got] == [1, 2, 6]
+    assert sorted(r[0] for r in bad.collect()) == ["4,1.0", "5,1.0,d,e", "x,1.0,c"]
+    assert counts == {"n_rows": 6, "n_bad": 3, "bad_share": 0.5}
+    # the parts stay right when one column is read
+    assert good.select("name").count() == 3 and good.agg(F.sum("id")).first()[0] == 9
+
+
+def test_lenient_csv_of_an_empty_file(spark, tmp_path):
+    (tmp_path / "in.csv").write_text("id\n", encoding="utf-8")
+    good, bad, counts = io.read_csv_lenient(spark, str(tmp_path / "in.csv"), io.StructType.fromDDL("id long"), str(tmp_path / "out"))
+    assert good.collect() == [] and bad.collect() == [] and counts == {"n_rows": 0, "n_bad": 0, "bad_share": 0.0}
+
+
+def test_csv_is_read_by_lines_unless_asked(spark, tmp_path):
+    (tmp_path / "in.csv").write_text("a,b\n" + "1,2\n" * 400_000, encoding="utf-8")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "256k")
+    try:
+        lines = io.read_csv(spark, str(tmp_path / "in.csv"))
+        whole = io.read_csv(spark, str(tmp_path / "in.csv"), multi_line=True)
+        parts = lambda df: df.select(F.spark_partition_id().alias("p")).distinct().count()
+        assert parts(lines) > 1 and parts(whole) == 1 and lines.count() == 400_000
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")

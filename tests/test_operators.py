@@ -304,3 +304,17 @@ def test_posting_rows_are_linear_in_the_text(spark):
     for n in (500, 1000, 3000):
         posted = dm.postings(spark.createDataFrame([(long[:n],)], "piece string"), "piece").count()
         assert posted <= dm.GRAM * n
+
+
+def test_distinct_counts_and_sketches(spark):
+    from etafeat.operators import quality as qa
+    rows = spark.range(20_000).selectExpr("id % 7 AS a", "CASE WHEN id % 3 > 0 THEN CAST(id AS string) END AS b", "id / 2.0 AS c",
+                                          "id % 4 AS part")
+    got = qa.distinct_counts(rows, {"a": "a", "b": "b", "c": "c"})
+    assert got.first().asDict() == {"a": 7, "b": 13333, "c": 20_000}
+    assert "Expand" not in got._jdf.queryExecution().executedPlan().toString()
+    assert qa.distinct_counts(rows.filter("false"), {"a": "a"}).first().asDict() == {"a": 0}
+    parts = qa.distinct_sketches(rows, ["a", "b", "c"], by=["part"])
+    whole = qa.sketch_counts(parts, ["a", "b", "c"]).first()
+    assert whole.a == 7 and abs(whole.b / 13333 - 1) < 0.02 and abs(whole.c / 20_000 - 1) < 0.02
+    assert whole == qa.sketch_counts(qa.distinct_sketches(rows, ["a", "b", "c"]), ["a", "b", "c"]).first()

@@ -54,13 +54,41 @@ def test_stages_end_to_end(spark):
 
     out = pipeline.run_features(orders, rest, users, d, os.path.join(d, "features.json"))
     assert out["final_rows"] == 5 and out["train_rows"] + out["val_rows"] == 5
-    assert os.path.exists(os.path.join(d, "features.json"))
+    assert io.read_metrics(spark, os.path.join(d, "features.json")) == out
 
 
 def test_run_pipeline_writes_every_stage(spark):
     d = tempfile.mkdtemp(prefix="etafeat-run-")
-    io.write_csv(spark.createDataFrame(RAW, schemas.RAW_RESTAURANTS), f"{d}/raw")
-    docs = pipeline.run_pipeline(spark, f"{d}/raw", None, d, 50)
-    assert docs["restaurants"]["rows_written"] == 5 and docs["routes_quarantined"] == 0
+    raw = RAW + [("6", "Bandra", "Bombay", "No Time", "120", 4.5, 2000, "Street Food", "d", -1.0)]
+    io.write_csv(spark.createDataFrame(raw, schemas.RAW_RESTAURANTS), f"{d}/raw")
+    first = pipeline.run_clean(spark, f"{d}/raw", d)
+    rest = spark.read.parquet(f"{d}/restaurants_clean.parquet")
+    users = materialize(pipeline.users_stage(spark, rest, 50), "test_run_users")
+    routes = materialize(pipeline.routes_stage(spark, rest, users)[0], "test_run_routes")
+    r = routes.orderBy("route_key", "timestamp").first()
+    city, origin = r.route_key.split("_to_")[0].split("_", 1)
+    rid = rest.filter((F.col("city") == city) & (F.col("area") == origin)).first().restaurant_id
+    uid = users.orderBy("user_id").first().user_id
+    reqs = spark.createDataFrame([(f"o{m}", uid, rid, r.route_key, r.timestamp + dt.timedelta(minutes=m), 2) for m in range(3)],
+                                 "order_id string, user_id string, restaurant_id string, route_key string, ts timestamp_ntz, num_items int")
+    docs = pipeline.run_pipeline(spark, f"{d}/raw", reqs, d, 50)
+    doc = docs["restaurants"]
+    assert doc == first and doc["rows_written"] == 5 == doc["unique_restaurant_ids"] and doc["passed"]
+    assert doc["rows_read"] == 6 and abs(doc["drop_rate"] - 1 / 6) < 1e-12 and docs["routes_quarantined"] == 0
+    u = users.collect()
+    doc = docs["users"]
+    assert doc["total_users"] == 50 == doc["unique_user_ids"] == sum(doc["budget_segments"].values())
+    assert doc["geographic_bounds_check"]["lat_min"] == min(x.home_lat for x in u)
+    assert abs(doc["avg_fav_cuisines"] - sum(len([c for c in x.fav_cuisines.split(",") if c]) for x in u) / 50) < 1e-9
+    n = routes.count()
+    doc = docs["routes"]
+    assert doc["total_rows_generated"] == n == doc["total_routes"] * doc["total_timestamps"]
+    doc, o = docs["orders"], spark.read.parquet(f"{d}/orders.parquet").collect()
+    assert doc["total_orders"] == 3 and doc["unique_routes"] == 1
+    assert abs(doc["completion_rate"] + doc["delayed_rate"] + doc["cancelled_rate"] - 1) < 1e-12
+    assert doc["delivery_time_range"]["max"] == max(x.actual_delivery_time_min for x in o)
+    assert docs["features"]["final_rows"] == 3
+    for name in ("users", "routes", "orders", "features"):
+        assert io.read_metrics(spark, f"{d}/{name}.json") == docs[name]
     for name in ("restaurants_clean", "users", "routes_eta"):
         assert spark.read.parquet(f"{d}/{name}.parquet").count() > 0

@@ -10,7 +10,8 @@ BAD = ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNeste
 # queries that join a one-row aggregate (a total, a span, a prior, a split cut) by nested loop
 SCALAR = {"location_weights", "weighted_pick", "favourite_cuisines", "request_capacity", "demand_profile", "completeness",
           "hour_completeness", "segment_shares", "target_encode_rows", "target_encode_strict", "feature_matrix",
-          "feature_validation", "feature_report", "time_split", "users_report", "routes_report", "affinity_topk"}
+          "feature_validation", "feature_report", "time_split", "users_report", "routes_report", "affinity_topk",
+          "orders_report", "restaurant_report"}
 
 
 def plan_of(df):
@@ -38,3 +39,8 @@ def test_feature_matrix_shuffles_bounded(spark, sf):
     plan = plan_of(QUERIES["feature_matrix"](spark, sf))
     # every ordered feature has a small per-bucket aggregate beside its running sum
     assert plan.count("Exchange hashpartitioning") <= 28
+
+
+@pytest.mark.parametrize("name", ["orders_report", "users_report", "routes_report", "restaurant_report", "distinct_counts"])
+def test_reports_copy_no_rows(spark, sf, name):
+    assert "Expand" not in plan_of(QUERIES[name](spark, sf))
