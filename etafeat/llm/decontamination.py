@@ -10,8 +10,13 @@ are grouped by (document, item, offset between the two), which aligns them.
 
 A document is contaminated by an item if one alignment holds ``need`` matched
 windows (or all, if the item has fewer) and either that many agree in every
-slot value too (a copy), or the slot values of all of them map one to one
-between item and document (a re-parameterised question).
+slot value too (a copy), or its slots are consistent (a re-parameterised
+question). Names and units are identities: they must map one to one between item
+and document. Numbers are parameters: two that are equal in one text may differ
+in the other, so with ``need`` windows they are free; where an item has fewer
+windows, they must map one to one as well. An operator sign between two numbers
+is a literal word, so that expressions have templates; other lone signs are not
+words.
 
 Defined results: items with the same template and values are one, named by the
 smallest id. Items of fewer template words than a window are matched by one
@@ -34,7 +39,7 @@ import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark import Broadcast
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from etafeat.llm import ngrams
@@ -51,7 +56,8 @@ UNITS = frozenset(
     b"degree degrees mph kmh kb mb gb tb w kw v a hz j n pa".split())
 NUMBER = re.compile(rb"[$\xe2\x82\xac\xc2\xa3+-]*(\d[\d.,:/]*)(%|[A-Za-z\xc2-\xf4\x80-\xbf]*)")
 EDGE = re.compile(rb"^[\x21-\x2F\x3A-\x40\x5B-\x60\x7B-\x7E]+|[\x21-\x2F\x3A-\x40\x5B-\x60\x7B-\x7E]+$")
-NONE, LITERAL, NUM, NAME, UNIT = 0, 1, 2, 3, 4
+NONE, LITERAL, NUM, NAME, UNIT, SIGN = 0, 1, 2, 3, 4, 5
+SIGNS = frozenset([b"+", b"-", b"*", b"/", b"=", b"^", b"<", b">"] + [c.encode() for c in "×÷−"])
 CODE = {NUM: 0x9E3779B97F4A7C15, NAME: 0xC2B2AE3D27D4EB4F, UNIT: 0x165667B19E3779F9}
 MULTIPLIER = np.uint64(0xD6E8FEB86659FD93)
 
@@ -61,7 +67,10 @@ def classify(word: bytes) -> tuple[int, int, int]:
     if word.isalpha() and word.islower():  # ASCII
         value = xxhash.xxh64_intdigest(word)
         return (UNIT if word in UNITS else LITERAL), value, value
-    if m := NUMBER.fullmatch(word.rstrip(b".,;:!?)*#$&\"'")):
+    if word in SIGNS:
+        value = xxhash.xxh64_intdigest(word)
+        return SIGN, value, value
+    if m := NUMBER.fullmatch(word.rstrip(b".,;:!?)*#$&\"'").lstrip(b"([\"'")):
         unit = m[2].lower()
         return NUM, CODE[NUM] ^ (xxhash.xxh64_intdigest(unit) if unit else 0), xxhash.xxh64_intdigest(m[1].rstrip(b".,:/"))
     core = EDGE.sub(b"", word)
@@ -106,6 +115,15 @@ def templates(texts: list[bytes], memo: Classified) -> tuple[np.ndarray, np.ndar
     kind = memo.kind[at]
     own = kind != NONE
     at, doc, kind = at[own], doc[own], kind[own]
+    sign = kind == SIGN  # a sign only between two numbers, the first perhaps with its unit
+    if sign.any():
+        before, after = np.zeros(len(kind), bool), np.zeros(len(kind), bool)
+        same = doc[1:] == doc[:-1]
+        before[1:] = ((kind[:-1] == NUM) | (kind[:-1] == UNIT)) & same
+        after[:-1] = (kind[1:] == NUM) & same
+        kind[sign & before & after] = LITERAL
+        own = kind != SIGN
+        at, doc, kind = at[own], doc[own], kind[own]
     code, value = memo.code[at], memo.value[at]
     unit = kind == UNIT  # a unit only right after a number
     after = np.zeros(len(kind), bool)
@@ -235,12 +253,16 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, need: int = NEED) -> Dat
         found(F.lit(True)).alias("n_windows"), found(F.col("equal")).alias("n_equal"),
         found(F.col("template")).alias("t_windows"), found(F.col("template") & F.col("equal")).alias("t_equal"),
         F.array_distinct(F.flatten(F.collect_set("mapping"))).alias("slots"))
-    one_way = lambda side: F.size(F.array_distinct(F.transform("slots", lambda x: F.struct(x["kind"], x[side]))))
-    one_to_one = (one_way("item") == F.size("slots")) & (one_way("doc") == F.size("slots"))
+    def one_to_one(slots: Column) -> Column:
+        values = lambda side: F.size(F.array_distinct(F.transform(slots, lambda x: F.struct(x["kind"], x[side]))))
+        return (values("item") == F.size(slots)) & (values("doc") == F.size(slots))
+
+    consistent = (one_to_one(F.filter("slots", lambda x: x["kind"] != NUM))
+                  & ((F.col("t_windows") >= need) | one_to_one(F.col("slots"))))
     enough = lambda n, of: (F.col(of) > 0) & (F.col(n) >= F.least(F.lit(need), F.col(of)))
     aligned = aligned.withColumn("kind", F.when(
         enough("n_equal", "item_windows") | enough("t_equal", "item_templates"), "copy").when(
-        enough("t_windows", "item_templates") & one_to_one, "variant")).filter("kind is not null")
+        enough("t_windows", "item_templates") & consistent, "variant")).filter("kind is not null")
     best = aligned.groupBy("id", "row", "item_id", "item_windows").agg(
         F.max(F.struct("n_equal", "n_windows", "kind")).alias("b"))
     return best.select(F.col("id").alias("doc_id"), "row", "item_id", F.col("b.n_windows").alias("n_windows"),
