@@ -9,14 +9,21 @@ bits a pass, until it holds one hash value. Nothing is sorted, a histogram has
 at most 1024 rows a source however many documents it has, and a larger budget
 always takes a superset of what a smaller one takes.
 
+The hash covers id and text. Where the budget ends among rows that are equal in
+both, the same descent runs over those rows' numbers in the written table, so that
+as many of them are taken as come nearest to the target, however many there are.
+
 Defined results: a NULL or empty text has size 0. A NULL source is a source of
-its own, after all others. The hash covers id and text, so rows that are equal
-in both are taken together or not at all; a document is taken whole or not.
-Only ``doc_id``, ``source`` and ``text`` are read.
+its own, after all others. A document is taken whole or not, a very long one too.
+Of equal rows any may be the ones that are taken; how many does not depend on the
+run. An empty table gives an empty result. Only ``doc_id``, ``source`` and ``text``
+are read; other columns, whatever their names, reach the stage's result unchanged.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -63,44 +70,67 @@ def targets(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float =
         "source", "source_size", F.least("cap", F.col("level") * F.col("weight")).alias("target"))
 
 
-def thresholds(sized: DataFrame, plan: DataFrame) -> DataFrame:
-    """(source, whole, below): how often each source is taken whole, and the hash
-    below which its documents are taken once more."""
-    whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
-    rest = F.col("target") - whole * F.col("source_size")
-    cut = plan.select("source", whole.alias("whole"), rest.alias("rest"), F.lit(0).cast("long").alias("prefix"),
-                      F.when(rest <= 0, F.lit(0).cast("long")).alias("below"))
+def boundary(rows: DataFrame, budgets: DataFrame, key: str) -> DataFrame:
+    """(source, below, left): rows of ``rows`` (source, size, ``key``) with a key under
+    ``below`` are within the source's budget, and ``left`` of it remains for the rows at
+    ``below`` itself. ``budgets`` is (source, rest); a budget of 0 or less takes nothing.
+    """
+    cut = budgets.select("source", "rest", F.lit(0).cast("long").alias("prefix"),
+                         F.when(F.col("rest") <= 0, F.lit(0).cast("long")).alias("below"), F.lit(0.0).alias("left"))
     for shift in range(BITS - STEP, -1, -STEP):
         # of each source that is open still: its boundary bucket, dealt into 1024
         todo = cut.filter("below is null").select(F.col("source").alias("s"), "prefix", "rest")
-        inside = sized.join(todo, F.col("source").eqNullSafe(F.col("s"))
-                            & (F.shiftright("h", shift + STEP) == F.col("prefix")))
-        by = (inside.groupBy("s", "rest", F.shiftright("h", shift).alias("at"))
-              .agg(F.sum("size").alias("words"), (F.min("h") == F.max("h")).alias("one")))
+        inside = rows.select("source", "size", F.col(key).alias("key")).join(
+            todo, F.col("source").eqNullSafe(F.col("s")) & (F.shiftright("key", shift + STEP) == F.col("prefix")))
+        by = (inside.groupBy("s", "rest", F.shiftright("key", shift).alias("at"))
+              .agg(F.sum("size").alias("words"), F.min("key").alias("least"), F.max("key").alias("most")))
         upto = F.sum("words").over(Window.partitionBy("s").orderBy("at"))
-        ends = (by.withColumn("left", F.col("rest") - (upto - F.col("words")))
-                .filter("left >= 0 and left < words").select("s", "at", "left", "words", "one"))
-        below = (F.when(F.col("at").isNull(), F.shiftleft(F.col("prefix") + 1, shift + STEP))  # all of it fits
-                 # one hash value: in if that comes nearer to the budget
-                 .when(F.col("one"), F.shiftleft(F.col("at") + (2 * F.col("left") >= F.col("words")).cast("long"), shift)))
+        ends = (by.withColumn("over", F.col("rest") - (upto - F.col("words")))
+                .filter("over >= 0 and over < words")
+                .select("s", "at", "over", F.when(F.col("least") == F.col("most"), F.col("least")).alias("one")))
+        full = F.shiftleft(F.col("prefix") + 1, shift + STEP)  # all of the bucket fits
         cut = materialize(cut.join(ends, F.col("source").eqNullSafe(F.col("s")), "left").select(
-            "source", "whole", F.coalesce("left", "rest").alias("rest"), F.coalesce("at", "prefix").alias("prefix"),
-            F.coalesce("below", below).alias("below")), "cuts")
+            "source", F.coalesce("over", "rest").alias("rest"), F.coalesce("at", "prefix").alias("prefix"),
+            F.coalesce("below", F.when(F.col("at").isNull(), full).otherwise(F.col("one"))).alias("below"),
+            F.coalesce("over", "left").alias("left")), "cuts")
         if cut.filter("below is null").isEmpty():
             break
-    return cut.select("source", "whole", "below")
+    return cut.select("source", "below", "left")
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:
-    """(doc_id, source, h, size, source_size, target, taken): a row per row of ``docs``."""
-    sized = materialize(docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), row_hash().alias("h")), "sized")
+def thresholds(sized: DataFrame, plan: DataFrame) -> DataFrame:
+    """(source, whole, below, upto): how often each source is taken whole; once more go the
+    rows whose hash is under ``below``, and of those at ``below`` the ones numbered under ``upto``."""
+    whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
+    plan = plan.withColumn("whole", whole).withColumn("rest", F.col("target") - F.col("whole") * F.col("source_size"))
+    cuts = boundary(sized, plan, "h").select(F.col("source").alias("c_source"), "below", "left")
+    here = F.col("source").eqNullSafe(F.col("c_source"))
+    equal = materialize(sized.join(cuts.filter("left > 0"), here & (F.col("h") == F.col("below"))).select(
+        "source", "size", "number"), "equal")
+    ends = boundary(equal, cuts.filter("left > 0").select(F.col("c_source").alias("source"), F.col("left").alias("rest")), "number")
+    last = equal.select(F.col("source").alias("e_source"), "size", "number")
+    # the row in which the budget ends: in if that comes nearer to the budget
+    ends = ends.join(last, F.col("source").eqNullSafe(F.col("e_source")) & (F.col("number") == F.col("below")), "left").select(
+        F.col("source").alias("e_source"), (F.col("below") + F.coalesce(2 * F.col("left") >= F.col("size"), F.lit(False)).cast("long")).alias("upto"))
+    return (plan.join(cuts, here).join(ends, F.col("source").eqNullSafe(F.col("e_source")), "left")
+            .select("source", "whole", "below", F.coalesce("upto", F.lit(0)).alias("upto")))
+
+
+def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: int = MOST,
+        carried: Sequence[str] = ()) -> DataFrame:
+    """(doc_id, source, h, size, source_size, target, taken): a row per row of ``docs``, with its
+    columns ``carried`` in a struct ``row`` if any are named."""
+    row = [F.struct(*[F.col(f"`{c}`") for c in carried]).alias("row")] if carried else []
+    sized = materialize(docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), row_hash().alias("h"),
+                                    F.monotonically_increasing_id().alias("number"), *row), "sized")
     plan = materialize(targets(sized, weights, share, most), "targets")
     cuts = thresholds(sized, plan)
     per = plan.join(cuts.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s"))).select(
-        "s", "source_size", "target", "whole", "below")
+        "s", "source_size", "target", "whole", "below", "upto")
+    more = (F.col("h") < F.col("below")) | ((F.col("h") == F.col("below")) & (F.col("number") < F.col("upto")))
     return sized.join(per, F.col("source").eqNullSafe(F.col("s"))).select(
         "doc_id", "source", "h", "size", "source_size", "target",
-        (F.col("size") * (F.col("whole") + (F.col("h") < F.col("below")).cast("long"))).alias("taken"))
+        (F.col("size") * (F.col("whole") + more.cast("long"))).alias("taken"), *(["row"] if carried else []))
 
 
 def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,11 +141,8 @@ def mixed_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Pipeline stage: the documents the mix takes, with ``copies`` (how often) and
     ``taken`` (words). An input column of either name is replaced."""
     own = [c for c in docs.columns if c not in ("copies", "taken")]
-    got = mix(docs).filter("taken > 0").select(
-        F.col("doc_id").alias("m_id"), F.col("source").alias("m_source"), "h", "size", "taken").distinct()
-    return (docs.alias("d").join(got.alias("m"), F.col("d.doc_id").eqNullSafe(F.col("m.m_id"))
-                                 & F.col("d.source").eqNullSafe(F.col("m.m_source")) & (row_hash("d.doc_id", "d.text") == F.col("m.h")))
-            .select(*[F.col(f"d.`{c}`") for c in own], F.expr("m.taken div m.size").alias("copies"), F.col("m.taken")))
+    return mix(docs, carried=own).filter("taken > 0").select(
+        *[F.col(f"row.`{c}`") for c in own], F.expr("taken div size").alias("copies"), "taken")
 
 
 SQL = r"""
@@ -139,11 +166,9 @@ rest AS (
   SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END::BIGINT AS whole FROM plan),
 ranked AS (
   SELECT s.*, p.source_size, p.target, p.whole, p.target - p.whole * p.source_size AS rest,
-         sum(s.size) OVER (PARTITION BY s.source, s.h) AS own,
-         sum(s.size) OVER (PARTITION BY s.source ORDER BY s.h) AS upto
+         sum(s.size) OVER (PARTITION BY s.source ORDER BY s.h ROWS UNBOUNDED PRECEDING) - s.size AS before
   FROM sized s JOIN rest p ON s.source IS NOT DISTINCT FROM p.source)
 SELECT doc_id, size, source_size, target,
-       (size * (whole + CASE WHEN rest > 0 AND (upto <= rest OR (upto - own <= rest AND 2 * (rest - (upto - own)) >= own))
-                             THEN 1 ELSE 0 END))::BIGINT AS taken
+       (size * (whole + CASE WHEN rest > 0 AND before <= rest AND 2 * (rest - before) >= size THEN 1 ELSE 0 END))::BIGINT AS taken
 FROM ranked
 """
