@@ -1,18 +1,20 @@
 """Line dedup (operator 8, DataFrame functions only).
 
 Every line of at least ``min_chars`` characters that occurs in two documents or
-more stays only in the first of them. Line keys are 128-bit hashes, range
-partitioned by (key, document, position): a key that a third of all rows share
-spans as many range partitions as it needs, and no task holds it whole. Within
-the sorted partitions a streaming aggregate leaves one first occurrence per key
-and partition, so the second shuffle carries keys, not lines. The result is a
-bitmap per document, not text: 64 lines a word, words without a dropped line
-left out.
+more stays only in the first of them. Line keys are 128-bit hashes, parsed once
+and written, then range partitioned by (key, document, position): a key that a
+third of all rows share spans as many range partitions as it needs, and no task
+holds it whole. Inside the sorted partitions a sort aggregate streams over the
+rows, one key in memory at a time, and leaves a first occurrence per key and
+partition; only those meet again, so that a key which runs over the edge of a
+partition has one first. The result is a bitmap per document, not text: 64 lines
+a word, as far as the last word with a dropped line.
 
 Defined results: a NULL or empty text is one empty line. Rows that share
 ``doc_id`` are one document (a line cannot be dropped in favour of another row
 of the same document). Rows with a NULL ``doc_id`` count as one document that
-comes after all others. Input columns other than the two named are ignored.
+comes after all others. An empty table gives an empty result. A very long text is
+split and joined in linear time. Input columns other than the two named are ignored.
 """
 
 from __future__ import annotations
@@ -23,6 +25,7 @@ from pyspark.sql import functions as F
 from etafeat.llm.common import SPACES, lower_ascii, materialize, table
 
 LAST_DOC = (1 << 63) - 1
+SORTED = "spark.sql.execution.replaceHashWithSortAgg"  # aggregate sorted input without a hash table
 
 
 def _lines(text: Column) -> Column:
@@ -39,22 +42,47 @@ def line_keys(docs: DataFrame, min_chars: int = 10) -> DataFrame:
             .select(F.xxhash64("key").alias("h1"), F.xxhash64(F.lit("line"), "key").alias("h2"), "doc", "row", "pos"))
 
 
+def first_lines(lines: DataFrame) -> DataFrame:
+    """(h1, h2, first): the first document of every key that two documents or more hold.
+
+    With ``SORTED`` set, Spark aggregates the sorted partitions as a stream. The order
+    matters to ``min_by``, not to ``min``: for that alone the sort would be left out.
+    """
+    order = ["h1", "h2", "doc", "pos"]
+    ordered = lines.repartitionByRange(*order).sortWithinPartitions(*order)
+    return (ordered.groupBy("h1", "h2").agg(F.min_by("doc", "doc").alias("first"), F.max("doc").alias("last"))
+            .filter("first < last").select("h1", "h2", "first"))
+
+
+def _write_first_lines(lines: DataFrame) -> DataFrame:
+    conf = lines.sparkSession.conf
+    was = conf.get(SORTED)
+    conf.set(SORTED, "true")
+    try:
+        return materialize(first_lines(lines), "first-lines")
+    finally:
+        conf.set(SORTED, was)
+
+
 def keep_bitmaps(docs: DataFrame, min_chars: int = 10) -> DataFrame:
     """(doc, row, keep): documents that lose lines, with their keep bitmap.
 
-    ``keep`` maps a word number (position div 64) to its 64 keep bits; a word
-    that is missing keeps all its lines. ``row`` is the hash of the row's text.
+    Element ``i div 64`` of ``keep`` holds the keep bits of line ``i`` and its
+    neighbours; lines after the last element stay. ``row`` is the hash of the row's text.
     """
-    order = ["h1", "h2", "doc", "pos"]
-    lines = materialize(line_keys(docs, min_chars).repartitionByRange(*order).sortWithinPartitions(*order), "lines")
-    first = (lines.groupBy("h1", "h2").agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
-             .filter("first < last").select("h1", "h2", "first"))
-    first = materialize(first, "first-lines")  # as a table of its own, so that AQE can split hot keys in the join
+    lines = materialize(line_keys(docs, min_chars), "lines")
+    first = _write_first_lines(lines)  # a table of its own, so that AQE can split hot keys in the join
     bit = F.expr("shiftleft(1L, pos % 64)")
     words = (lines.join(first, ["h1", "h2"]).filter("doc > first")
              .groupBy("doc", "row", F.expr("pos div 64").cast("int").alias("word"))
              .agg(F.bitwise_not(F.bit_or(bit)).alias("bits")))
-    return words.groupBy("doc", "row").agg(F.map_from_entries(F.collect_list(F.struct("word", "bits"))).alias("keep"))
+    words = words.groupBy("doc", "row").agg(F.sort_array(F.collect_list(F.struct("word", "bits"))).alias("words"))
+
+    def filled(w: Column, i: Column) -> Column:  # with words that keep all their lines before it
+        before = F.coalesce(F.get("words", i - 1)["word"], F.lit(-1))
+        return F.concat(F.array_repeat(F.lit(-1).cast("long"), w["word"] - before - 1), F.array(w["bits"]))
+
+    return words.select("doc", "row", F.flatten(F.transform("words", filled)).alias("keep"))
 
 
 def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
@@ -67,9 +95,9 @@ def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
         & (F.xxhash64(text) == F.col("b.row")), "left")
     lines = _lines(F.col("d.text"))
     kept = F.filter(lines, lambda _, i: F.coalesce(
-        F.try_element_at(F.col("b.keep"), F.floor(i / 64).cast("int")), F.lit(-1)).bitwiseAND(
+        F.get(F.col("b.keep"), F.shiftright(i, 6)), F.lit(-1)).bitwiseAND(
             F.call_function("shiftleft", F.lit(1).cast("long"), i % 64)) != 0)
-    n_dropped = F.coalesce(F.aggregate(F.map_values("b.keep"), F.lit(0).cast("long"),
+    n_dropped = F.coalesce(F.aggregate("b.keep", F.lit(0).cast("long"),
                                        lambda s, x: s + F.bit_count(F.bitwise_not(x))), F.lit(0))
     return got.select(*own, F.size(lines).cast("long").alias("n_lines"), n_dropped.cast("long").alias("n_dropped"),
                       F.when(F.col("b.keep").isNull(), text).otherwise(F.array_join(kept, "\n")).alias("kept_text"))

@@ -58,3 +58,26 @@ def test_no_rows_and_clashing_columns(documents, spark):
     assert got.columns == docs.columns
     rows = {r.doc_id: r for r in got.collect()}
     assert rows[2].text == "x" and rows[2].n_chars == 1 and rows[2].doc == "mine" and rows[1].text == "one shared line here"
+
+
+def test_first_occurrences_are_streamed_over_sorted_partitions(documents, spark):
+    lines = op.line_keys(documents([(i, "a line that is shared\nown line %d here" % i) for i in range(50)]))
+    was = spark.conf.get(op.SORTED)
+    spark.conf.set(op.SORTED, "true")
+    try:
+        plan = op.first_lines(lines)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(op.SORTED, was)
+    assert "SortAggregate" in next(x for x in plan.splitlines() if "partial_min" in x), plan
+
+
+def test_long_documents_with_sparse_repeats(documents):
+    """Words without a dropped line lie between, before and after words with one."""
+    own = [f"line {i} of the long text" for i in range(3000)]
+    rows = [(1, "\n".join(own[i] for i in (64, 65, 1000, 2047))), (2, "\n".join(own)), (3, "\n".join(own[:130] + ["end of document three"]))]
+    assert result(documents(rows)) == brute(rows)
+
+
+def test_lines_of_one_key_at_100000_lines_are_linear(documents):
+    rows = [(1, "the line of both documents"), (2, "\n".join(["the line of both documents", "x"] * 100_000))]
+    assert result(documents(rows)) == brute(rows)
