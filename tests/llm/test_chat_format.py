@@ -10,40 +10,64 @@ from etafeat.llm import chat_format as op
 SCHEMA = "conv_id long, turn long, role string, text string"
 
 
+def sentences(text: str) -> list[str]:
+    """Words up to one that ends in a full stop, question or exclamation mark, perhaps inside marks."""
+    out = [[]]
+    for word in text.split(" "):
+        out[-1].append(word)
+        if any(word[len(word) - k - 1:][:1] in tuple(".!?…") and all(c in "\"'”’)]" for c in word[len(word) - k:])
+               for k in range(3) if len(word) > k):
+            out.append([])
+    return [" ".join(x) for x in out if x]
+
+
 def brute(rows: list[tuple]) -> list[tuple]:
     """(conv, turn, text, parent, thread, n_quotes, n_linked) in plain Python; one row a turn."""
-    parsed = {}
+    parsed, said = {}, {}
     for conv, turn, _, text in rows:
         lines = []
         for raw in re.split(r"\r?\n", text or ""):
             marks = re.match(r"(?:[ \t]*>)*", raw)[0]
-            lines.append((marks.count(">"), raw, re.sub(r"\s+", " ", raw[len(marks):]).strip().lower()))
+            lines.append((marks.count(">"), raw, " ".join(raw[len(marks):].split()).lower()))
+        wrote = {i for i, (level, raw, _) in enumerate(lines) if level == 0 and re.search(op.WROTE, raw)
+                 and i + 1 < len(lines) and lines[i + 1][0] > 0}
         runs = []
-        for level, _, body in lines:
+        for i, (level, _, body) in enumerate(lines):
             if not runs or runs[-1][0] != level:
-                runs.append((level, []))
-            if body:
-                runs[-1][1].append(body)
-        units = {(level, " ".join(b), True) for level, b in runs} | {(level, x, False) for level, b in runs if len(b) > 1 for x in b}
-        own = [raw for i, (level, raw, _) in enumerate(lines) if level == 0 and not (
-            re.search(op.WROTE, raw) and i + 1 < len(lines) and lines[i + 1][0] > 0)]
-        parsed[conv, turn] = {u for u in units if len(u[1]) >= op.SHORTEST}, "\n".join(own).strip("\n"), sum(r[0] > 0 for r in runs)
-    said = {}
-    for (conv, turn), (units, _, _) in parsed.items():
-        for level, body, _ in units:
-            if level == 0:
-                said[conv, body] = min(said.get((conv, body), turn), turn)
+                runs.append((level, [[]]))
+            if body and i not in wrote:
+                runs[-1][1][-1].append(body)
+            else:
+                runs[-1][1].append([])
+        runs = [(level, [p for p in ps if p]) for level, ps in runs]
+        quotes, own = [], []
+        for level, ps in runs:
+            parts = {(2, x) for p in ps for x in p + sentences(" ".join(p))} | {(1, " ".join(p)) for p in ps}
+            parts = {(k, x) for k, x in parts if len(x) >= op.SHORTEST}
+            whole = " ".join(x for p in ps for x in p)
+            if level:
+                quotes.append((level, parts | {(0, whole)} - {(0, "")}))
+            else:
+                own.append(whole)
+                for x in {x for _, x in parts} | ({whole} if len(whole) >= op.SHORTEST else set()):
+                    said[conv, x] = min(said.get((conv, x), turn), turn)
+        message = " ".join(x for x in own if x)
+        if message:
+            said[conv, message] = min(said.get((conv, message), turn), turn)
+        kept = "\n".join(raw for i, (level, raw, _) in enumerate(lines) if level == 0 and i not in wrote).strip("\n")
+        parsed[conv, turn] = quotes, kept
     parent, linked = {}, {}
-    for (conv, turn), (units, _, _) in parsed.items():
-        found = [(level, not whole, -said[conv, body]) for level, body, whole in units if level and said.get((conv, body), turn) < turn]
+    for (conv, turn), (quotes, _) in parsed.items():
+        found = [min([(level, kind, -said[conv, x]) for kind, x in parts if said.get((conv, x), turn) < turn], default=None)
+                 for level, parts in quotes]
+        found = [x for x in found if x]
         if found:
-            parent[conv, turn] = -min(found)[2]
-            linked[conv, turn] = sum(not line for _, line, _ in found)
+            parent[conv, turn], linked[conv, turn] = -min(found)[2], len(found)
     def thread(conv, turn):
         while (conv, turn) in parent:
             turn = parent[conv, turn]
         return turn
-    return sorted((c, t, x[1], parent.get((c, t)), thread(c, t), x[2], linked.get((c, t), 0)) for (c, t), x in parsed.items())
+    return sorted((c, t, x[1], parent.get((c, t)), thread(c, t), len(x[0]), linked.get((c, t), 0)) for (c, t), x in parsed.items())
 
 
 def result(df) -> list[tuple]:
@@ -56,8 +80,9 @@ def dialogue(seed: int, conv: int, n: int) -> list[tuple]:
     rng = random.Random(seed)
     said, rows = [], []
     for t in range(n):
-        own = [" ".join(rng.choice("alpha beta gamma delta epsilon zeta eta theta".split()) for _ in range(rng.randint(2, 6))) + f" {rng.randint(0, 60)}"
+        own = [" ".join(rng.choice("alpha beta. gamma delta! epsilon zeta?) eta theta".split()) for _ in range(rng.randint(1, 6))) + f" {rng.randint(0, 60)}"
                for _ in range(rng.randint(1, 3))]
+        own = [x for line in own for x in ([line, ""] if rng.random() < 0.2 else [line])]
         lines = []
         if said and rng.random() < 0.7:
             lines += ["On Monday Anna wrote:"] if rng.random() < 0.5 else []
@@ -104,3 +129,34 @@ def test_written_conversations_are_in_reply_order(spark, tmp_path):
     op.write_conversations(spark.createDataFrame(rows, SCHEMA), f"{tmp_path}/chat")
     text = "\n".join(r.value for r in spark.read.option("wholetext", False).text(f"{tmp_path}/chat").coalesce(1).collect())
     assert [x for x in text.split("\n") if x and "<|" not in x] == ["how do i bake bread", "with flour", "what about the weather", "it rains"]
+
+
+MAIL = """We met on Monday in the old town hall. The roof has to be mended
+before winter, and two firms have sent offers.
+
+The first offer is cheaper but the work
+takes until March.
+
+Please tell me by Friday which one you prefer."""
+
+
+def test_quoted_mail(spark):
+    rows = [
+        (1, 0, "user", MAIL),
+        (1, 1, "user", "Yes!"),
+        # one sentence out of a longer line, over a line break
+        (1, 2, "user", "> The roof has to be mended before winter, and two\n> firms have sent offers.\nWhich firms?"),
+        # a short message as a whole
+        (1, 3, "user", "> Yes!\nYes to what?"),
+        # two of three paragraphs in other line breaks
+        (1, 4, "user", "On Monday Anna wrote:\n> The first offer is cheaper but the work takes until\n> March.\n>\n> Please tell me by\n> Friday which one you prefer.\nThe cheaper one."),
+        # a short word that is nobody's whole message, and a nested quote
+        (1, 5, "user", "> March.\nNot in spring?"),
+        (1, 6, "user", "> > Yes!\n> Yes to what?\nTo the roof."),
+    ]
+    got = {r.turn: r for r in op.link_quotes(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert {t: r.parent_turn for t, r in got.items()} == {0: None, 1: None, 2: 0, 3: 1, 4: 0, 5: None, 6: 3}
+    assert {t: r.thread_turn for t, r in got.items()} == {0: 0, 1: 1, 2: 0, 3: 1, 4: 0, 5: 5, 6: 1}
+    assert got[4].text == "The cheaper one." and (got[4].n_quotes, got[4].n_linked) == (1, 1) and (got[6].n_quotes, got[6].n_linked) == (2, 2)
+    assert (got[5].n_quotes, got[5].n_linked) == (1, 0)
+    assert result(spark.createDataFrame(rows, SCHEMA)) == brute(rows)
