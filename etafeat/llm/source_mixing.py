@@ -127,6 +127,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHAR
     cuts = thresholds(sized, plan)
     per = plan.join(cuts.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s"))).select(
         "s", "source_size", "target", "whole", "below", "upto")
+    per = materialize(per, "per-source")  # of known size, so that Spark need not deal all rows by source
     more = (F.col("h") < F.col("below")) | ((F.col("h") == F.col("below")) & (F.col("number") < F.col("upto")))
     return sized.join(per, F.col("source").eqNullSafe(F.col("s"))).select(
         "doc_id", "source", "h", "size", "source_size", "target",
