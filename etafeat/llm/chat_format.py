@@ -59,15 +59,19 @@ def _attribution(lines: Column, x: Column, i: Column) -> Column:
     return x["raw"].rlike(WROTE) & (x["level"] == 0) & (F.coalesce(F.get(lines, i + 1)["level"], F.lit(0)) > 0)
 
 
-def _passages(lines: Column) -> Column:
-    """Runs of one level as (level, text), in order: text has a body a line, attribution lines are blank."""
-    said = F.transform(lines, lambda x, i: F.when(_attribution(lines, x, i), F.lit("")).otherwise(x["body"]))
+def _bodies(lines: Column) -> Column:
+    """The lines' bodies, attribution lines blank."""
+    return F.transform(lines, lambda x, i: F.when(_attribution(lines, x, i), F.lit("")).otherwise(x["body"]))
+
+
+def _passages(lines: Column, bodies: Column) -> Column:
+    """Runs of one level as (level, text), in order: text has a body a line."""
     first = F.filter(F.sequence(F.lit(1), F.size(lines)), lambda i: (i == 1) | (
         F.element_at(lines, i)["level"] != F.element_at(lines, F.greatest(i - 1, F.lit(1)))["level"]))
     after = F.concat(F.slice(first, 2, F.size(first)), F.array(F.size(lines) + 1))
     return F.transform(F.arrays_zip(first.alias("a"), after.alias("b")), lambda r: F.struct(
         F.element_at(lines, r["a"])["level"].alias("level"),
-        F.btrim(F.array_join(F.slice(said, r["a"], r["b"] - r["a"]), "\n"), F.lit("\n")).alias("text")))
+        F.btrim(F.array_join(F.slice(bodies, r["a"], r["b"] - r["a"]), "\n"), F.lit("\n")).alias("text")))
 
 
 def _joined(text: Column) -> Column:
@@ -104,7 +108,8 @@ def link_quotes(messages: DataFrame) -> DataFrame:
     """``messages`` (conv_id, turn, role, text) with ``text`` freed of quotes, ``parent_turn``
     (NULL: no reply), ``thread_turn``, ``n_quotes`` and ``n_linked``."""
     lines = messages.select("conv_id", "turn", "role", _lines(F.col("text")).alias("lines"))
-    parts = lines.withColumn("passages", _passages(F.col("lines")))
+    bodies = lines.withColumn("bodies", _bodies(F.col("lines")))  # a column: inside a lambda it would be made anew for each passage
+    parts = bodies.withColumn("passages", _passages(F.col("lines"), F.col("bodies")))
     quotes = F.filter("passages", lambda p: p["level"] > 0)
     parsed = materialize(parts.select(
         "conv_id", "turn", "role", _own_text(F.col("lines")).alias("text"), F.size(quotes).cast("long").alias("n_quotes"),
