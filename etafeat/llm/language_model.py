@@ -4,14 +4,19 @@ Every token belongs to a class: the most frequent words have one each, the end o
 text and a word that repeats the one before it have one, and all other words
 share ``GROUPS`` classes. Those come from word endings: hashed endings with like
 neighbours (counted over all training text) are clustered. A token's probability
-is that of its class given the three classes before it, by a softmax over hashed
-n-gram and skip features of those, times that of the word in its class by count.
+is that of its class given the words before it, times that of the word in its
+class by count. The class has a softmax over hashed n-gram and skip features of
+the two words before the token, and of the three classes before it.
 
 Training: class 4-grams are counted over all training text. Contexts are dealt
 into slices, each update sums the slices' gradients (a matrix of fixed size) on
-the driver, and ``STEPS`` updates fit the weights. Scoring: texts are dealt into
-blocks of about ``BLOCK`` bytes; a block's own words are joined with the corpus
-counts and sent to it, so no task or driver ever holds the vocabulary.
+the driver, and ``STEPS`` updates fit the weights of class features. Those stay,
+and ``ROUNDS`` of iterative scaling fit the weights of word features: every
+training token is read in each round, tasks sum how often each feature and class
+meet and how often the model says so, and Spark adds these up slice by slice.
+Scoring: texts are dealt into blocks of about ``BLOCK`` bytes; a block's own
+words are joined with the corpus counts and sent to it, so no task or driver
+ever holds the vocabulary.
 
 Rows whose crc32 of the id as text is divisible by ten are not learned from.
 
@@ -38,7 +43,7 @@ from etafeat.llm.common import materialize, table
 
 ALPHA = 0.1
 BLOCK, BLOCKS = 16 << 20, 64  # bytes of text in a block, about; least number of blocks
-FLUSH = 16 << 20  # bytes of text a counting task numbers at once
+FLUSH = 12 << 20  # bytes of text a counting task numbers at once
 RUN = 4 << 20  # the same, where the tokens' classes are needed
 ENDINGS = 256
 K = 32
@@ -49,6 +54,11 @@ FEATURES = 1 << 15
 CONTEXTS = K ** 3
 SLICES = 8
 STEPS, RATE, MOMENTUM, RIDGE = 30, 0.1, 0.7, 1.0
+WORD_FEATURES = 1 << 15
+HISTORIES = 3  # word features of a token
+ROUNDS, SMOOTH = 1, 1.0
+WORD_SLICES = 64
+TOKENS = 1 << 16  # tokens whose class probabilities are held at once
 PUNCTUATION = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
 
 
@@ -76,6 +86,10 @@ class Words:
         own = pc.index_in(names, value_set=self.heads)
         self.own = pc.fill_null(pc.add(own, HEADS), 0).to_numpy(zero_copy_only=False).astype(np.int64)
 
+    def hashed(self) -> np.ndarray:
+        """Hash of each word, and 0 for the end's number."""
+        return np.append(ngrams.hashed(self.names), np.uint64(0))
+
 
 def runs(texts: pa.Array, size: int) -> Iterator[tuple[int, int]]:
     """Stretches of ``texts`` that end with the text that passes ``size`` bytes."""
@@ -96,8 +110,8 @@ def numbered(texts: pa.Array | list[bytes], words: Words) -> tuple[np.ndarray, n
         texts = pa.array(texts, pa.string())
     split = pc.ascii_split_whitespace(pc.ascii_lower(texts))
     coded = split.flatten().dictionary_encode()
-    code = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-    of = np.repeat(np.arange(len(texts)), split.value_lengths().to_numpy(zero_copy_only=False))
+    code = coded.indices.to_numpy(zero_copy_only=False).astype(np.int32)
+    of = np.repeat(np.arange(len(texts), dtype=np.int32), split.value_lengths().to_numpy(zero_copy_only=False))
     names, empty = coded.dictionary, coded.dictionary.index("").as_py()
     if empty >= 0:  # white space at a text's start or end leaves an empty word
         real = code != empty
@@ -106,7 +120,7 @@ def numbered(texts: pa.Array | list[bytes], words: Words) -> tuple[np.ndarray, n
         names = pa.concat_arrays([names[:empty], names[empty + 1:]])
     words.hold(names)
     size = np.bincount(of, minlength=len(texts))
-    at = np.full(len(code) + len(texts), -1, np.int64)
+    at = np.full(len(code) + len(texts), -1, np.int32)
     start = np.concatenate(([0], np.cumsum(size + 1)))[:-1]
     inside = np.ones(len(at), bool)
     inside[start + size] = False
@@ -131,6 +145,38 @@ def classes(at: np.ndarray, start: np.ndarray, words: Words, group: np.ndarray)
     return c, context
 
 
+def word_features(at: np.ndarray, start: np.ndarray, words: Words) -> np.ndarray:
+    """Hashed features of each token, a row for each kind: the word before, the two before, and the second before alone."""
+    place = np.arange(len(at)) - np.repeat(start, np.diff(np.append(start, len(at))))
+
+    def before(n: int, of: np.ndarray) -> np.ndarray:
+        out = np.full(len(at), of[-1])
+        out[n:] = of[at[:-n]]
+        out[place < n] = of[-1]
+        return out
+
+    def numbers(kind: int, h: np.ndarray) -> np.ndarray:
+        return (ngrams.mixed(h + np.uint64(kind) * ngrams.PRIME) & np.uint64(WORD_FEATURES - 1)).astype(np.int32)
+
+    h = words.hashed()
+    both = before(1, ngrams.mixed(h) * ngrams.PRIME) + before(2, h)
+    return np.stack([before(1, numbers(0, h)), numbers(1, both), before(2, numbers(2, h))])
+
+
+def class_odds(by_context: np.ndarray, weights: np.ndarray | None, context: np.ndarray, feature: np.ndarray) -> np.ndarray:
+    """Unnormed probability of every class at each token; without ``weights`` from the classes before alone.
+
+    ``by_context`` are logs of probabilities and a weight is at most ``ROUNDS`` log
+    ratios, so that no exponential overflows or leaves all classes at zero.
+    """
+    z = np.take(by_context, context, axis=0)
+    if weights is not None:
+        of = np.empty_like(z)
+        for f in feature:
+            z += np.take(weights, f, axis=0, out=of, mode="clip")
+    return np.exp(z, out=z)
+
+
 def features() -> np.ndarray:
     """Hashed features of every context: bias, n-grams and skips of the three classes before."""
     every = np.arange(CONTEXTS, dtype=np.uint64)
@@ -262,6 +308,7 @@ def word_counts(blocked: DataFrame) -> DataFrame:
                     name = of[k:k + 50_000] % kinds
                     yield out(blocks[of[k:k + 50_000] // kinds], words.names.take(pa.array(name)).cast(pa.binary()),
                               words.ending[name], np.full(len(name), -1), n[k:k + 50_000])
+                pa.default_memory_pool().release_unused()  # what the last texts took, before the next ones
         at = np.flatnonzero(pairs)
         yield out(np.full(len(at), -1), pa.nulls(len(at), pa.binary()), np.full(len(at), -1), at, pairs[at])
 
@@ -284,6 +331,68 @@ def class_counts(train_docs: DataFrame, heads: list[bytes], group: np.ndarray) -
     return rows.groupBy("context", "class").agg(F.sum("n").alias("n"))
 
 
+def fit_words(train_docs: DataFrame, heads: list[bytes], group: np.ndarray, by_context: np.ndarray) -> np.ndarray:
+    """Weights of the word features over all of ``train_docs(text)``, by generalised iterative scaling.
+
+    Each token has ``HISTORIES`` features, so a round adds that share of the log
+    ratio of the classes a feature met and was expected to meet.
+    """
+    spark = train_docs.sparkSession
+    # what a task sums has a fixed size, and it reads its texts as a stream: tasks as cores
+    dealt = train_docs.coalesce(max(spark.sparkContext.defaultParallelism, 1))
+    sent_context = spark.sparkContext.broadcast(by_context.tobytes())
+    weights, met = None, None
+    size = WORD_FEATURES // WORD_SLICES
+
+    def total(rows: pa.Table) -> pa.Table:
+        summed = np.sum([np.frombuffer(x, np.float32).astype(np.float64) for x in rows["sums"].to_pylist()], axis=0)
+        return pa.table({"slice": rows["slice"][:1].combine_chunks().cast(pa.int32()), "met": rows["met"][:1].combine_chunks(),
+                         "sums": pa.array([summed.tobytes()], pa.binary())})
+
+    for _ in range(ROUNDS):
+        sent = None if weights is None else spark.sparkContext.broadcast(weights.tobytes())
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            words, base = Words(heads), np.frombuffer(sent_context.value, np.float32).reshape(-1, K)
+            now = None if sent is None else np.frombuffer(sent.value, np.float32).reshape(-1, K)
+            expected = np.zeros((K, WORD_FEATURES))
+            counts = np.zeros(WORD_FEATURES * K, np.int64) if sent is None else None
+            for b in batches:
+                for i, j in runs(b.column("text"), RUN):
+                    at, start = numbered(b.column("text").slice(i, j - i), words)
+                    c, context = classes(at, start, words, group)
+                    feature = word_features(at, start, words)
+                    if counts is not None:
+                        for f in feature:
+                            counts += np.bincount(f.astype(np.int64) * K + c, minlength=len(counts))
+                    for k in range(0, len(c), TOKENS):
+                        of = feature[:, k:k + TOKENS].astype(np.int64)
+                        p = class_odds(base, now, context[k:k + TOKENS], of)
+                        p = np.ascontiguousarray((p / p.sum(axis=1, keepdims=True)).T, dtype=np.float64)
+                        for f in of:
+                            for share, sums in zip(p, expected):
+                                sums += np.bincount(f, weights=share, minlength=WORD_FEATURES)
+            for kind, sums in ((False, expected.T), (True, counts)):
+                if sums is not None:
+                    parts = sums.astype(np.float32).reshape(WORD_SLICES, size * K)
+                    for s in np.flatnonzero(parts.any(axis=1)).tolist():
+                        yield pa.record_batch([pa.array([s], pa.int32()), pa.array([kind]), pa.array([parts[s].tobytes()], pa.binary())],
+                                              ["slice", "met", "sums"])
+
+        sums = dealt.mapInArrow(run, "slice int, met boolean, sums binary").groupBy("slice", "met").applyInArrow(
+            total, "slice int, met boolean, sums binary")
+        expected, found = np.zeros((WORD_FEATURES, K)), np.zeros((WORD_FEATURES, K))
+        for r in sums.toLocalIterator():
+            (found if r.met else expected)[r.slice * size:(r.slice + 1) * size] = np.frombuffer(r.sums).reshape(size, K)
+        met = found if met is None else met
+        step = (np.log((met + SMOOTH) / (expected + SMOOTH)) / HISTORIES).astype(np.float32)
+        weights = step if weights is None else weights + step
+        if sent:
+            sent.destroy()
+    sent_context.destroy()
+    return weights
+
+
 def score(docs: DataFrame) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score), a row per row of ``docs``."""
     spark = docs.sparkSession
@@ -319,10 +428,13 @@ def score(docs: DataFrame) -> DataFrame:
     for r in cells.groupBy("class").agg(F.sum("n").alias("n")).collect():
         totals[r["class"]] = r.n
     weights = train(cells, totals)
-    by_context = spark.sparkContext.broadcast((log_softmax(weights, features()) / math.log(10)).astype(np.float32).tobytes())
+    by_class = log_softmax(weights, features()).astype(np.float32)
+    by_word = spark.sparkContext.broadcast(fit_words(learn.select("text"), heads, group, by_class).tobytes())
+    by_context = spark.sparkContext.broadcast(by_class.tobytes())
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        predicted = np.frombuffer(by_context.value, np.float32)
+        base_log = np.frombuffer(by_context.value, np.float32).reshape(-1, K)
+        word_log = np.frombuffer(by_word.value, np.float32).reshape(-1, K)
         words = Words(heads)
         corpus = right["word"].combine_chunks().cast(pa.string())
         counts = np.append(right["n"].to_numpy(), 0)
@@ -333,13 +445,17 @@ def score(docs: DataFrame) -> DataFrame:
             at, start = numbered(texts.slice(i, j - i), words)
             place = pc.fill_null(pc.index_in(words.names, value_set=corpus), len(corpus)).to_numpy(zero_copy_only=False)
             c, context = classes(at, start, words, group)
-            n = np.append(counts[place], n_train)[at]  # the last is the end's, -1
-            of_base = np.log10((n + ALPHA) / (n_all + ALPHA * (v_all + 1)))
-            inside = np.log10((n + ALPHA) / (mass[c] + ALPHA * (kinds[c] + 1)))
-            inside[c < HEADS + WORDS_OWN] = 0.0  # the class is the word
-            of_full = predicted[context * K + c] + inside
+            n = np.append(counts[place], n_train)  # by word; the last is the end's, -1
+            of_base = np.log10((n + ALPHA) / (n_all + ALPHA * (v_all + 1)))[at]
+            of_group = np.append(group[words.ending], END)
+            of_full = np.log10((n + ALPHA) / (mass[of_group] + ALPHA * (kinds[of_group] + 1)))[at]
+            of_full[c < HEADS + WORDS_OWN] = 0.0  # the class is the word
+            feature = word_features(at, start, words)
+            for k in range(0, len(c), TOKENS):
+                part = class_odds(base_log, word_log, context[k:k + TOKENS], feature[:, k:k + TOKENS])
+                of_full[k:k + TOKENS] += np.log10(part[np.arange(len(part)), c[k:k + TOKENS]] / part.sum(axis=1))
             n_tokens[i:j] = np.diff(np.append(start, len(at)))
-            n_known[i:j] = np.add.reduceat((n > 0).astype(np.int64), start)
+            n_known[i:j] = np.add.reduceat((n > 0).astype(np.int64)[at], start)
             base[i:j], full[i:j] = np.add.reduceat(of_base, start), np.add.reduceat(of_full, start)
         return pa.table({"doc_id": left["doc_id"], "held_out": left["held_out"], "copies": left["copies"], "n_tokens": n_tokens, "n_known": n_known,
                          "train_tokens": np.full(len(texts), n_all), "base_score": base, "score": full})

@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 
 PRIME = np.uint64(0x100000001B3)
@@ -49,6 +50,18 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
+def hashed(words: pa.Array) -> np.ndarray:
+    """64-bit hash of each word's bytes."""
+    size = pc.binary_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
+    stop = np.cumsum(size)
+    b = np.frombuffer(words.buffers()[2], np.uint8) if len(words) else np.zeros(0, np.uint8)
+    begin = np.frombuffer(words.buffers()[1], np.int32)[words.offset] if len(words) else 0
+    b = b[begin:begin + int(size.sum())]
+    up, down = _power(len(b))
+    total = np.concatenate((np.zeros(1, np.uint64), np.cumsum((b + np.uint64(1)) * up[:len(b)])))
+    return mixed((total[stop] - total[stop - size]) * down[stop - size])
+
+
 def features(texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
     """(text number, 64-bit hash) of every feature occurrence, in text order, a pair
     of arrays for each kind of feature.

@@ -125,3 +125,27 @@ def test_endings_as_written_one_by_one():
         return xxhash.xxh32_intdigest(core[-3:] + w[-1:] if core != w else core[-3:]) % lm.ENDINGS
 
     assert lm.endings(pa.array(words, pa.string())).tolist() == [one(w.encode()) for w in words]
+
+
+def test_words_of_one_class_have_histories_of_their_own(documents):
+    """Equal endings, so one class; only the words themselves say which head follows."""
+    rng = random.Random(8)
+    kinds = [f"{c}{d}ling" for c in "bcdfghjklm" for d in "aeiou"]
+    after = {w: "the" if i % 2 else "of" for i, w in enumerate(kinds)}
+    some = [[w for w in rng.choices(kinds, [1 + 9 * (i < 20) for i in range(50)], k=30)] for _ in range(300)]
+    rows = [(i, " ".join(f"{w} {after[w]}" for w in ws)) for i, ws in enumerate(some)]
+    rare = kinds[40:]
+    right = " ".join(f"{w} {after[w]}" for w in rare)
+    wrong = " ".join(f"{w} {'of' if after[w] == 'the' else 'the'}" for w in rare)
+    got = {r.base_score: r.score for r in lm.score(documents(rows + [(None, right)])).collect() if r.doc_id is None}
+    other = [r.score for r in lm.score(documents(rows + [(None, wrong)])).collect() if r.doc_id is None]
+    assert list(got.values())[0] - other[0] > 1.0
+
+
+def test_word_features_stop_at_text_starts():
+    words = lm.Words()
+    at, start = lm.numbered([b"a b c d", b"", b"c d"], words)
+    f = lm.word_features(at, start, words)
+    assert f.shape == (lm.HISTORIES, len(at))
+    assert (f[:, 0] == f[:, 5]).all() and (f[:, 0] == f[:, 6]).all()  # nothing before any of them
+    assert f[0, 3] == f[0, 7] and f[1, 3] != f[1, 7]  # c before both d, b before only one
