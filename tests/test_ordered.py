@@ -63,3 +63,22 @@ def test_quantiles(spark):
         want = df.groupBy("g").agg(F.percentile("x", F.lit(q)).alias("m"))
         assert {r.g: r.m for r in group_quantile(df, ["g"], "x", q, "m").collect()} == pytest.approx(
             {r.g: r.m for r in want.collect()}, nan_ok=True)
+
+
+def test_running_sums_meet_their_offsets_without_a_join(spark):
+    """One exchange of the rows after they are dealt; hot keys still span partitions and get what came before."""
+    df = spark.range(3000).select(F.lit("hot").alias("k"), "id", F.lit(2).cast("bigint").alias("v"), F.col("v").alias("s"))
+    for peers in (True, False):
+        got = running_sums(df, ["k"], ["id"], {"s": F.col("v")}, peers, 7)
+        assert "Join" not in got._jdf.queryExecution().optimizedPlan().toString()
+        rows = got.orderBy("id").collect()
+        assert got.columns == ["k", "id", "v", "s"]
+        assert [r.s for r in rows] == [None, *[2 * i for i in range(1, 3000)]]
+
+
+def test_running_sums_keep_rows_without_key_or_order(spark):
+    rows = [(k, t, i) for i, (k, t) in enumerate([(None, 1), (None, 2), ("a", None), ("a", None), ("a", 5), ("b", 1)] * 3)]
+    df = spark.createDataFrame(rows, "k string, t long, v long")
+    got = running_sums(df, ["k"], ["t"], {"s": F.when(F.col("t").isNotNull(), F.col("v"))}, True, 4).collect()
+    want = {v: sum(w for k2, u, w in rows if k2 == k and t is not None and u is not None and u < t) or None for k, t, v in rows}
+    assert len(got) == len(rows) and {r.v: r.s for r in got} == want
