@@ -8,13 +8,16 @@ is the next word of the same piece or nothing. For every length:
 
 1. merge-join the relation with itself at adjacent positions, inside the bucket;
 2. count the groups, first in the bucket, then over all buckets (a group is one
-   row a bucket there, however often it occurs);
+   entry a bucket there, however often it occurs): groups are dealt by hash into as
+   many parts as there are buckets, and a row holds what a bucket has in a part;
 3. groups of at least ``min_count`` are frequent; each gets a number;
 4. semi-join: the frequent groups that a bucket holds go back to the bucket and
    filter its occurrences there, before the next length is joined.
 
-Only (bucket, group, count) rows are exchanged, never occurrences: a word that
-is a third of all text is one row a bucket. A phrase of k words is joined from
+Only (bucket, part, groups, counts) rows are exchanged, never occurrences: a word
+that is a third of all text is one entry a bucket. Groups and counts are packed
+numbers, which take a fraction of a row for each group. A part holds about as many
+entries as a bucket, at every size. A phrase of k words is joined from
 its first and last k - 1 words, both of which must be frequent. The bucket is
 what a task holds: its words as Arrow arrays, positions and ids as numpy arrays. The bucketed tables are joined without an exchange.
 
@@ -33,6 +36,7 @@ are ignored.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +44,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from etafeat.llm import ngrams
 from etafeat.llm.common import materialize, shared_dir, table
 
 MIN_COUNT = 30
@@ -86,11 +91,36 @@ def _code(known: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.searchsorted(known, x) * np.int64(len(known)) + np.searchsorted(known, y)
 
 
-def _counts(bucket: int, codes: np.ndarray, columns) -> pa.Table:
-    """Rows (bucket, group, c) of the distinct ``codes``; ``columns`` turns codes into the group's columns."""
-    groups, c = np.unique(codes, return_counts=True)
-    named = columns(groups)
-    return pa.table({"bucket": np.full(len(groups), bucket, "int64"), **named, "c": c.astype("int64")})
+def _packed(v: np.ndarray) -> bytes:
+    """Numbers as bytes, all first bytes before all second ones, so that the codec of shuffles and files removes what they share."""
+    return np.ascontiguousarray(v.astype("<i8").view(np.uint8).reshape(-1, 8).T).tobytes()
+
+
+def _unpacked(rows: pa.Table | pa.RecordBatch, name: str) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers of a column of ``_packed`` values, and how many each row has."""
+    each = [np.frombuffer(b, np.uint8).reshape(8, -1).T.copy().view("<i8").ravel() for b in rows.column(name).to_pylist()]
+    return np.concatenate([np.zeros(0, np.int64), *each]), np.array([len(v) for v in each], np.int64)
+
+
+def _split(words: pa.Array | pa.ChunkedArray) -> pa.Array:
+    """The words of space-joined texts; no word holds a space."""
+    if isinstance(words, pa.ChunkedArray):
+        words = words.combine_chunks()
+    return pc.split_pattern(words.cast(pa.large_string()), " ").flatten()
+
+
+def _joined(words: pa.Array, edges: np.ndarray) -> pa.Array:
+    """``words`` between ``edges``, space-joined; NULL where there are none."""
+    text = pc.binary_join(pa.ListArray.from_arrays(pa.array(edges, pa.int32()), words.cast(pa.string())), " ")
+    return pc.if_else(pa.array(np.diff(edges) > 0), text, pa.scalar(None, pa.string()))
+
+
+def _runs(*columns: np.ndarray) -> np.ndarray:
+    """Edges of the stretches of equal rows of numbers that are not below zero."""
+    new = np.zeros(len(columns[0]), bool)
+    for v in columns:
+        new |= np.diff(v, prepend=-1) != 0
+    return np.append(np.flatnonzero(new), len(new))
 
 
 def _relation(bucket: int, doc: np.ndarray, at: np.ndarray, ids: np.ndarray) -> pa.Table:
@@ -102,27 +132,126 @@ def _relation(bucket: int, doc: np.ndarray, at: np.ndarray, ids: np.ndarray) ->
     return pa.table({"bucket": np.full(len(edges) - 1, bucket, "int64"), "at": lists[0], "ids": lists[1]})
 
 
-def _count_words(rows: pa.Table) -> pa.Table:
-    doc, codes, words = _tokens(rows.column("text"))
-    langs = rows.column("lang").combine_chunks().dictionary_encode()
-    lang = langs.indices.to_numpy(zero_copy_only=False)[doc].astype("int64")
-    real = codes >= 0
-
-    def columns(groups: np.ndarray) -> dict:
-        return {"lang": langs.dictionary.take(pa.array(groups // len(words))),
-                "word": words.take(pa.array(groups % len(words))).cast(pa.string())}
-
-    return _counts(rows.column("bucket")[0].as_py(), lang[real] * len(words) + codes[real], columns)
-
-
-def _count_pairs(rows: pa.Table) -> pa.Table:
-    _, _, x, y = _adjacent(rows)
-    known = np.unique(np.concatenate([x, y]))
-
-    def columns(groups: np.ndarray) -> dict:
-        return {"x": known[groups // max(len(known), 1)], "y": known[groups % max(len(known), 1)]}
-
-    return _counts(rows.column("bucket")[0].as_py(), _code(known, x, y), columns)
+def _count_words(parts: int):
+    """Words of a bucket, counted: a row for each language and part."""
+    def run(rows: pa.Table) -> pa.Table:
+        doc, codes, words = _tokens(rows.column("text"))
+        langs = rows.column("lang").combine_chunks().dictionary_encode()
+        lang = langs.indices.to_numpy(zero_copy_only=False)[doc].astype("int64")
+        real = codes >= 0
+        groups, c = np.unique(lang[real] * len(words) + codes[real], return_counts=True)
+        lang, code = groups // max(len(words), 1), groups % max(len(words), 1)
+        salt = ngrams.hashed(pa.array(langs.dictionary, pa.string()))
+        part = _part(salt[lang], ngrams.hashed(words.cast(pa.string()))[code], parts)
+        order = np.lexsort((part, lang))
+        edges = _runs(lang[order], part[order])
+        first = order[edges[:-1]]
+        return pa.table({"bucket": np.full(len(first), rows.column("bucket")[0].as_py(), "int64"), "part": part[first],
+                         "lang": langs.dictionary.take(pa.array(lang[first])).cast(pa.string()),
+                         "words": _joined(words.take(pa.array(code[order])), edges),
+                         "c": pa.array([_packed(c[order[i:j]]) for i, j in zip(edges[:-1], edges[1:])], pa.binary())})
+    return run
+
+
+def _count_pairs(parts: int):
+    """Adjacent pairs of a bucket, counted: a row for each part."""
+    def run(rows: pa.Table) -> pa.Table:
+        _, _, x, y = _adjacent(rows)
+        known = np.unique(np.concatenate([x, y]))
+        groups, c = np.unique(_code(known, x, y), return_counts=True)
+        x, y = known[groups // max(len(known), 1)], known[groups % max(len(known), 1)]
+        part = _part(x.astype(np.uint64), y.astype(np.uint64), parts)
+        order = np.argsort(part, kind="stable")
+        edges = _runs(part[order])
+        columns = {name: pa.array([_packed(v[order[i:j]]) for i, j in zip(edges[:-1], edges[1:])], pa.binary())
+                   for name, v in (("x", x), ("y", y), ("c", c))}
+        first = order[edges[:-1]]
+        return pa.table({"bucket": np.full(len(first), rows.column("bucket")[0].as_py(), "int64"), "part": part[first], **columns})
+    return run
+
+
+def _part(x: np.ndarray, y: np.ndarray, parts: int) -> np.ndarray:
+    return (ngrams.mixed(ngrams.mixed(x + ngrams.MIX) * ngrams.PRIME + y) % np.uint64(parts)).astype("int64")
+
+
+def _sum(c: np.ndarray, order: np.ndarray, edges: np.ndarray, part: int, parts: int, min_count: int) -> tuple[np.ndarray, ...]:
+    """Counts of the groups between ``edges`` of ``order``, their numbers (-1 if not frequent), and each row's group's number."""
+    f = np.add.reduceat(c[order], edges[:-1])
+    often = f >= min_count
+    number = np.where(often, (np.cumsum(often) - 1) * parts + part, -1)
+    ids = np.empty(len(c), np.int64)
+    ids[order] = np.repeat(number, np.diff(edges))
+    return f, number, ids
+
+
+def _total_words(parts: int, min_count: int):
+    """Words of a part over all buckets: the frequent ones go back to each bucket that holds them, and once into a
+    row ``level`` a language with their counts; that row has the count of all words, too."""
+    def run(rows: pa.Table) -> pa.Table:
+        part, bucket = rows.column("part")[0].as_py(), rows.column("bucket").to_numpy()
+        c, size = _unpacked(rows, "c")
+        langs = rows.column("lang").combine_chunks().dictionary_encode()
+        of_row = langs.indices.to_numpy(zero_copy_only=False).astype("int64")
+        coded = _split(rows.column("words")).dictionary_encode()
+        code, lang = coded.indices.to_numpy(zero_copy_only=False).astype("int64"), np.repeat(of_row, size)
+        order = np.lexsort((code, lang))
+        edges = _runs(lang[order], code[order])
+        f, number, ids = _sum(c, order, edges, part, parts, min_count)
+        group = order[edges[:-1]]
+        out = []
+
+        def add(at: int, name: int, level: bool, kept: np.ndarray, number: np.ndarray, f: np.ndarray, n: int) -> None:
+            out.append((at, langs.dictionary[name].as_py(), level, code[kept], _packed(number), _packed(f), n))
+
+        for b, name, i, j in zip(bucket.tolist(), of_row.tolist(), (np.cumsum(size) - size).tolist(), np.cumsum(size).tolist()):
+            kept = i + np.flatnonzero(ids[i:j] >= 0)
+            if len(kept):
+                add(b, name, False, kept, ids[kept], kept[:0], 0)
+        for name in range(len(langs.dictionary)):
+            of = (lang[group] == name) & (number >= 0)
+            add(int(bucket[part % len(bucket)]), name, True, group[of], number[of], f[of], int(f[lang[group] == name].sum()))
+        edges = np.cumsum([0, *[len(r[3]) for r in out]])
+        words = _joined(coded.dictionary.take(pa.array(np.concatenate([r[3] for r in out]))), edges)
+        return pa.table({"bucket": [r[0] for r in out], "lang": pa.array([r[1] for r in out], pa.string()), "level": [r[2] for r in out],
+                         "words": words, "id": pa.array([r[4] for r in out], pa.binary()),
+                         "f": pa.array([r[5] for r in out], pa.binary()), "n": pa.array([r[6] for r in out], pa.int64())})
+    return run
+
+
+def _total_pairs(parts: int, min_count: int):
+    """Pairs of a part over all buckets, as ``_total_words``."""
+    def run(rows: pa.Table) -> pa.Table:
+        part, bucket = rows.column("part")[0].as_py(), rows.column("bucket").to_numpy()
+        (x, size), (y, _), (c, _) = (_unpacked(rows, name) for name in "xyc")
+        order = np.lexsort((y, x))
+        edges = _runs(x[order], y[order])
+        f, number, ids = _sum(c, order, edges, part, parts, min_count)
+        out = []
+        for b, i, j in zip(bucket.tolist(), (np.cumsum(size) - size).tolist(), np.cumsum(size).tolist()):
+            kept = i + np.flatnonzero(ids[i:j] >= 0)
+            if len(kept):
+                out.append((b, False, _packed(x[kept]), _packed(y[kept]), _packed(ids[kept]), b""))
+        group = order[edges[:-1]][number >= 0]
+        if len(group):
+            out.append((int(bucket[part % len(bucket)]), True, _packed(x[group]), _packed(y[group]),
+                        _packed(number[number >= 0]), _packed(f[number >= 0])))
+        types = [pa.int64(), pa.bool_(), *[pa.binary()] * 4]
+        return pa.table([pa.array([r[i] for r in out], t) for i, t in enumerate(types)], ["bucket", "level", "x", "y", "id", "f"])
+    return run
+
+
+def _frequent(words: bool):
+    """Rows (id, lang, word, f) or (id, x, y, f) of the rows ``level``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            (ids, size), (f, _) = _unpacked(b, "id"), _unpacked(b, "f")
+            if words:
+                lang = b.column("lang").take(pa.array(np.repeat(np.arange(b.num_rows), size)))
+                named = [lang, _split(b.column("words")).cast(pa.string())]
+            else:
+                named = [pa.array(_unpacked(b, "x")[0]), pa.array(_unpacked(b, "y")[0])]
+            yield pa.record_batch([pa.array(ids), *named, pa.array(f)], ["id", *(["lang", "word"] if words else ["x", "y"]), "f"])
+    return run
 
 
 def _keep_words(rows: pa.Table, frequent: pa.Table) -> pa.Table:
@@ -136,9 +265,9 @@ def _keep_words(rows: pa.Table, frequent: pa.Table) -> pa.Table:
     ids = np.full(len(codes), -1, "int64")
     for i, name in enumerate(langs.dictionary.to_pylist()):
         of = frequent.filter(pc.equal(frequent.column("lang"), name))
-        code = pc.index_in(of.column("word").cast(pa.large_string()), words).to_numpy()
+        code = pc.index_in(_split(of.column("words")), words).to_numpy()
         number[:] = -1
-        number[code] = of.column("id").to_numpy()
+        number[code] = _unpacked(of, "id")[0]
         here = lang == i
         ids[here] = number[codes[here]]
     start = np.flatnonzero(np.diff(doc, prepend=-1))
@@ -153,12 +282,12 @@ def _keep_pairs(rows: pa.Table, frequent: pa.Table) -> pa.Table:
         return _relation(0, *[np.zeros(0, "int64")] * 3)
     doc, at, x, y = _adjacent(rows)
     known = np.unique(np.concatenate([x, y]))
-    wanted = _code(known, frequent.column("x").to_numpy(), frequent.column("y").to_numpy())
+    wanted = _code(known, _unpacked(frequent, "x")[0], _unpacked(frequent, "y")[0])
     order = np.argsort(wanted)
     codes = _code(known, x, y)
     place = np.minimum(np.searchsorted(wanted[order], codes), len(order) - 1)
     kept = wanted[order][place] == codes
-    ids = frequent.column("id").to_numpy()[order][place[kept]]
+    ids = _unpacked(frequent, "id")[0][order][place[kept]]
     return _relation(rows.column("bucket")[0].as_py(), doc[kept], at[kept], ids)
 
 
@@ -206,23 +335,24 @@ def frequent_phrases(docs: DataFrame, min_count: int = MIN_COUNT, longest: int =
         levels = []
         for length in range(1, longest + 1):
             words = length == 1
-            group = ["lang", "word"] if words else ["x", "y"]
             local = here.groupBy("bucket").applyInArrow(
-                _count_words if words else _count_pairs,
-                "bucket long, " + ("lang string, word string" if words else "x long, y long") + ", c long")
-            local = materialize(local.withColumn("local", F.monotonically_increasing_id()), "local-counts")
+                (_count_words if words else _count_pairs)(buckets),
+                "bucket long, part long, " + ("lang string, words string" if words else "x binary, y binary") + ", c binary")
+            known = local.groupBy("part").applyInArrow(
+                (_total_words if words else _total_pairs)(buckets, min_count),
+                "bucket long, " + ("lang string, level boolean, words string, id binary, f binary, n long" if words
+                                   else "level boolean, x binary, y binary, id binary, f binary"))
+            known = store.write(known.repartition(buckets, "bucket"), f"known{length}")
+            level = known.filter("level")
             if words:
-                totals = materialize(local.groupBy("lang").agg(F.sum("c").alias("n")), "word-totals")
-            # a group has one row a bucket: their sum is its count, the smallest row number its own number
-            same = Window.partitionBy(*group)
-            known = (local.withColumns({"f": F.sum("c").over(same), "id": F.min("local").over(same)})
-                     .filter(F.col("f") >= min_count).repartition(buckets, "bucket"))
-            known = store.write(known.select("bucket", *group, "id", "f", (F.col("id") == F.col("local")).alias("first")),
-                                f"known{length}")
-            levels.append(materialize(known.filter("first").select("id", *group, "f"), "frequent"))
+                totals = materialize(level.groupBy("lang").agg(F.sum("n").alias("n")), "word-totals")
+            group = ["lang", "words"] if words else ["x", "y"]
+            levels.append(materialize(level.select("id", *group, "f").mapInArrow(
+                _frequent(words), "id long, " + ("lang string, word string" if words else "x long, y long") + ", f long"), "frequent"))
             if length == longest:
                 break
-            rows = here.groupBy("bucket").cogroup(known.select("bucket", *group, "id").groupBy("bucket")).applyInArrow(
+            rows = here.groupBy("bucket").cogroup(
+                known.filter("not level").select("bucket", *group, "id").groupBy("bucket")).applyInArrow(
                 _keep_words if words else _keep_pairs, "bucket long, at array<int>, ids array<long>")
             here = store.write(rows, f"r{length}")
             store.drop(f"known{length}", "texts" if words else f"r{length - 1}")

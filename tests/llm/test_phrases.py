@@ -4,6 +4,8 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -96,3 +98,22 @@ def test_empty_table_and_clashing_columns(spark, documents):
     docs = docs.withColumns({c: F.lit("own") for c in ("row", "at", "bucket", "slot", "word", "id")})
     assert sorted(tuple(r) for r in op.collocations(docs).collect()) == brute([("one two three", "en")] * 40, 30)
     assert op.collocations(docs.filter("false")).count() == 0
+
+
+def test_a_bucket_sends_a_row_for_each_part():
+    """Not one for each group: the groups and their counts are packed."""
+    words = [f"w{i}" for i in range(300)]
+    rows = pa.table({"bucket": [7, 7], "lang": ["en", None], "text": [" ".join(words * 2), "w1 w2"]})
+    rows = rows.set_column(1, "lang", pa.array(["en", "de"]))
+    got = op._count_words(4)(rows)
+    assert got.num_rows <= 4 * 2 and set(got["bucket"].to_pylist()) == {7}
+    c, size = op._unpacked(got, "c")
+    assert sorted(c.tolist()) == [1] * 2 + [2] * 300 and len(op._split(got["words"])) == size.sum()
+    pairs = op._count_pairs(4)(pa.table({"bucket": [7], "at": [list(range(300))], "ids": [[i % 100 + (1 << 40) for i in range(300)]]}))
+    assert pairs.num_rows <= 4 and sorted(op._unpacked(pairs, "c")[0].tolist()) == [2] + [3] * 99
+
+
+def test_packed_numbers_come_back():
+    values = [[0, 1, 255, 1 << 33, (1 << 63) - 1], [], [5]]
+    got, size = op._unpacked(pa.table({"v": [op._packed(np.array(v, np.int64)) for v in values]}), "v")
+    assert got.tolist() == sum(values, []) and size.tolist() == [5, 0, 1]
