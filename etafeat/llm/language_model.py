@@ -43,8 +43,8 @@ from etafeat.llm.common import materialize, table
 
 ALPHA = 0.1
 BLOCK, BLOCKS = 16 << 20, 64  # bytes of text in a block, about; least number of blocks
-FLUSH = 12 << 20  # bytes of text a counting task numbers at once
-RUN = 4 << 20  # the same, where the tokens' classes are needed
+FLUSH = 4 << 20  # bytes of text a counting task numbers at once
+RUN = 2 << 20  # the same, where the tokens' classes are needed
 ENDINGS = 256
 K = 32
 BOS, END, REPEAT, HEADS = 0, 1, 2, 3
@@ -88,7 +88,8 @@ class Words:
 
     def hashed(self) -> np.ndarray:
         """Hash of each word, and 0 for the end's number."""
-        return np.append(ngrams.hashed(self.names), np.uint64(0))
+        parts = [ngrams.hashed(self.names.slice(i, j - i)) for i, j in runs(self.names, ngrams.CHUNK)]
+        return np.concatenate([*parts, np.zeros(1, np.uint64)])
 
 
 def runs(texts: pa.Array, size: int) -> Iterator[tuple[int, int]]:
@@ -276,39 +277,65 @@ def cluster(pairs: np.ndarray, groups: int = GROUPS, rounds: int = 25) -> np.nda
     return (HEADS + WORDS_OWN + of).astype(np.int16)
 
 
+def merged(parts: list[tuple[pa.Array, np.ndarray, np.ndarray]]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Distinct words, their endings and summed counts, of several (words, endings, counts)."""
+    if len(parts) == 1:
+        return parts[0]
+    coded = pa.concat_arrays([names for names, _, _ in parts]).dictionary_encode()
+    code, n = coded.indices.to_numpy(zero_copy_only=False), np.zeros(len(coded.dictionary), np.int64)
+    ending = np.zeros(len(n), np.int64)
+    at = 0
+    for _, e, c in parts:  # a part has a word once
+        of = code[at:at + len(c)]
+        n[of] += c
+        ending[of] = e
+        at += len(c)
+    return coded.dictionary, ending, n
+
+
 def word_counts(blocked: DataFrame) -> DataFrame:
-    """(block, word, ending, pair, n): the words of each block with their training
-    counts; and, without word, counts of pairs of endings in training text. A block
-    that is numbered in several runs has a word several times."""
+    """(block, word, ending, pair, n): the distinct words of each block with their training
+    counts; and, without word, counts of pairs of endings in training text. ``blocked`` has
+    the rows of a block next to each other in one task; they are numbered in runs of
+    ``FLUSH`` bytes, whose counts are merged until the block ends."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, pairs = Words(), np.zeros(ENDINGS * ENDINGS, np.int64)
+        now, parts = None, []
 
         def out(block, word, end, pair, n) -> pa.RecordBatch:
             return pa.record_batch([pa.array(block, pa.int32()), word, pa.array(end, pa.int32()),
                                     pa.array(pair, pa.int32()), pa.array(n, pa.int64())], ["block", "word", "ending", "pair", "n"])
 
+        def ended() -> Iterator[pa.RecordBatch]:
+            if parts:
+                names, ending, n = merged(parts)
+                for k in range(0, len(n), 50_000):
+                    some = names[k:k + 50_000]
+                    yield out(np.full(len(some), now), some.cast(pa.binary()), ending[k:k + 50_000],
+                              np.full(len(some), -1), n[k:k + 50_000])
+                parts.clear()
+
         for b in batches:
             block = b.column("block").to_numpy()
             learn = ~b.column("held_out").to_numpy(zero_copy_only=False)
-            for i, j in runs(b.column("text"), FLUSH):
-                at, start = numbered(b.column("text").slice(i, j - i), words)
-                size = np.diff(np.append(start, len(at)))
-                known = np.repeat(learn[i:j], size)
-                word = at >= 0
-                both = word[1:] & word[:-1] & known[1:]
-                e = np.append(words.ending, 0)[at]
-                pairs += np.bincount(e[:-1][both] * ENDINGS + e[1:][both], minlength=len(pairs))
-                blocks, local = np.unique(block[i:j], return_inverse=True)
-                kinds = max(len(words.names), 1)
-                of, c = np.unique((np.repeat(local, size)[word] * kinds + at[word]) * 2 + known[word], return_counts=True)
-                first = np.flatnonzero(np.diff(of // 2, prepend=-1))
-                n = np.add.reduceat(c * (of % 2), first) if len(first) else first
-                of = of[first] // 2
-                for k in range(0, len(of), 50_000):
-                    name = of[k:k + 50_000] % kinds
-                    yield out(blocks[of[k:k + 50_000] // kinds], words.names.take(pa.array(name)).cast(pa.binary()),
-                              words.ending[name], np.full(len(name), -1), n[k:k + 50_000])
-                pa.default_memory_pool().release_unused()  # what the last texts took, before the next ones
+            edges = np.append(np.flatnonzero(np.diff(block, prepend=-1)), len(block))
+            for first, last in zip(edges[:-1].tolist(), edges[1:].tolist()):
+                if block[first] != now:
+                    yield from ended()
+                    now = int(block[first])
+                texts = b.column("text").slice(first, last - first)
+                for i, j in runs(texts, FLUSH):
+                    at, start = numbered(texts.slice(i, j - i), words)
+                    known = np.repeat(learn[first + i:first + j], np.diff(np.append(start, len(at))))
+                    word = at >= 0
+                    both = word[1:] & word[:-1] & known[1:]
+                    e = np.append(words.ending, 0)[at]
+                    pairs += np.bincount(e[:-1][both] * ENDINGS + e[1:][both], minlength=len(pairs))
+                    parts.append((words.names, words.ending, np.bincount(at[word & known], minlength=len(words.names))))
+                    if len(parts) == 4:
+                        parts[:] = [merged(parts)]
+            pa.default_memory_pool().release_unused()  # what the last texts took, before the next ones
+        yield from ended()
         at = np.flatnonzero(pairs)
         yield out(np.full(len(at), -1), pa.nulls(len(at), pa.binary()), np.full(len(at), -1), at, pairs[at])
 
@@ -460,8 +487,7 @@ def score(docs: DataFrame) -> DataFrame:
         return pa.table({"doc_id": left["doc_id"], "held_out": left["held_out"], "copies": left["copies"], "n_tokens": n_tokens, "n_known": n_known,
                          "train_tokens": np.full(len(texts), n_all), "base_score": base, "score": full})
 
-    # a block that was numbered in several runs has a word several times; it is sent once
-    known = (counted.filter("word is not null").select("block", "word").distinct().join(vocabulary, "word")
+    known = (counted.filter("word is not null").select("block", "word").join(vocabulary, "word")
              .select("block", "word", "n"))
     # equal rows are one row of their block, scored once: a hot row is streamed, never held
     once = (rows.repartition("block").groupBy("block", "doc_id", "held_out", "text")

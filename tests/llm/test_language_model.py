@@ -149,3 +149,19 @@ def test_word_features_stop_at_text_starts():
     assert f.shape == (lm.HISTORIES, len(at))
     assert (f[:, 0] == f[:, 5]).all() and (f[:, 0] == f[:, 6]).all()  # nothing before any of them
     assert f[0, 3] == f[0, 7] and f[1, 3] != f[1, 7]  # c before both d, b before only one
+
+
+def test_a_block_has_a_word_once(spark, monkeypatch):
+    """However many runs it is numbered in, with hashes of words made in several stretches."""
+    monkeypatch.setattr(lm, "FLUSH", 200)
+    rows = [(i // 100, i % 3 == 0, f"the word{i % 7} X{i} ") for i in range(300)] + [(3, False, "")]
+    df = spark.createDataFrame(rows, "block int, held_out boolean, text string").repartition("block").sortWithinPartitions("block")
+    got = [(r.block, bytes(r.word).decode(), r.n) for r in lm.word_counts(df).collect() if r.word is not None]
+    want = Counter({(b, w): 0 for b, _, t in rows for w in t.lower().split()})
+    want.update((b, w) for b, held, t in rows if not held for w in t.lower().split())
+    assert sorted(got) == sorted((b, w, n) for (b, w), n in want.items())
+    words = lm.Words()
+    lm.numbered([b"a bb ccc " * 3, b"dd"], words)
+    whole = words.hashed().tolist()
+    monkeypatch.setattr(lm.ngrams, "CHUNK", 2)
+    assert words.hashed().tolist() == whole
