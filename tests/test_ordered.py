@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from etafeat.operators.ordered import carry, deal, dense_ids, group_median, group_quantile, running_sums
+from etafeat.operators import ordered
+from etafeat.operators.ordered import carry, deal, dense_ids, even_keys, group_median, group_quantile, running_sums
 
 
 def frame(spark, keys):
@@ -82,3 +83,25 @@ def test_running_sums_keep_rows_without_key_or_order(spark):
     got = running_sums(df, ["k"], ["t"], {"s": F.when(F.col("t").isNotNull(), F.col("v"))}, True, 4).collect()
     want = {v: sum(w for k2, u, w in rows if k2 == k and t is not None and u is not None and u < t) or None for k, t, v in rows}
     assert len(got) == len(rows) and {r.v: r.s for r in got} == want
+
+
+def test_even_keys_are_those_a_task_may_hold(spark, monkeypatch):
+    monkeypatch.setattr(ordered, "FEW", 10)
+    many = spark.range(1000).select((F.col("id") % 100).alias("k"), F.lit(1).alias("one"))
+    assert even_keys(many, ["k"], 8) and even_keys(many, ["k", "one"], 8)
+    assert not even_keys(many, ["one"], 8) and not even_keys(many, [], 8)
+    assert not even_keys(many.select(F.when(F.col("k") > 20, F.col("k")).alias("k")), ["k"], 8)  # a fifth has no key
+    monkeypatch.setattr(ordered, "BUCKETS", 4)  # keys that share a bucket are counted one by one
+    assert even_keys(many, ["k"], 8)
+    assert even_keys(many.filter("false"), ["k"], 8)
+
+
+@pytest.mark.parametrize("peers", [True, False])
+def test_even_running_sums_take_one_exchange(spark, peers):
+    df = frame(spark, ["a", "b", None])
+    order = ["t"] if peers else ["t", "id"]
+    sums = {"s": F.col("v"), "v": F.lit(1)}
+    want = running_sums(df, ["k"], order, sums, peers)
+    got = running_sums(df, ["k"], order, sums, peers, even=True)
+    assert got._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    assert got.columns == want.columns and sorted(got.collect(), key=str) == sorted(want.collect(), key=str)

@@ -48,3 +48,12 @@ def test_reports_copy_no_rows(spark, sf, name):
 
 def test_time_split_takes_its_passes_over_a_written_column(spark, sf):
     assert "lineitem" not in plan_of(QUERIES["time_split"](spark, sf))
+
+
+def test_delivery_orders_read_the_lines_once(spark, sf):
+    assert plan_of(QUERIES["delivery_orders"](spark, sf)).count("lineitem.parquet") == 1
+
+
+def test_feature_report_deals_no_rows_of_even_keys(spark, sf):
+    scans = [line for line in plan_of(QUERIES["feature_report"](spark, sf)).splitlines() if "/dealt/" in line]
+    assert not [line for line in scans if "order_id" in line]

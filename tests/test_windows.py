@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from etafeat.operators import ordered
 from etafeat.operators.windows import Trailing, cap_per_hour, target_encode, trailing_windows
 
 T = dt.datetime
@@ -98,3 +99,30 @@ def test_trailing_sums_are_linear_and_keep_odd_rows(spark):
                    ("a", "00:59"): (1, 0.0), ("a", "01:00"): (2, 5.0)}
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "specifiedwindowframe(RangeFrame, -3600" not in plan  # no sliding frame
+
+
+def _timed(spark):
+    rows = [(i, ["a", "b", "c", None][i % 4], None if i % 11 == 0 else T(2024, 1, 1, i % 23, i % 7), None if i % 5 == 0 else i / 2)
+            for i in range(300)]
+    return spark.createDataFrame(rows, "id int, k string, ts timestamp_ntz, v double")
+
+
+SPECS = [Trailing("n", "1h"), Trailing("m", "3h", "mean", "v", 0.0, 1), Trailing("s", "2h", "sum", "v", None, 1)]
+
+
+def test_even_and_hot_keys_give_the_same(spark, monkeypatch):
+    df = _timed(spark)
+    both = lambda: sorted(target_encode(trailing_windows(df, "k", "ts", SPECS), "k", "v", "ts", "id", "e", scale=1)
+                          .collect(), key=lambda r: r.id)
+    even = both()
+    monkeypatch.setattr(ordered, "FEW", 0)
+    assert not ordered.even_keys(df, ["k"])
+    assert len(even) == 300 and both() == even
+
+
+def test_features_of_an_even_key_share_one_exchange_and_write_nothing(spark):
+    df = _timed(spark)
+    out = trailing_windows(target_encode(df, "k", "v", "ts", "id", "e", scale=1), "k", "ts", SPECS)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "dealt" not in plan
+    assert plan.index("Generate") < plan.index("Exchange hashpartitioning")  # expiries are made after it
